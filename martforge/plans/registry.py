@@ -13,7 +13,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.operators import quality as Q
 from martforge.plans import analytics as A
+from martforge.plans import checks as C
+from martforge.plans import operations as OP
 from martforge.plans import oracle as O
 from martforge.plans import staging
 from martforge.plans.warehouse import Warehouse, warehouse_for
@@ -96,9 +99,56 @@ def queries() -> dict[str, Query]:
     q["calendar_spine"] = _model_query("dim_date")
     for name, fn in ANALYTICS.items():
         q[name] = _analytic_query(name, fn)
+    for name, fn in _operations().items():
+        q[name] = fn
     return q
 
 
+def _wh(fn):
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return fn(warehouse_for(spark, sf_dir), spark, sf_dir)
+    run.__name__ = getattr(fn, "__name__", "query")
+    return run
+
+
+def _suite(checks_fn):
+    return _wh(lambda wh, spark, sf_dir: C.run_checks(wh, checks_fn()))
+
+
+def _severity(wh, spark, sf_dir):
+    return C.run_checks(wh, C.DBT_SUITE + C.CONSTRAINT_SUITE).filter(F.col("failing_rows") > 0)
+
+
+def _operations() -> dict[str, Query]:
+    return {
+        # quality
+        "dq_suite": _suite(lambda: C.DBT_SUITE),
+        "dq_constraints": _suite(lambda: C.CONSTRAINT_SUITE),
+        "dq_not_null": _suite(lambda: C.suite_of("not_null")),
+        "dq_unique": _suite(lambda: C.suite_of("unique")),
+        "dq_accepted_values": _suite(lambda: C.suite_of("accepted_values")),
+        "dq_relationships": _suite(lambda: C.suite_of("relationships")),
+        "dq_non_negative": _suite(lambda: C.suite_of("non_negative")),
+        "dq_check": _suite(lambda: C.suite_of("expression")),
+        "dq_severity": _wh(_severity),
+        "dq_deferred_self_fk": _wh(lambda wh, s, d: Q.dq_deferred_self_fk(
+            wh.dim_category, "parent_category_id", "category_id")),
+        "dq_returned_has_return": _wh(lambda wh, s, d: Q.dq_returned_has_return(
+            wh.fct_orders, wh.fct_order_items, wh.fct_returns)),
+        # changes and loads
+        "join_returns_by_product": _wh(lambda wh, s, d: OP.join_returns_by_product(wh)),
+        "audit_status_changes": _wh(OP.audit_status_changes_job),
+        "touch_updated_at": _wh(OP.touch_updated_at_job),
+        "insert_ignore": _wh(lambda wh, s, d: OP.insert_ignore_job(wh)),
+        "append_facts": _wh(lambda wh, s, d: OP.append_facts_job(wh, s)),
+        "backfill_order_totals": _wh(lambda wh, s, d: OP.backfill_order_totals_job(wh)),
+        "refresh_customer_summary": _wh(lambda wh, s, d: OP.refresh_customer_summary(wh, s)),
+        "atomic_publish": _wh(lambda wh, s, d: OP.atomic_publish_job(wh, s)),
+        "audit_status_stream": _wh(OP.audit_status_stream_job),
+        "layout_point_lookup": _wh(lambda wh, s, d: OP.layout_point_lookup(wh, s)),
+    }
+
+
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
     chain = O.with_chain
@@ -112,4 +162,20 @@ def oracle_sql() -> dict[str, str]:
     o["calendar_spine"] = chain("SELECT * FROM dim_date")
     for name, body in O.analytic_bodies().items():
         o[name] = chain(body)
+    for name, body in O.operation_bodies().items():
+        o[name] = chain(body)
+    suites = {
+        "dq_suite": C.DBT_SUITE,
+        "dq_constraints": C.CONSTRAINT_SUITE,
+        "dq_not_null": C.suite_of("not_null"),
+        "dq_unique": C.suite_of("unique"),
+        "dq_accepted_values": C.suite_of("accepted_values"),
+        "dq_relationships": C.suite_of("relationships"),
+        "dq_non_negative": C.suite_of("non_negative"),
+        "dq_check": C.suite_of("expression"),
+    }
+    for name, checks in suites.items():
+        o[name] = chain(O.suite_sql(checks))
+    o["dq_severity"] = chain(
+        f"SELECT * FROM ({O.suite_sql(C.DBT_SUITE + C.CONSTRAINT_SUITE)}) r WHERE failing_rows > 0")
     return o
