@@ -187,3 +187,44 @@ def warehouse_for(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
             wh = Warehouse.from_driver_tables(spark, sf_dir, **kw)
             _CACHE[key] = wh
         return wh
+
+
+# --- reading a published build ---------------------------------------------------
+
+# models a build writes as tables (the rest are views recomputed by readers)
+TABLE_MODELS = ["dim_date", "dim_category", "dim_customer", "dim_product", "fct_orders",
+                "fct_order_items", "fct_returns", "int_customer_order_facts"]
+# point lookups filter orders by customer: lay that table out by customer
+LAYOUT = {"fct_orders": ["customer_key"]}
+
+
+def write_warehouse(wh: Warehouse, root: str, models: list[str] | None = None) -> None:
+    """Materialise the table models under ``root`` (full refresh)."""
+    from martforge.plans.publish import write_table
+    for name in models or TABLE_MODELS:
+        write_table(getattr(wh, name), f"{root}/{name}", sort_by=LAYOUT.get(name))
+
+
+def _stored(name: str):
+    return cached_property(lambda self: self.spark.read.parquet(f"{self.root}/{name}"))
+
+
+class PublishedWarehouse(Warehouse):
+    """The warehouse as downstream jobs see it: table models are scans of
+    what a build wrote (filters and column pruning reach the Parquet
+    reader); staging models are not available."""
+
+    def __init__(self, spark: SparkSession, root: str,
+                 spine: tuple[dt.date, dt.date] = (SPINE_START, SPINE_END),
+                 as_of: dt.date = DEFAULT_AS_OF):
+        super().__init__(spark, {}, spine, as_of)
+        self.root = root
+
+    dim_date = _stored("dim_date")
+    dim_category = _stored("dim_category")
+    dim_customer = _stored("dim_customer")
+    dim_product = _stored("dim_product")
+    fct_orders = _stored("fct_orders")
+    fct_order_items = _stored("fct_order_items")
+    fct_returns = _stored("fct_returns")
+    int_customer_order_facts = _stored("int_customer_order_facts")
