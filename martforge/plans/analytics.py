@@ -66,7 +66,7 @@ def mom_growth_net(wh: Warehouse) -> DataFrame:
     """Same without cancelled orders (hand-written query); a NULL status
     is dropped too, as ``status <> 'cancelled'`` is not true for it."""
     orders = orders_with_dates(wh).filter(F.col("order_status") != "cancelled")
-    return _monthly_growth(orders, "month", "prev_month_revenue")
+    return _monthly_growth(orders, "month", "prev_month_revenue").orderBy("month")
 
 
 def running_total(wh: Warehouse) -> DataFrame:
@@ -193,7 +193,8 @@ def cohort_first_order(wh: Warehouse) -> DataFrame:
     sizes = first.groupBy("cohort_month").agg(F.count_distinct("customer_key").alias("cohort_customers"))
     return activity.join(F.broadcast(sizes), "cohort_month", "inner").select(
         "cohort_month", "month_number", "active_customers", "cohort_customers",
-        pct("active_customers", "cohort_customers", 1).alias("retention_pct"))
+        pct("active_customers", "cohort_customers", 1).alias("retention_pct"),
+    ).orderBy("cohort_month", "month_number")
 
 
 # --- category roll-ups ----------------------------------------------------------
@@ -244,6 +245,7 @@ def category_rollup_units(wh: Warehouse) -> DataFrame:
         .agg(F.count_distinct("category_id").alias("subcategory_count"),
              F.coalesce(F.sum("sales"), F.lit(0)).cast(SUM_MONEY).alias("total_sales"),
              F.coalesce(F.sum("units"), F.lit(0)).cast("long").alias("total_units_sold"))
+        .orderBy(F.col("total_sales").desc(), F.col("top_level_category_id").asc())
     )
 
 
@@ -352,6 +354,7 @@ def refunds_by_state_reason(wh: Warehouse, as_of: dt.date | None = None) -> Data
         .groupBy("state", "return_reason")
         .agg(F.count(F.lit(1)).alias("return_count"),
              money_sum("refund_amount").alias("total_refunded"))
+        .orderBy(F.col("total_refunded").desc(), "state", "return_reason")
     )
 
 

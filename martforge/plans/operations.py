@@ -179,3 +179,93 @@ def layout_point_lookup(wh: Warehouse, spark: SparkSession, customer_key: int =
         .select("order_id", "order_status", "total_amount", "full_date")
         .orderBy(F.col("full_date").desc(), F.col("order_id").asc())
     )
+
+
+# --- CSV landing round trip -----------------------------------------------------
+
+def landing_csv_paths(wh: Warehouse, spark: SparkSession) -> dict[str, str]:
+    """``load_raw_full_refresh``: write the six landing extracts as header CSV
+    (overwrite), once per warehouse."""
+    from martforge.sources.landing import write_landing_csv
+    paths = getattr(wh, "_csv_paths", None)
+    if paths is None:
+        paths = write_landing_csv(wh.landing, _run_dir(spark, "landing_csv"))
+        wh._csv_paths = paths
+    return paths
+
+
+def csv_landing(wh: Warehouse, spark: SparkSession) -> dict[str, DataFrame]:
+    """``scan_raw_csv`` of every landing CSV with its fixed all-string schema."""
+    from martforge.sources.landing import scan_raw_csv
+    return {t: scan_raw_csv(spark, p, t) for t, p in landing_csv_paths(wh, spark).items()}
+
+
+def load_raw_full_refresh_job(wh: Warehouse, spark: SparkSession) -> DataFrame:
+    """Row count per landing table after the full-refresh load."""
+    out = None
+    for t, df in csv_landing(wh, spark).items():
+        one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(f"{t}_raw").alias("table_name"), "row_count")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def scan_raw_csv_job(wh: Warehouse, spark: SparkSession) -> DataFrame:
+    """Customers staged from the CSV files instead of the in-memory extract:
+    the cleaning rules give the same table."""
+    from martforge.plans.staging import stg_customers
+    return stg_customers(csv_landing(wh, spark)["customers"], wh.strict)
+
+
+# --- small reports ------------------------------------------------------------------
+
+def sample_rows(df: DataFrame, order: list, n: int) -> DataFrame:
+    """First ``n`` rows in ``order`` (a top-k: each task keeps its own n)."""
+    return df.orderBy(*order).limit(n)
+
+
+def limit_samples_job(wh: Warehouse) -> DataFrame:
+    """The six latest months of the growth mart."""
+    return sample_rows(A.mom_growth_all(wh), [F.col("order_month").desc()], 6)
+
+
+def guard_returned(orders_after: DataFrame, changed_keys: DataFrame, items: DataFrame,
+                   returns: DataFrame) -> DataFrame:
+    """Rows of an update batch that would leave an order 'returned' without
+    a return (the source's update trigger rejects them).  Empty = accept."""
+    from martforge.operators.quality import dq_returned_has_return
+    bad = dq_returned_has_return(orders_after, items, returns)
+    return bad.join(changed_keys.select("order_key").distinct(), "order_key", "left_semi")
+
+
+def guard_returned_job(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Check the status update batch against the returned-order rule."""
+    upd = orders_status_update(wh, spark, sf_dir)
+    after = touch_updated_at(wh.fct_orders.select("order_key", "order_status"), upd, "order_key",
+                             ts_col="_none")
+    return guard_returned(after, upd, wh.fct_order_items, wh.fct_returns)
+
+
+def table_stats(spark: SparkSession, path: str, name: str, columns: list[str]) -> DataFrame:
+    """``ANALYZE``: register the Parquet folder as a catalog table, compute
+    table and column statistics (used by the cost-based optimizer), and
+    return them as rows (column, distinct count, nulls, min, max)."""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
+    rows = []
+    for c in columns:
+        desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} {c}").collect()}
+        rows.append((c, desc.get("distinct_count"), desc.get("num_nulls"), desc.get("min"),
+                     desc.get("max")))
+    return spark.createDataFrame(
+        rows, "column_name string, distinct_count string, num_nulls string, min string, max string")
+
+
+def table_stats_job(wh: Warehouse, spark: SparkSession) -> DataFrame:
+    from martforge.plans.publish import write_table
+    path = _run_dir(spark, "fct_orders_stats")
+    write_table(wh.fct_orders, path, sort_by=["customer_key"])
+    name = "mf_fct_orders_" + uuid.uuid4().hex[:8]
+    return table_stats(spark, path, name, ["customer_key", "order_status", "order_date_key",
+                                           "total_amount"])

@@ -146,6 +146,11 @@ def _operations() -> dict[str, Query]:
         "atomic_publish": _wh(lambda wh, s, d: OP.atomic_publish_job(wh, s)),
         "audit_status_stream": _wh(OP.audit_status_stream_job),
         "layout_point_lookup": _wh(lambda wh, s, d: OP.layout_point_lookup(wh, s)),
+        "load_raw_full_refresh": _wh(lambda wh, s, d: OP.load_raw_full_refresh_job(wh, s)),
+        "scan_raw_csv": _wh(lambda wh, s, d: OP.scan_raw_csv_job(wh, s)),
+        "limit_samples": _wh(lambda wh, s, d: OP.limit_samples_job(wh)),
+        "guard_returned": _wh(OP.guard_returned_job),
+        "table_stats": _wh(lambda wh, s, d: OP.table_stats_job(wh, s)),
     }
 
 
