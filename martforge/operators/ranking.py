@@ -11,10 +11,11 @@ compute the same numbers in parallel:
 2. tag each row with ``monotonically_increasing_id`` = (partition << 33) +
    position, and cut lineage with a reliable checkpoint so that the tags (and
    the sampled range bounds behind them) never change on a retry;
-3. count rows per partition (a partial aggregate; one small row per
-   partition), turn the counts into running offsets, and broadcast that
-   table - its size is bounded by the number of partitions, not the data;
-4. rank = offset of the row's partition + its position + 1.
+3. count rows per partition (a partial aggregate; one row per partition
+   reaches the driver - a size bound set by the partition count, not by the
+   data) and turn the counts into running offsets;
+4. rank = offset of the row's partition + its position + 1, with the offsets
+   applied as a constant array (no join, no extra job).
 
 n-tiles follow from the rank and the total row count by arithmetic, with the
 same bucket sizes as SQL ``NTILE``.
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.session import cut_lineage
@@ -63,20 +64,23 @@ def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
     tagged = cut_lineage(tagged)
 
     part = F.shiftright(F.col("_mf_tag"), _POS_BITS)
-    counts = tagged.groupBy(part.alias("_mf_part")).agg(F.count(F.lit(1)).alias("_mf_n"))
-    running = Window.orderBy("_mf_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        "_mf_part",
-        F.coalesce(F.sum("_mf_n").over(running), F.lit(0)).alias("_mf_offset"),
-        F.sum("_mf_n").over(Window.partitionBy(F.lit(1))).alias("_mf_total"),
-    )
-    # one row per partition: a size bound that does not grow with the data
-    joined = tagged.join(F.broadcast(offsets), part == F.col("_mf_part"), "inner")
-    rank = (F.col("_mf_offset") + F.col("_mf_tag").bitwiseAND(F.lit(_POS_MASK)) + 1)
-    out = joined.withColumn(rank_col, rank.cast("long"))
+    counts = dict(
+        tagged.groupBy(part.alias("p")).agg(F.count(F.lit(1)).alias("c")).collect())
+    n_parts = (max(counts) + 1) if counts else 0
+    offsets, running = [], 0
+    for p in range(n_parts):
+        offsets.append(running)
+        running += counts.get(p, 0)
+    if offsets:
+        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
+                              (part + 1).cast("int"))
+    else:
+        offset = F.lit(0).cast("long")
+    rank = offset + F.col("_mf_tag").bitwiseAND(F.lit(_POS_MASK)) + 1
+    out = tagged.withColumn(rank_col, rank.cast("long"))
     if total_col:
-        out = out.withColumn(total_col, F.col("_mf_total").cast("long"))
-    return out.drop("_mf_tag", "_mf_part", "_mf_offset", "_mf_total")
+        out = out.withColumn(total_col, F.lit(running).cast("long"))
+    return out.drop("_mf_tag")
 
 
 def ntile_of(rank, total, buckets: int) -> Column:

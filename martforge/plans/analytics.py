@@ -133,7 +133,8 @@ def customer_rfm_named(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame
         orders_with_dates(wh)
         .groupBy("customer_key")
         .agg(F.max("full_date").alias("last_order_date"),
-             F.count_distinct("order_key").alias("frequency"),
+             # order_key is unique in the fact: the count is the distinct count
+             F.count("order_key").alias("frequency"),
              money_sum("total_amount").alias("monetary"))
         .join(wh.dim_customer.select("customer_key", "full_name"), "customer_key", "inner")
     )
@@ -200,12 +201,18 @@ def cohort_first_order(wh: Warehouse) -> DataFrame:
 # --- category roll-ups ----------------------------------------------------------
 
 def category_tree(wh: Warehouse) -> DataFrame:
-    """Every category reachable from a root, with its root's key, id and name."""
-    nodes = wh.dim_category.select("category_key", "category_id", "category_name", "parent_category_id")
-    return walk_from_roots(
-        nodes, "category_id", "parent_category_id",
-        {"root_category_key": "category_key", "root_category_id": "category_id",
-         "root_category_name": "category_name"})
+    """Every category reachable from a root, with its root's key, id and name.
+    Walked once per warehouse; the roll-ups share it."""
+    cached = wh.__dict__.get("_category_tree")
+    if cached is None:
+        nodes = wh.dim_category.select("category_key", "category_id", "category_name",
+                                       "parent_category_id")
+        cached = walk_from_roots(
+            nodes, "category_id", "parent_category_id",
+            {"root_category_key": "category_key", "root_category_id": "category_id",
+             "root_category_name": "category_name"})
+        wh.__dict__["_category_tree"] = cached
+    return cached
 
 
 def _sales_by_category(wh: Warehouse) -> DataFrame:
@@ -262,36 +269,48 @@ def _dated_orders_until(wh: Warehouse, as_of: dt.date) -> DataFrame:
         (F.col("full_date") <= F.lit(as_of)) & (F.col("order_date_key") <= date_key(F.lit(as_of))))
 
 
-def customer_ltv_fanout(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame:
-    """The stored function as written: order totals summed over the rows of
-    orders LEFT JOIN lines LEFT JOIN returns, so an order's total counts once
-    per line (and per return of a line), minus all refunds.
-
-    The fan-out rows are never built: each order's row count
-    (sum over its lines of max(1, returns)) is computed by two partial
-    aggregates, and total x count gives the same sum.
-    """
-    as_of = as_of or wh.as_of
+def _fanout_per_order(wh: Warehouse) -> DataFrame:
+    """Per order: how many rows the source's orders-lines-returns join makes
+    (sum over its lines of max(1, returns)) and its refunds; two partial
+    aggregates, the fan-out itself is never built."""
     per_item = wh.fct_order_items.select("order_item_key", "order_key").join(
         _returns_per_item(wh), "order_item_key", "left")
-    per_order = per_item.groupBy("order_key").agg(
+    return per_item.groupBy("order_key").agg(
         F.sum(F.greatest(F.coalesce(F.col("n_returns"), F.lit(0)), F.lit(1))).alias("fan"),
         F.sum("refunds").alias("refunds"))
-    rows = _dated_orders_until(wh, as_of).join(per_order, "order_key", "left")
-    fan = F.coalesce(F.col("fan"), F.lit(1)).cast("decimal(20,0)")
+
+
+def _fanout_ltv(total: Column, fan: Column, refunds: Column, keep: Column) -> Column:
+    """coalesce(sum(total over fan-out rows), 0) - coalesce(sum(refunds), 0)
+    over the rows ``keep`` selects."""
+    rows = F.coalesce(fan, F.lit(1)).cast("decimal(20,0)")
+    return (F.coalesce(F.sum(F.when(keep, total * rows)), F.lit(0))
+            - F.coalesce(F.sum(F.when(keep, refunds)), F.lit(0))).cast(SUM_MONEY)
+
+
+def customer_ltv_fanout(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame:
+    """The stored function as written: order totals summed over the rows of
+    orders LEFT JOIN lines LEFT JOIN returns, so an order's total counts once
+    per line (and per return of a line), minus all refunds; dated orders up
+    to ``as_of``.  One row per customer with such an order."""
+    as_of = as_of or wh.as_of
+    rows = _dated_orders_until(wh, as_of).join(_fanout_per_order(wh), "order_key", "left")
     return rows.groupBy("customer_key").agg(
-        (F.coalesce(F.sum(F.col("total_amount") * fan), F.lit(0))
-         - F.coalesce(F.sum("refunds"), F.lit(0))).cast(SUM_MONEY).alias("lifetime_value"))
+        _fanout_ltv(F.col("total_amount"), F.col("fan"), F.col("refunds"), F.lit(True))
+        .alias("lifetime_value"))
+
+
+def _refunds_per_order(wh: Warehouse) -> DataFrame:
+    return wh.fct_order_items.select("order_item_key", "order_key").join(
+        _returns_per_item(wh), "order_item_key", "inner").groupBy("order_key").agg(
+        F.sum("refunds").alias("refunds"))
 
 
 def customer_ltv(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame:
     """The stated intent: each dated order counted once, minus the refunds
     of its lines."""
     as_of = as_of or wh.as_of
-    refunds = wh.fct_order_items.select("order_item_key", "order_key").join(
-        _returns_per_item(wh), "order_item_key", "inner").groupBy("order_key").agg(
-        F.sum("refunds").alias("refunds"))
-    rows = _dated_orders_until(wh, as_of).join(refunds, "order_key", "left")
+    rows = _dated_orders_until(wh, as_of).join(_refunds_per_order(wh), "order_key", "left")
     return rows.groupBy("customer_key").agg(
         (F.sum("total_amount") - F.coalesce(F.sum("refunds"), F.lit(0))).cast(SUM_MONEY)
         .alias("lifetime_value"))
@@ -299,21 +318,33 @@ def customer_ltv(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame:
 
 def customer_summary(wh: Warehouse, as_of: dt.date | None = None,
                      faithful: bool = True) -> DataFrame:
-    """Every customer: distinct orders, lifetime value, last dated order.
-    Customers without orders get 0, 0 and NULL."""
+    """Every customer: orders (all, dated or not), lifetime value, last
+    dated order; customers without orders get 0, 0 and NULL.
+
+    One grouping by customer computes all three: the order count and last
+    date over every order, the lifetime value over the dated orders up to
+    ``as_of`` (``faithful`` = the source's fan-out form)."""
     as_of = as_of or wh.as_of
     d = _dates(wh, F.col("date_key").alias("order_date_key"), "full_date")
-    per_cust = (
-        wh.fct_orders.join(d, "order_date_key", "left")
-        .groupBy("customer_key")
-        .agg(F.count_distinct("order_key").alias("total_orders"),
-             F.max("full_date").alias("last_order_date"))
-    )
-    ltv = (customer_ltv_fanout if faithful else customer_ltv)(wh, as_of)
+    orders = wh.fct_orders.select("order_key", "customer_key", "order_date_key", "total_amount")
+    keep = F.col("full_date") <= F.lit(as_of)
+    if faithful:
+        rows = orders.join(d, "order_date_key", "left").join(_fanout_per_order(wh), "order_key", "left")
+        ltv = _fanout_ltv(F.col("total_amount"), F.col("fan"), F.col("refunds"), keep)
+    else:
+        refunds = _refunds_per_order(wh)
+        rows = orders.join(d, "order_date_key", "left").join(refunds, "order_key", "left")
+        ltv = (F.coalesce(F.sum(F.when(keep, F.col("total_amount"))), F.lit(0))
+               - F.coalesce(F.sum(F.when(keep, F.col("refunds"))), F.lit(0))).cast(SUM_MONEY)
+    per_cust = rows.groupBy("customer_key").agg(
+        # order_key is the table's unique key and every join here is
+        # one-to-one, so a plain count is the distinct count
+        F.count("order_key").alias("total_orders"),
+        F.max("full_date").alias("last_order_date"),
+        ltv.alias("lifetime_value"))
     return (
         wh.dim_customer.select("customer_key")
         .join(per_cust, "customer_key", "left")
-        .join(ltv, "customer_key", "left")
         .select("customer_key",
                 F.coalesce(F.col("total_orders"), F.lit(0)).cast("int").alias("total_orders"),
                 F.coalesce(F.col("lifetime_value"), F.lit(0)).cast(SUM_MONEY).alias("lifetime_value"),

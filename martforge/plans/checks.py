@@ -124,9 +124,16 @@ MART_MODELS: dict[str, Callable[[Warehouse], DataFrame]] = {
 def model_resolver(wh: Warehouse) -> Callable[[str], DataFrame]:
     cache: dict[str, DataFrame] = {}
 
+    stored = getattr(wh, "stored_marts", {})
+
     def get(name: str) -> DataFrame:
         if name not in cache:
-            cache[name] = MART_MODELS[name](wh) if name in MART_MODELS else getattr(wh, name)
+            if name in stored:
+                cache[name] = stored[name]
+            elif name in MART_MODELS:
+                cache[name] = MART_MODELS[name](wh)
+            else:
+                cache[name] = getattr(wh, name)
         return cache[name]
     return get
 

@@ -219,6 +219,14 @@ class PublishedWarehouse(Warehouse):
                  as_of: dt.date = DEFAULT_AS_OF):
         super().__init__(spark, {}, spine, as_of)
         self.root = root
+        self.stored_marts: dict[str, DataFrame] = {}
+
+    def store_mart(self, name: str, df: DataFrame) -> DataFrame:
+        """Write a mart as a table (full refresh); checks then read the table."""
+        path = f"{self.root}/marts/{name}"
+        df.write.mode("overwrite").parquet(path)
+        self.stored_marts[name] = self.spark.read.parquet(path)
+        return self.stored_marts[name]
 
     dim_date = _stored("dim_date")
     dim_category = _stored("dim_category")
