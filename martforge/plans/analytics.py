@@ -182,7 +182,9 @@ def cohort_signup(wh: Warehouse) -> DataFrame:
 def cohort_first_order(wh: Warehouse) -> DataFrame:
     """Hand-written query: cohort = month of the first dated order, so
     month 0 is always 100%."""
-    om = orders_with_dates(wh).select("customer_key", month_start("full_date").alias("order_month"))
+    # (customer, month) pairs: partial-aggregated before any join
+    om = orders_with_dates(wh).select(
+        "customer_key", month_start("full_date").alias("order_month")).distinct()
     first = om.groupBy("customer_key").agg(F.min("order_month").alias("cohort_month"))
     activity = (
         om.join(first, "customer_key", "inner")
@@ -378,13 +380,19 @@ def refunds_by_state_reason(wh: Warehouse, as_of: dt.date | None = None) -> Data
     items = wh.fct_order_items.select("order_item_key", "order_key")
     orders = wh.fct_orders.select("order_key", "customer_key")
     cust = wh.dim_customer.select("customer_key", "state")
-    return (
+    # aggregate to (customer, reason) before meeting the customer table, so
+    # that join sees one row per customer and reason instead of every return
+    per_customer = (
         recent.join(items, "order_item_key", "inner")
         .join(orders, "order_key", "inner")
-        .join(cust, "customer_key", "inner")
+        .groupBy("customer_key", "return_reason")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("refund_amount").alias("refunded"))
+    )
+    return (
+        per_customer.join(cust, "customer_key", "inner")
         .groupBy("state", "return_reason")
-        .agg(F.count(F.lit(1)).alias("return_count"),
-             money_sum("refund_amount").alias("total_refunded"))
+        .agg(F.sum("n").alias("return_count"),
+             F.sum("refunded").cast(SUM_MONEY).alias("total_refunded"))
         .orderBy(F.col("total_refunded").desc(), "state", "return_reason")
     )
 
