@@ -46,8 +46,8 @@ def main() -> None:
         df.write.format("noop").mode("overwrite").save()
 
     # 1. build: landing -> staging -> star, written as tables
-    wh = Warehouse.from_driver_tables(spark, sf_dir)
-    timed("etl_build", lambda: write_warehouse(wh, f"{root}/warehouse"))
+    timed("etl_build", lambda: write_warehouse(Warehouse.from_driver_tables(spark, sf_dir),
+                                               f"{root}/warehouse"))
     pw = PublishedWarehouse(spark, f"{root}/warehouse")
     # 2. marts, each written as a table (as the model build materialises them)
     for name, build in C.MART_MODELS.items():

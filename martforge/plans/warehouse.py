@@ -91,10 +91,15 @@ class Warehouse:
     def int_order_totals(self) -> DataFrame:
         """Every staged order with the sum of its lines (0 without lines).
 
-        Lines are aggregated to one row per order *before* the join
-        (partial aggregation map-side, then a shuffle of one row per order).
+        The source sums the enriched lines (lines joined to their order and
+        product).  With order ids and product ids unique - the error-severity
+        tests ``unique_stg_orders_order_id`` and
+        ``unique_stg_products_product_id`` - those joins only drop lines of
+        unknown orders, which the left join below drops as well, so the
+        lines are aggregated straight from staging: partial sums map-side,
+        one row per order shuffled, no line-level join at all.
         """
-        totals = self.int_order_items_enriched.groupBy("order_id").agg(
+        totals = self.stg_order_items.groupBy("order_id").agg(
             F.sum("line_total").cast(SUM_MONEY).alias("total_amount"))
         return self.stg_orders.join(totals, "order_id", "left").select(
             "order_id", "customer_id", "order_date", "order_status", "payment_method",
@@ -147,10 +152,14 @@ class Warehouse:
 
     @cached_property
     def fct_order_items(self) -> DataFrame:
+        """Lines with their order and product keys.  The source starts from
+        the enriched lines; with the staging keys unique (see
+        ``int_order_totals``) the staged lines give the same rows with two
+        fewer line-sized shuffles."""
         orders = self.fct_orders.select("order_id", "order_key")
         prods = self.dim_product.select("product_id", "product_key")
         joined = (
-            self.int_order_items_enriched.join(orders, "order_id", "inner")
+            self.stg_order_items.join(orders, "order_id", "inner")
             .join(prods, "product_id", "inner")
             .select("order_item_id", "order_key", "product_key", "quantity", "unit_price",
                     "discount_pct", "line_total")

@@ -23,3 +23,11 @@ def test_partition_count_does_not_change_results(spark):
     wh8 = Warehouse.from_driver_tables(spark, SF_SMALL)
     assert a == sorted(tuple(r) for r in A.customer_rfm(wh8).collect())
     assert b_items == sorted(tuple(r) for r in wh8.fct_order_items.collect())
+
+
+def test_entry_smoke(spark):
+    import __spark_entry__ as e
+    df = e.entry(spark)
+    assert df.columns == ["order_month", "revenue", "prior_month_revenue", "mom_growth_pct"]
+    assert df.count() > 0
+    assert set(e.oracle_sql()) <= set(e.queries())
