@@ -42,6 +42,19 @@ def _norm(v):
     return str(v)
 
 
+_SPARK_TO_DUCK = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+    "date": "DATE", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP WITH TIME ZONE",
+    "timestamp_ntz": "TIMESTAMP", "smallint": "SMALLINT", "float": "FLOAT",
+}
+
+
+def spark_type_as_duck(simple: str) -> str:
+    if simple.startswith("decimal"):
+        return simple.upper()
+    return _SPARK_TO_DUCK.get(simple, simple.upper())
+
+
 def rows_of(columns: list[str], rows) -> list[tuple]:
     order = sorted(range(len(columns)), key=lambda i: columns[i])
     out = [tuple(_norm(r[i]) for i in order) for r in rows]
@@ -59,6 +72,7 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
         try:
             df = qs[name](spark, sf_dir)
             s_cols = df.columns
+            s_types = {f.name: spark_type_as_duck(f.dataType.simpleString()) for f in df.schema.fields}
             s_rows = [tuple(r) for r in df.collect()]
         except Exception as e:  # noqa: BLE001
             results[name] = f"SPARK ERROR {type(e).__name__}: {str(e)[:300]}"
@@ -74,6 +88,7 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
         try:
             cur = con.execute(os_[name])
             d_cols = [c[0] for c in cur.description]
+            d_types = {c[0]: str(c[1]) for c in cur.description}
             d_rows = cur.fetchall()
         except Exception as e:  # noqa: BLE001
             results[name] = f"ORACLE ERROR {type(e).__name__}: {str(e)[:300]}"
@@ -83,6 +98,10 @@ def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
         status = []
         if sorted(s_cols) != sorted(d_cols):
             status.append(f"columns differ spark={s_cols} duck={d_cols}")
+        type_diff = {c: (s_types[c], d_types.get(c)) for c in s_cols
+                     if c in d_types and s_types[c] != d_types[c]}
+        if type_diff:
+            status.append(f"types differ {type_diff}")
         if len(s_rows) != len(d_rows):
             status.append(f"rows differ spark={len(s_rows)} duck={len(d_rows)}")
         if not status:
