@@ -33,6 +33,18 @@ def audit_status_changes(old: DataFrame, new: DataFrame, key: str, col: str,
     return out
 
 
+def apply_updates(current: DataFrame, updates: DataFrame, key: str) -> DataFrame:
+    """``UPDATE current SET <cols> = updates.<cols> WHERE key matches``: rows
+    in the batch take its values, the others keep theirs."""
+    value_cols = [c for c in updates.columns if c != key]
+    u = updates.select(key, *[F.col(c).alias(f"_mf_new_{c}") for c in value_cols],
+                       F.lit(True).alias("_mf_hit"))
+    hit = F.coalesce(F.col("_mf_hit"), F.lit(False))
+    return current.join(u, key, "left").select(
+        *[F.when(hit, F.col(f"_mf_new_{c}")).otherwise(F.col(c)).alias(c) if c in value_cols
+          else F.col(c) for c in current.columns])
+
+
 def touch_updated_at(current: DataFrame, updates: DataFrame, key: str,
                      ts_col: str = "updated_at", stamp: Column | None = None,
                      only_if_changed: Sequence[str] | None = None) -> DataFrame:

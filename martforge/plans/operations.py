@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from martforge.functions.clean import SUM_MONEY
 from martforge.operators.changes import (
+    apply_updates,
     audit_status_changes,
     backfill_column,
     insert_ignore,
@@ -26,7 +27,7 @@ from martforge.operators.changes import (
 from martforge.plans import analytics as A
 from martforge.plans import checks as C
 from martforge.plans.publish import append_table, atomic_publish, published_row_counts
-from martforge.plans.staging import CUSTOMER_COLUMNS, _customers_typed
+from martforge.plans.staging import CUSTOMER_COLUMNS, customers_typed
 from martforge.plans.warehouse import Warehouse
 from martforge.session import scratch_path
 from martforge.sources.driver import read_table
@@ -80,7 +81,7 @@ def insert_ignore_job(wh: Warehouse) -> DataFrame:
     rows, duplicates included) inserts only customers not yet present,
     first by raw text order."""
     existing = wh.stg_customers.filter(F.col("signup_date") < F.lit(EARLIER_LOAD_BEFORE))
-    incoming = _customers_typed(wh.landing["customers"], wh.strict)
+    incoming = customers_typed(wh.landing["customers"], wh.strict)
     order = [F.col("_signup_text").asc_nulls_last()] + [
         F.col(c).asc_nulls_last() for c in CUSTOMER_COLUMNS if c != "customer_id"]
     return insert_ignore(incoming, existing, ["customer_id"], order).select(*CUSTOMER_COLUMNS)
@@ -241,8 +242,7 @@ def guard_returned(orders_after: DataFrame, changed_keys: DataFrame, items: Data
 def guard_returned_job(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
     """Check the status update batch against the returned-order rule."""
     upd = orders_status_update(wh, spark, sf_dir)
-    after = touch_updated_at(wh.fct_orders.select("order_key", "order_status"), upd, "order_key",
-                             ts_col="_none")
+    after = apply_updates(wh.fct_orders.select("order_key", "order_status"), upd, "order_key")
     return guard_returned(after, upd, wh.fct_order_items, wh.fct_returns)
 
 

@@ -25,7 +25,7 @@ CUSTOMER_COLUMNS = ["customer_id", "full_name", "email", "signup_date", "city",
                     "country", "segment"]
 
 
-def _customers_typed(raw: DataFrame, strict: bool = True) -> DataFrame:
+def customers_typed(raw: DataFrame, strict: bool = True) -> DataFrame:
     return raw.select(
         "customer_id",
         "full_name",
@@ -39,7 +39,7 @@ def _customers_typed(raw: DataFrame, strict: bool = True) -> DataFrame:
 def stg_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
     """Clean e-mail, parse signup date, keep one row per customer_id:
     the earliest parsed signup date (NULL last), then the other columns."""
-    typed = _customers_typed(raw, strict)
+    typed = customers_typed(raw, strict)
     order = [F.col("signup_date").asc_nulls_last()] + [
         F.col(c).asc_nulls_last() for c in CUSTOMER_COLUMNS if c not in ("customer_id", "signup_date")
     ]
@@ -49,7 +49,7 @@ def stg_customers(raw: DataFrame, strict: bool = True) -> DataFrame:
 def stg_customers_text_order(raw: DataFrame, strict: bool = True) -> DataFrame:
     """The hand-written load's variant: the kept row is the first by the
     *raw signup text* (its ORDER BY names the input column), NULL last."""
-    typed = _customers_typed(raw, strict)
+    typed = customers_typed(raw, strict)
     order = [F.col("_signup_text").asc_nulls_last()] + [
         F.col(c).asc_nulls_last() for c in CUSTOMER_COLUMNS if c != "customer_id"
     ]

@@ -47,3 +47,26 @@ def test_ntile_bucket_sizes(spark):
 def test_ntile_of_expression(spark):
     df = spark.createDataFrame([(i, 7) for i in range(1, 8)], "r long, n long")
     assert [x[0] for x in df.select(ntile_of("r", "n", 5)).collect()] == [1, 1, 2, 2, 3, 4, 5]
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(-5, 5))),
+                min_size=0, max_size=60),
+       st.integers(1, 6), st.integers(1, 7))
+def test_rank_and_ntile_property(spark, rows, parts, buckets):
+    """Any data, any partition count: rank equals row_number and the n-tile
+    equals NTILE over the same total order (NULLs first, unique tie-break)."""
+    data = [(k, v, i) for i, (k, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "k int, v int, id int")
+    order = [F.col("k").desc(), F.col("v").asc_nulls_first(), F.col("id")]
+    got = with_global_rank(df, order, "rk", num_partitions=parts)
+    got = got.withColumn("nt", ntile_of("rk", F.lit(len(data)), buckets))
+    w = Window.orderBy(*order)
+    ref = df.select("id", F.row_number().over(w).alias("rk2"), F.ntile(buckets).over(w).alias("nt2"))
+    bad = got.join(ref, "id").filter((F.col("rk") != F.col("rk2")) | (F.col("nt") != F.col("nt2")))
+    assert bad.count() == 0
+    assert got.count() == len(data)
