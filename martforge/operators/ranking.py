@@ -7,7 +7,8 @@ compute the same numbers in parallel:
 
 1. range-partition the rows on the sort keys and sort inside each partition
    (one shuffle, split points sampled by Spark, so a hot leading key is still
-   split across partitions when later keys differ);
+   split across partitions when later keys differ; AQE sizes the partitions
+   unless a count is given);
 2. tag each row with ``monotonically_increasing_id`` = (partition << 33) +
    position, and cut lineage with a reliable checkpoint so that the tags (and
    the sampled range bounds behind them) never change on a retry;
@@ -34,12 +35,6 @@ _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return int(num_partitions)
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def _as_columns(order: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
@@ -55,9 +50,14 @@ def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
     rows is added too (needed for n-tiles).
     """
     cols = _as_columns(order)
-    n = _partitions(df, num_partitions)
+    # Without a count the range shuffle is sized by AQE: it starts from
+    # spark.sql.adaptive.coalescePartitions.initialPartitionNum (or the
+    # shuffle partitions) and merges neighbouring ranges up to the advisory
+    # partition size, which keeps the global order and follows the data size.
+    ranged = (df.repartitionByRange(int(num_partitions), *cols) if num_partitions
+              else df.repartitionByRange(*cols))
     tagged = (
-        df.repartitionByRange(n, *cols)
+        ranged
         .sortWithinPartitions(*cols)
         .withColumn("_mf_tag", F.monotonically_increasing_id())
     )

@@ -70,3 +70,15 @@ def test_rank_and_ntile_property(spark, rows, parts, buckets):
     bad = got.join(ref, "id").filter((F.col("rk") != F.col("rk2")) | (F.col("nt") != F.col("nt2")))
     assert bad.count() == 0
     assert got.count() == len(data)
+
+
+def test_rank_with_aqe_sized_partitions(spark):
+    """No partition count: AQE coalesces neighbouring ranges; order holds."""
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2k")
+    try:
+        df = spark.range(3000).select((F.col("id") * 7919 % 3001).alias("k"), "id")
+        got = with_global_rank(df, ["k", "id"], "rk")
+        ref = df.withColumn("rk2", F.row_number().over(Window.orderBy("k", "id")))
+        assert got.join(ref, ["k", "id"]).filter(F.col("rk") != F.col("rk2")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
