@@ -290,13 +290,21 @@ def _fanout_ltv(total: Column, fan: Column, refunds: Column, keep: Column) -> Co
             - F.coalesce(F.sum(F.when(keep, refunds)), F.lit(0))).cast(SUM_MONEY)
 
 
-def customer_ltv_fanout(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame:
+def customer_ltv_fanout(wh: Warehouse, as_of: dt.date | None = None,
+                        customer_keys: DataFrame | None = None) -> DataFrame:
     """The stored function as written: order totals summed over the rows of
     orders LEFT JOIN lines LEFT JOIN returns, so an order's total counts once
     per line (and per return of a line), minus all refunds; dated orders up
-    to ``as_of``.  One row per customer with such an order."""
+    to ``as_of``.  One row per customer with such an order.
+
+    The source calls the function once per customer; here it is one grouped
+    job for all customers, or for the ``customer_keys`` given (a frame with a
+    ``customer_key`` column, applied as a semi join before aggregating)."""
     as_of = as_of or wh.as_of
-    rows = _dated_orders_until(wh, as_of).join(_fanout_per_order(wh), "order_key", "left")
+    orders = _dated_orders_until(wh, as_of)
+    if customer_keys is not None:
+        orders = orders.join(customer_keys.select("customer_key"), "customer_key", "left_semi")
+    rows = orders.join(_fanout_per_order(wh), "order_key", "left")
     return rows.groupBy("customer_key").agg(
         _fanout_ltv(F.col("total_amount"), F.col("fan"), F.col("refunds"), F.lit(True))
         .alias("lifetime_value"))

@@ -11,6 +11,7 @@ in that extract.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,8 @@ from martforge.sources.driver import read_table
 from martforge.sources.landing import ID_WIDTH
 from martforge.streaming.audit_stream import run_audit_once
 
+log = logging.getLogger("martforge")
+
 # --- fixed values: status moves of the later extract ---------------------------
 FINISHED, OPEN = "F", "O"
 LOAD_TIME = dt.datetime(2002, 1, 1, 0, 0, 0)      # stamp of the initial load
@@ -108,9 +111,14 @@ def backfill_order_totals_job(wh: Warehouse) -> DataFrame:
 def refresh_customer_summary(wh: Warehouse, spark: SparkSession, path: str | None = None) -> DataFrame:
     """Rebuild the summary table (full overwrite, with refresh time) and
     return it as read back, without the time column."""
+    from pyspark.sql import Observation
+
     path = path or _run_dir(spark, "customer_summary")
     summary = A.customer_summary(wh).withColumn("refreshed_at", F.current_timestamp())
-    summary.write.mode("overwrite").parquet(path)
+    written = Observation("customer_summary")
+    # the row count is observed while writing (no second pass)
+    summary.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+    log.info("customer_summary refreshed: %s rows", written.get["rows"])
     return spark.read.parquet(path).drop("refreshed_at")
 
 

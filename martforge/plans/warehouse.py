@@ -207,6 +207,27 @@ TABLE_MODELS = ["dim_date", "dim_category", "dim_customer", "dim_product", "fct_
 LAYOUT = {"fct_orders": ["customer_key"]}
 
 
+# layer -> materialisation, as the source's model project configures it:
+# staging and intermediate models are views (recomputed by each reader),
+# dimensions, facts and marts are tables
+MATERIALIZATION = {"stg_": "view", "int_": "view", "dim_": "table", "fct_": "table",
+                   "mart_": "table"}
+VIEW_MODELS = ["stg_customers", "stg_categories", "stg_products", "stg_orders",
+               "stg_order_items", "stg_returns", "int_order_items_enriched",
+               "int_order_totals", "int_customer_order_facts"]
+
+
+def register_views(wh: Warehouse, prefix: str = "") -> list[str]:
+    """Make every model queryable from Spark SQL as a temporary view (lazy:
+    a view is planned into each query that reads it)."""
+    names = []
+    for name in VIEW_MODELS + ["dim_date", "dim_category", "dim_customer", "dim_product",
+                               "fct_orders", "fct_order_items", "fct_returns"]:
+        getattr(wh, name).createOrReplaceTempView(prefix + name)
+        names.append(prefix + name)
+    return names
+
+
 def write_warehouse(wh: Warehouse, root: str, models: list[str] | None = None) -> None:
     """Materialise the table models under ``root`` (full refresh)."""
     from martforge.plans.publish import write_table

@@ -114,3 +114,17 @@ def test_dbt_suite_catches_broken_frames(spark):
     assert report["relationships_stg_orders_customer_id_stg_customers"] == 1
     assert report["accepted_values_stg_orders_order_status"] == 1
     assert report["relationships_stg_order_items_product_id_stg_products"] == 1
+
+
+def test_ltv_for_given_keys_and_sql_views(spark):
+    from martforge.plans.warehouse import register_views
+    orders = [("O1", "C1", "2024-01-05", "delivered", "paypal", "0.00"),
+              ("O2", "C2", "2024-01-06", "delivered", "paypal", "0.00")]
+    items = [("I1", "O1", "P1", "1", "10.00", "0"), ("I2", "O2", "P2", "1", "5.00", "0")]
+    wh = _wh(spark, orders, items)
+    keys = spark.createDataFrame([(2,)], "customer_key long")
+    got = {r.customer_key: r.lifetime_value for r in A.customer_ltv_fanout(wh, customer_keys=keys).collect()}
+    assert got == {2: Decimal("5.00")}
+    names = register_views(wh, prefix="t_")
+    assert "t_fct_orders" in names
+    assert spark.sql("SELECT count(*) FROM t_fct_orders").first()[0] == 2
