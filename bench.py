@@ -13,8 +13,8 @@ import json
 import os
 import re
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -25,7 +25,7 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
-    from martforge.session import build_session, checkpoint_dir
+    from martforge.session import build_session, checkpoint_dir, scratch_path
     spark = build_session(f"local[{cpus}]", app="martforge-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "16g"})
     spark.sparkContext.setLogLevel("ERROR")
@@ -37,7 +37,7 @@ def main() -> None:
     from martforge.plans.warehouse import PublishedWarehouse, Warehouse, write_warehouse
 
     def pipeline(sf_path: str, timings: dict[str, float]) -> None:
-        root = tempfile.mkdtemp(prefix="martforge-bench-")
+        root = scratch_path(spark, f"bench-{uuid.uuid4().hex[:8]}")
 
         def timed(name, fn):
             t0 = time.perf_counter()

@@ -79,3 +79,19 @@ def test_deep_chain_walk(spark):
     walked = walk_from_roots(nodes, "id", "parent", {"root": "id"})
     got = {r.id: r.depth for r in walked.collect()}
     assert got == {f"N{i}": i for i in range(12)}
+
+
+def test_constraint_suite_aborts_publish_on_driver_tables(spark):
+    """The hand-written load refuses orders without a parseable date (NOT NULL
+    date key); the same constraint stops publishing here, old data stays."""
+    from conftest import SF_SMALL
+    from martforge.plans import checks as C
+    from martforge.plans.warehouse import warehouse_for
+    wh = warehouse_for(spark, SF_SMALL)
+    report = C.run_checks(wh, C.CONSTRAINT_SUITE)
+    failing = {r.check_name: r.failing_rows for r in report.filter(F.col("failing_rows") > 0).collect()}
+    assert set(failing) == {"ddl_not_null_fct_orders_order_date_key"}
+    root = tempfile.mkdtemp(prefix="mf-pub-")
+    with pytest.raises(DataQualityError):
+        atomic_publish(spark, {"fct_orders": wh.fct_orders}, root, checks=report)
+    assert current_version(spark, root) is None
