@@ -2,7 +2,6 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from martforge.functions import (
     date_key, day_of_week_sun0, line_total, month_distance, month_start, normalize_email,

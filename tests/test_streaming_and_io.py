@@ -2,7 +2,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from martforge.operators.changes import audit_status_changes
 from martforge.sources.landing import scan_raw_csv, write_landing_csv
