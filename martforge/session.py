@@ -40,8 +40,20 @@ def build_session(master: str | None = None, app: str = "martforge",
     return spark
 
 
+# private folders of local sessions without spark.checkpoint.dir (tests)
+_LOCAL_DIRS: dict[str, str] = {}
+
+
+def _conf(spark: SparkSession, key: str) -> str | None:
+    try:
+        value = spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - unknown keys raise on some versions
+        value = None
+    return value or None
+
+
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return (_conf(spark, "spark.master") or "").startswith("local")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -52,26 +64,28 @@ def checkpoint_dir(spark: SparkSession) -> str:
     cluster without it is an error, since a machine-local folder would not
     survive the loss of an executor.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    configured = _conf(spark, "spark.checkpoint.dir")
+    if configured is None:
+        try:  # classic sessions: the context may have been given a folder directly
+            configured = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no context in a remote session
+            configured = None
     if not configured:
         if not _is_local(spark):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="martforge-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+        app = _conf(spark, "spark.app.id") or "app"
+        configured = _LOCAL_DIRS.setdefault(app, tempfile.mkdtemp(prefix="martforge-ckpt-"))
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for written intermediate tables."""
+    """A path under the shared checkpoint folder for written intermediate
+    tables, one sub-folder per application."""
     base = checkpoint_dir(spark)
-    sub = f"martforge-{spark.sparkContext.applicationId}"
     if base.startswith("file:"):
         base = base[len("file:"):]
-    return os.path.join(base, sub, name)
+    app = _conf(spark, "spark.app.id") or "app"
+    return os.path.join(base, f"martforge-{app}", name)
 
 
 def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
