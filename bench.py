@@ -34,7 +34,8 @@ def main() -> None:
     from martforge.operators.quality import run_suite
     from martforge.plans import analytics as A
     from martforge.plans import checks as C
-    from martforge.plans.warehouse import PublishedWarehouse, Warehouse, write_warehouse
+    from martforge.plans.publish import write_table
+    from martforge.plans.warehouse import LAYOUT, TABLE_MODELS, PublishedWarehouse, Warehouse
 
     def pipeline(sf_path: str, timings: dict[str, float]) -> None:
         root = scratch_path(spark, f"bench-{uuid.uuid4().hex[:8]}")
@@ -47,9 +48,17 @@ def main() -> None:
         def run(df):
             df.write.format("noop").mode("overwrite").save()
 
-        # 1. build: landing -> staging -> star, written as tables
-        timed("etl_build", lambda: write_warehouse(Warehouse.from_driver_tables(spark, sf_path),
-                                                   f"{root}/warehouse"))
+        # 1. build: landing -> staging -> star, each table model timed on its
+        #    own (upstream views are computed inside the model that reads them)
+        t0 = time.perf_counter()
+        holder = {}
+        timed("landing_line_numbering",
+              lambda: holder.setdefault("wh", Warehouse.from_driver_tables(spark, sf_path)))
+        wh = holder["wh"]
+        for name in TABLE_MODELS:
+            timed(name, lambda n=name: write_table(getattr(wh, n), f"{root}/warehouse/{n}",
+                                                   sort_by=LAYOUT.get(n)))
+        timings["etl_build_total"] = round(time.perf_counter() - t0, 3)
         pw = PublishedWarehouse(spark, f"{root}/warehouse")
         # 2. marts, each written as a table (as the model build materialises them)
         for name, build in C.MART_MODELS.items():
@@ -75,7 +84,7 @@ def main() -> None:
     timings: dict[str, float] = {}
     pipeline(sf_dir, timings)
 
-    total = round(sum(timings.values()), 3)
+    total = round(sum(v for k, v in timings.items() if k != "etl_build_total"), 3)
     print(json.dumps({"metric": "warehouse_build_plus_marts_total_warm", "value": total, "unit": "sec",
                       "queries": timings, "sf": sf}))
     spark.stop()

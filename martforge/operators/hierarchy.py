@@ -3,8 +3,10 @@
 The source writes ``WITH RECURSIVE tree AS (roots UNION ALL children joined
 to tree)``.  Here the same walk is a loop of equi-joins, one per level: the
 frontier (nodes found at the previous level) is joined to the node table on
-``parent = id``.  Each level is checkpointed so the plan stays a union of
-scans however deep the tree is, and the loop ends when a level is empty.
+``parent = id``, and the loop ends when a level is empty.  Every
+``cut_every`` levels the frontier is written to the shared checkpoint folder,
+so the plan stays small however deep the tree is, while a shallow tree
+needs no write at all.
 
 Nodes whose chain never reaches a root (a missing parent, or a cycle) are
 not reached - as in the source.  ``unreachable_nodes`` reports them.
@@ -23,7 +25,8 @@ class HierarchyTooDeep(RuntimeError):
 
 
 def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
-                    root_carry: dict[str, str], max_depth: int = 1000) -> DataFrame:
+                    root_carry: dict[str, str], max_depth: int = 1000,
+                    cut_every: int = 8) -> DataFrame:
     """Return every node reachable from a root with the root's columns.
 
     ``root_carry`` maps output names to node columns copied from the root
@@ -37,7 +40,7 @@ def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
         *[F.col(src).alias(dst) for dst, src in root_carry.items()],
         F.lit(0).alias("depth"),
     )
-    frontier = cut_lineage(roots)
+    frontier = roots
     levels = [frontier]
     depth = 0
     while True:
@@ -49,7 +52,7 @@ def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
             F.col(id_col).alias("_mf_parent_id"), *carried, F.col("depth").alias("_mf_depth"))
         children = nodes.join(parents, nodes[parent_col] == parents["_mf_parent_id"], "inner").select(
             *[nodes[c] for c in node_cols], *carried, (F.col("_mf_depth") + 1).alias("depth"))
-        frontier = cut_lineage(children)
+        frontier = cut_lineage(children, "tree") if depth % cut_every == 0 else children
         if frontier.isEmpty():
             break
         levels.append(frontier)
