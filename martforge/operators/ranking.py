@@ -16,7 +16,8 @@ compute the same numbers in parallel:
    reaches the driver - a size bound set by the partition count, not by the
    data) and turn the counts into running offsets;
 4. rank = offset of the row's partition + its position + 1, with the offsets
-   applied as a constant array (no join, no extra job).
+   applied as a constant array (no join) - or, past a few thousand
+   partitions, as a broadcast table so they are not shipped with every task.
 
 n-tiles follow from the rank and the total row count by arithmetic, with the
 same bucket sizes as SQL ``NTILE``.
@@ -33,6 +34,8 @@ from martforge.session import cut_lineage
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
+# above this many partitions the offsets travel as a broadcast table
+_LITERAL_OFFSETS_MAX = 4096
 
 
 def _as_columns(order: Sequence) -> list[Column]:
@@ -71,13 +74,20 @@ def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
     for p in range(n_parts):
         offsets.append(running)
         running += counts.get(p, 0)
-    if offsets:
-        offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
-                              (part + 1).cast("int"))
+    position = F.col("_mf_tag").bitwiseAND(F.lit(_POS_MASK))
+    if len(offsets) <= _LITERAL_OFFSETS_MAX:
+        # a few thousand numbers: a constant in the plan, no join
+        offset = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
+                               (part + 1).cast("int")) if offsets else F.lit(0).cast("long"))
+        out = tagged.withColumn(rank_col, (offset + position + 1).cast("long"))
     else:
-        offset = F.lit(0).cast("long")
-    rank = offset + F.col("_mf_tag").bitwiseAND(F.lit(_POS_MASK)) + 1
-    out = tagged.withColumn(rank_col, rank.cast("long"))
+        # many partitions: a constant would be shipped with every task, so
+        # broadcast the offsets table once (one row per partition)
+        table = tagged.sparkSession.createDataFrame(
+            list(enumerate(offsets)), "_mf_part long, _mf_offset long")
+        out = (tagged.join(F.broadcast(table), part == F.col("_mf_part"), "inner")
+               .withColumn(rank_col, (F.col("_mf_offset") + position + 1).cast("long"))
+               .drop("_mf_part", "_mf_offset"))
     if total_col:
         out = out.withColumn(total_col, F.lit(running).cast("long"))
     return out.drop("_mf_tag")

@@ -82,3 +82,14 @@ def test_rank_with_aqe_sized_partitions(spark):
         assert got.join(ref, ["k", "id"]).filter(F.col("rk") != F.col("rk2")).count() == 0
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_rank_with_broadcast_offsets(spark, monkeypatch):
+    """The broadcast-table form of the offsets gives the same ranks."""
+    import martforge.operators.ranking as R
+    monkeypatch.setattr(R, "_LITERAL_OFFSETS_MAX", 2)
+    df = spark.range(500).select((F.col("id") * 37 % 101).alias("k"), "id")
+    got = R.with_global_rank(df, ["k", "id"], "rk", "n", num_partitions=7)
+    ref = df.withColumn("rk2", F.row_number().over(Window.orderBy("k", "id")))
+    assert got.join(ref, ["k", "id"]).filter(F.col("rk") != F.col("rk2")).count() == 0
+    assert {r.n for r in got.select("n").distinct().collect()} == {500}
