@@ -23,6 +23,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--master", default=None)
     ap.add_argument("--constraints", action="store_true", help="check the DDL constraints")
     ap.add_argument("--rows", type=int, default=20)
+    ap.add_argument("--threads", type=int, default=4, help="concurrent models per wave")
     args = ap.parse_args(argv)
 
     from martforge.plans import registry
@@ -53,10 +54,18 @@ def main(argv: list[str] | None = None) -> int:
         return 2
     from martforge.operators.quality import raise_on_errors
     from martforge.plans.publish import atomic_publish
-    from martforge.plans.warehouse import TABLE_MODELS
-    tables = {name: getattr(wh, name) for name in TABLE_MODELS}
-    tables.update({name: fn(wh) for name, fn in C.MART_MODELS.items()})
-    report = C.run_checks(wh, C.DBT_SUITE)
+    import uuid
+
+    from martforge.plans.warehouse import TABLE_MODELS, PublishedWarehouse, write_warehouse
+    from martforge.session import scratch_path
+    # build the star once (concurrent models per wave), test, then publish
+    staged = scratch_path(spark, f"build-{uuid.uuid4().hex[:8]}")
+    write_warehouse(wh, staged, threads=args.threads)
+    pw = PublishedWarehouse(spark, staged)
+    tables = {name: getattr(pw, name) for name in TABLE_MODELS}
+    tables.update({name: fn(pw) for name, fn in C.MART_MODELS.items()})
+    staging_checks = [c for c in C.DBT_SUITE if c.model.startswith("stg_")]
+    report = C.run_checks(wh, staging_checks).unionByName(C.run_checks(pw, C.MART_SUITE))
     for w in raise_on_errors(report):
         print(f"warning: {w['check_name']} failed on {w['failing_rows']} rows", file=sys.stderr)
     version = atomic_publish(spark, tables, args.out)
