@@ -65,8 +65,13 @@ def orders_status_update(wh: Warehouse, spark: SparkSession, sf_dir: str) -> Dat
 
 
 def audit_status_changes_job(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audit_status_changes(wh.fct_orders, orders_status_update(wh, spark, sf_dir),
-                                "order_key", "order_status")
+    """The audit rows of the update batch, numbered like the audit table's
+    serial key (``audit_id``, in order key order; ``changed_at`` is the
+    write time and left out)."""
+    from martforge.operators.ranking import with_surrogate_key
+    changes = audit_status_changes(wh.fct_orders, orders_status_update(wh, spark, sf_dir),
+                                   "order_key", "order_status")
+    return with_surrogate_key(changes, ["order_key"], "audit_id")
 
 
 def touch_updated_at_job(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
