@@ -148,6 +148,19 @@ def customer_rfm_named(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame
     )
 
 
+def rfm_build_parity(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame:
+    """Customers per segment in both builds side by side (the reference
+    compares the two builds' RFM split).  The model build scores every
+    order; the hand-written one only dated orders."""
+    a = customer_rfm(wh, as_of).groupBy("segment").agg(F.count(F.lit(1)).alias("model_build"))
+    b = customer_rfm_named(wh, as_of).groupBy(F.col("rfm_segment").alias("segment")).agg(
+        F.count(F.lit(1)).alias("handwritten_build"))
+    return a.join(b, "segment", "full").select(
+        "segment",
+        F.coalesce("model_build", F.lit(0)).cast("long").alias("model_build"),
+        F.coalesce("handwritten_build", F.lit(0)).cast("long").alias("handwritten_build"))
+
+
 def sort_rfm_top20(wh: Warehouse, as_of: dt.date | None = None, n: int = 20) -> DataFrame:
     """The 20 best RFM totals (a top-k: each task keeps its own 20 first)."""
     return customer_rfm_named(wh, as_of).orderBy(

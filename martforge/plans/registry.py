@@ -28,7 +28,7 @@ MODELS = [
     "stg_customers", "stg_categories", "stg_products", "stg_orders", "stg_order_items",
     "stg_returns", "int_order_items_enriched", "int_order_totals", "int_customer_order_facts",
     "dim_date", "dim_category", "dim_customer", "dim_product", "fct_orders", "fct_order_items",
-    "fct_returns",
+    "fct_returns", "dim_product_handwritten",
 ]
 
 ANALYTICS: dict[str, Callable[[Warehouse], DataFrame]] = {
@@ -52,6 +52,7 @@ ANALYTICS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "customer_order_history": A.customer_order_history,
     "bi_revenue_overview": A.bi_revenue_overview,
     "bi_segments": A.bi_segments,
+    "rfm_build_parity": A.rfm_build_parity,
 }
 
 

@@ -137,6 +137,15 @@ class Warehouse:
             "unit_price", "is_active")
         return with_surrogate_key(joined, ["product_id"], "product_key")
 
+    @cached_property
+    def dim_product_handwritten(self) -> DataFrame:
+        """The hand-written load's product table: it keeps the category id
+        (a foreign key to the category table), not the category key and name."""
+        return with_surrogate_key(
+            self.stg_products.select("product_id", "product_name", "category_id", "brand",
+                                     "unit_price", "is_active"),
+            ["product_id"], "product_key")
+
     # --- facts ---------------------------------------------------------------
     @cached_property
     def fct_orders(self) -> DataFrame:
