@@ -10,8 +10,9 @@ compute the same numbers in parallel:
    split across partitions when later keys differ; AQE sizes the partitions
    unless a count is given);
 2. tag each row with ``monotonically_increasing_id`` = (partition << 33) +
-   position, and cut lineage with a reliable checkpoint so that the tags (and
-   the sampled range bounds behind them) never change on a retry;
+   position, and cut lineage (a Parquet table in the shared checkpoint
+   folder) so that the tags, and the sampled range bounds behind them, never
+   change on a retry or for a second reader;
 3. count rows per partition (a partial aggregate; one row per partition
    reaches the driver - a size bound set by the partition count, not by the
    data) and turn the counts into running offsets;
