@@ -109,10 +109,15 @@ class Warehouse:
 
     @cached_property
     def int_customer_order_facts(self) -> DataFrame:
-        """Last order date, order count and money per customer (all statuses)."""
+        """Last order date, order count and money per customer (all statuses).
+
+        The source counts distinct order ids; with order ids unique in
+        staging (``unique_stg_orders_order_id``, see ``int_order_totals``)
+        a plain count is the same number without the extra shuffle that a
+        distinct count plans."""
         return self.int_order_totals.groupBy("customer_id").agg(
             F.max("order_date").alias("last_order_date"),
-            F.count_distinct("order_id").alias("frequency"),
+            F.count("order_id").alias("frequency"),
             F.sum("total_amount").cast(SUM_MONEY).alias("monetary"),
         )
 
