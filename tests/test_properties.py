@@ -38,3 +38,41 @@ def test_audit_matches_brute_force(spark, old, new):
     n = spark.createDataFrame(sorted(new.items()) or [], "k int, s string")
     got = sorted(tuple(r) for r in audit_status_changes(o, n, "k", "s").collect())
     assert got == want
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 4), st.one_of(st.none(), st.integers(0, 5)),
+                          st.integers(0, 50)), max_size=15, unique_by=lambda t: t[2]))
+def test_distinct_on_matches_brute_force(spark, rows):
+    from martforge.operators.dedup import distinct_on
+    want = {}
+    for k, d, x in sorted(rows, key=lambda t: (t[0], t[1] is None, t[1] or 0, t[2])):
+        want.setdefault(k, (k, d, x))    # first by d (NULL last), then x
+    df = spark.createDataFrame(rows or [], "k int, d int, x int")
+    got = distinct_on(df, ["k"], [F.col("d").asc_nulls_last(), "x"]).collect()
+    assert sorted(tuple(r) for r in got) == sorted(want.values())
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(0, 11)), min_size=1, max_size=12))
+def test_tree_walk_matches_brute_force(spark, parents):
+    """Random parent array (ids 0..n-1, parent may be missing or cyclic)."""
+    from martforge.operators.hierarchy import walk_from_roots
+    n = len(parents)
+    want = {}
+    for i in range(n):
+        seen, cur, depth = set(), i, 0
+        while parents[cur] is not None:
+            p = parents[cur]
+            if p >= n or p in seen or p == cur:
+                cur = None
+                break
+            seen.add(cur)
+            cur, depth = p, depth + 1
+        if cur is not None:
+            want[i] = (cur, depth)
+    rows = [(i, parents[i]) for i in range(n)]
+    nodes = spark.createDataFrame(rows, "id int, parent int")
+    walked = walk_from_roots(nodes, "id", "parent", {"root": "id"}, max_depth=n + 2)
+    got = {r.id: (r.root, r.depth) for r in walked.collect()}
+    assert got == want
