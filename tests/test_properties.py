@@ -1,5 +1,7 @@
 """Property tests: operators against plain-Python brute force on random
 small frames (NULLs, duplicate keys, ties)."""
+import datetime as dt
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -76,3 +78,44 @@ def test_tree_walk_matches_brute_force(spark, parents):
     walked = walk_from_roots(nodes, "id", "parent", {"root": "id"}, max_depth=n + 2)
     got = {r.id: (r.root, r.depth) for r in walked.collect()}
     assert got == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(1, 50), st.integers(0, 999999), st.integers(0, 100)),
+                min_size=1, max_size=20))
+def test_line_total_is_exact_half_up(spark, rows):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from martforge.functions.clean import line_total
+    data = [(q, Decimal(c) / 100, Decimal(d)) for q, c, d in rows]
+    df = spark.createDataFrame(data, "q int, p decimal(10,2), d decimal(5,2)")
+    got = [r[0] for r in df.select(line_total("q", "p", "d")).collect()]
+    want = [(q * p * (1 - d / 100)).quantize(Decimal("0.01"), ROUND_HALF_UP) for q, p, d in data]
+    assert got == want
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.one_of(
+    st.dates(min_value=dt.date(1990, 1, 1),
+             max_value=dt.date(2030, 12, 31)).map(lambda d: d.isoformat()),
+    st.dates(min_value=dt.date(1990, 1, 1),
+             max_value=dt.date(2030, 12, 31)).map(lambda d: d.strftime("%m/%d/%Y")),
+    st.sampled_from(["", "n/a", "3/5/2024", "2024-3-5", "2024-03-05\n", "junk"]),
+    st.none()), min_size=1, max_size=20))
+def test_mixed_date_parse_matches_python(spark, texts):
+    import re
+
+    from martforge.functions.clean import parse_mixed_date
+
+    def ref(t):
+        if t is None:
+            return None
+        if re.fullmatch(r"[0-9]{4}-[0-9]{2}-[0-9]{2}", t):
+            return dt.date.fromisoformat(t)
+        if re.fullmatch(r"[0-9]{2}/[0-9]{2}/[0-9]{4}", t):
+            return dt.datetime.strptime(t, "%m/%d/%Y").date()
+        return None
+
+    df = spark.createDataFrame([(t,) for t in texts], "x string")
+    got = [r[0] for r in df.select(parse_mixed_date("x")).collect()]
+    assert got == [ref(t) for t in texts]
