@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -57,7 +56,8 @@ def _conf(spark: SparkSession, key: str) -> str | None:
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return (_conf(spark, "spark.master") or "").startswith("local")
+    master = _conf(spark, "spark.master") or ""
+    return master == "local" or master.startswith("local[")
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -85,11 +85,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for written intermediate
     tables, one sub-folder per application."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
     app = _conf(spark, "spark.app.id") or "app"
-    return os.path.join(base, f"martforge-{app}", name)
+    return f"{checkpoint_dir(spark).rstrip('/')}/martforge-{app}/{name}"
 
 
 def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
