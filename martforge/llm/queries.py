@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martforge.llm import bpe_transducer, packing, token_store
+from martforge.llm import bpe_transducer, packing, quality_rules, token_store
 from martforge.llm.common import documents
 from martforge.session import scratch_path
 
@@ -17,6 +17,10 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, f"token-store/{uuid.uuid4().hex}")
     token_store.write(documents(spark, sf_dir), folder, vocabulary("word_bpe_49k.json"), end_id=2)
@@ -34,7 +38,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op6_token_store, op7_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_quality_rules, op6_token_store, op7_packing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -12,8 +12,8 @@ import hashlib
 import numpy as np
 
 MARK = "\x01"  # a word of its own between words encoded together
-RUN = 200  # words encoded together
-WORDS_KEPT = 300_000  # bound on remembered words per worker; others are encoded again
+RUN = 1000  # words encoded together
+WORDS_KEPT = 900_000  # bound on remembered words per worker; others are encoded again
 
 
 class WordEncoder:
@@ -49,8 +49,8 @@ class WordEncoder:
             new = [w for w in new if w not in known]
         runs = [new[i:i + RUN] for i in range(0, len(new), RUN)]
         between = f" {MARK} ".encode()
-        for i in range(0, len(runs), 100):
-            part = runs[i:i + 100]
+        for i in range(0, len(runs), 20):
+            part = runs[i:i + 20]
             codes = self.tokenizer.encode_batch([between.join(r).decode("utf-8") for r in part],
                                                 add_special_tokens=False)
             for run, e in zip(part, codes):
