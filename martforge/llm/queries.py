@@ -6,9 +6,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martforge.llm import bpe_transducer, packing, quality_rules, token_store
-from martforge.llm.common import documents
+from martforge.llm import bpe_transducer, packing, pii, quality_rules, token_store, toxicity
+from martforge.llm.common import crc_mod, documents
 from martforge.session import scratch_path
 
 
@@ -21,6 +22,21 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
+    """Trained on labels of keys whose crc32 modulo 3 is not 1."""
+    return toxicity.train(*toxicity.sample(docs, documents(spark, sf_dir, "labels"), "toxic", crc_mod("doc_id", 3) != 1))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return (toxicity.scores(docs, toxicity_model(spark, docs, sf_dir))
+            .withColumn("held_out", crc_mod("doc_id", 3) == 1))
+
+
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(documents(spark, sf_dir))
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, f"token-store/{uuid.uuid4().hex}")
     token_store.write(documents(spark, sf_dir), folder, vocabulary("word_bpe_49k.json"), end_id=2)
@@ -38,7 +54,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op6_token_store, op7_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_quality_rules, op3_toxicity, op4_pii, op6_token_store, op7_packing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
