@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import bpe_transducer, packing, pii, quality_rules, token_store, toxicity
+from martforge.llm import bpe_transducer, near_dedup, packing, pii, quality_rules, token_store, toxicity
 from martforge.llm.common import crc_mod, documents
 from martforge.session import scratch_path
 
@@ -22,6 +22,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(documents(spark, sf_dir))
 
 
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
 def toxicity_model(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model:
     """Trained on labels of keys whose crc32 modulo 3 is not 1."""
     return toxicity.train(*toxicity.sample(docs, documents(spark, sf_dir, "labels"), "toxic", crc_mod("doc_id", 3) != 1))
@@ -54,7 +58,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op3_toxicity, op4_pii, op6_token_store, op7_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_toxicity, op4_pii, op6_token_store, op7_packing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
