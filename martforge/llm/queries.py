@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import bpe_transducer, near_dedup, packing, pii, quality_rules, token_store, toxicity
+from martforge.llm import bpe_transducer, log_bilinear, near_dedup, packing, pii, quality_rules, token_store, toxicity
 from martforge.llm.common import crc_mod, documents
 from martforge.session import scratch_path
 
@@ -41,6 +41,10 @@ def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.spans(documents(spark, sf_dir))
 
 
+def op5_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return log_bilinear.score(documents(spark, sf_dir), crc_mod("doc_id", 5) != 1)
+
+
 def op6_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, f"token-store/{uuid.uuid4().hex}")
     token_store.write(documents(spark, sf_dir), folder, vocabulary("word_bpe_49k.json"), end_id=2)
@@ -58,7 +62,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_toxicity, op4_pii, op6_token_store, op7_packing, op10_bpe)}
+    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_toxicity, op4_pii, op5_log_bilinear, op6_token_store, op7_packing, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
