@@ -8,7 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import bpe_transducer, log_bilinear, near_dedup, packing, pii, quality_rules, token_store, toxicity
+from martforge.llm import bpe_transducer, log_bilinear, near_dedup, packing, pii, quality_rules, token_store, toxicity, vector_dedup, warc
 from martforge.llm.common import crc_mod, documents
 from martforge.session import scratch_path
 
@@ -55,6 +55,14 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"), end_id=1, with_ids=False)
 
 
+def op8_vector_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dedup.near_duplicates(documents(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.resolved_pages(documents(spark, sf_dir, "pages"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
     return bpe_transducer.round_trip_digests(
@@ -62,8 +70,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_quality_rules, op2_near_dedup, op3_toxicity, op4_pii, op5_log_bilinear, op6_token_store, op7_packing, op10_bpe)}
+    return {f.__name__: f for f in (
+        op1_quality_rules, op2_near_dedup, op3_toxicity, op4_pii, op5_log_bilinear, op6_token_store, op7_packing,
+        op8_vector_dedup, op9_warc, op10_bpe)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_warc": warc.ORACLE}
