@@ -13,7 +13,8 @@ class is paired with the bucket's smallest class, not with all others.  The
 register agreement, corrected for chance collisions, estimates the similarity;
 pairs within the error of the threshold are verified on the full sets.  Then,
 for buckets whose classes still lie in several components, the classes outside
-the bucket's smallest component meet the others of the bucket, so that a link
+the bucket's smallest component meet the others of the bucket, each pair in the
+first band it shares and only if the estimate allows a link, so that a link
 between two classes of a bucket is lost only if they are already connected.
 Components are named by their smallest document.
 
@@ -45,7 +46,7 @@ BANDS, ROWS = 40, 4
 REGISTERS = BANDS * ROWS
 MANTISSA = 10  # bits; six more hold the leading zeros
 THRESHOLD = 75  # percent
-ERRORS = 5.0  # standard errors that the estimate may fall short of the threshold
+ERRORS = 4.0  # standard errors that the estimate may fall short of the threshold
 WORDS_KEPT = 400_000
 
 _rng = np.random.default_rng(20)
@@ -158,14 +159,22 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return common.map_batches(both, run, "a long, b long")
 
 
-def _candidates(pairs: DataFrame, reps: DataFrame) -> DataFrame:
-    """Distinct pairs whose estimate does not rule the threshold out."""
+def _alike(a: str, b: str) -> Column:
+    """Sizes and registers do not rule the threshold out."""
     slack = ERRORS * (0.01 * THRESHOLD * (1 - 0.01 * THRESHOLD) / REGISTERS) ** 0.5
-    one, two = (reps.select(F.col("doc_id").alias(x), F.col("n_shingles").alias(f"n_{x}"),
-                            F.col("bands").alias(f"bands_{x}")) for x in "ab")
-    sizes = (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * THRESHOLD)
-    return (pairs.distinct().join(two, "b").join(one, "a").filter(sizes)
-            .filter(estimate("bands_a", "bands_b", "n_a", "n_b") >= 0.01 * THRESHOLD - slack).select("a", "b"))
+    sizes = F.least(f"n_{a}", f"n_{b}") * 100 >= F.greatest(f"n_{a}", f"n_{b}") * THRESHOLD
+    return sizes & (estimate(f"bands_{a}", f"bands_{b}", f"n_{a}", f"n_{b}") >= 0.01 * THRESHOLD - slack)
+
+
+def _sketch_as(reps: DataFrame, name: str) -> DataFrame:
+    return reps.select(F.col("doc_id").alias(name), F.col("n_shingles").alias(f"n_{name}"),
+                       F.col("bands").alias(f"bands_{name}"))
+
+
+def _candidates(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+    """The pairs whose estimate does not rule the threshold out."""
+    return (pairs.join(_sketch_as(reps, "b"), "b").join(_sketch_as(reps, "a"), "a")
+            .filter(_alike("a", "b")).select("a", "b"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -182,7 +191,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         classes.select("doc_id", "digest", "n_shingles"), ["doc_id", "digest"])
         .dropDuplicates(["doc_id", "digest"]).select("doc_id", "n_shingles", "bands"), "reps")
     banded = reps.select("doc_id", F.posexplode("bands").alias("band", "value")).select(
-        "doc_id", F.xxhash64("band", "value").alias("key"))
+        "doc_id", "band", F.xxhash64("band", "value").alias("key"))
     buckets = (banded.groupBy("key").agg(F.min("doc_id").alias("a"), F.count(F.lit(1)).alias("n"))
                .filter("n > 1"))
     first = banded.join(buckets.select("key", "a"), "key").filter("doc_id <> a").select(
@@ -194,18 +203,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     known = reps.select("doc_id").join(label, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", F.coalesce("component", "doc_id").alias("component"))
     # buckets of three or more classes in several components
-    wide = banded.join(buckets.filter("n > 2").select("key", "a"), "key").join(known, "doc_id")
-    wide = cut_lineage(wide.select("key", "a", "doc_id", "component"), "wide")
+    wide = (banded.join(buckets.filter("n > 2").select("key", F.col("a").alias("center")), "key")
+            .join(known, "doc_id"))
+    wide = cut_lineage(wide.select("key", "band", "center", "doc_id", "component"), "wide")
     open_ = wide.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("most")).filter(
         "main <> most").select("key", "main")
-    left = cut_lineage(wide.join(open_, "key"), "open")
-    others = left.select("key", F.col("doc_id").alias("y"), F.col("component").alias("cy"))
-    outside = left.filter("component <> main and doc_id <> a").select(
-        "key", F.col("doc_id").alias("x"), F.col("component").alias("cx"), "a")
-    second = (outside.join(others, "key").filter("cx <> cy and y <> a")
-              .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-              .join(tried, ["a", "b"], "left_anti"))
-    more = cut_lineage(verified(_candidates(second, reps), texts), "links")
+    left = wide.join(open_, "key")
+    outside = cut_lineage(left.filter("component <> main and doc_id <> center").select(
+        "key", "band", F.col("doc_id").alias("a"), F.col("component").alias("ca"), "center")
+        .join(_sketch_as(reps, "a"), "a"), "outside")
+    others = cut_lineage(left.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"), "main")
+                         .join(_sketch_as(reps, "b"), "b"), "others")
+    # a pair counts in the first band that it shares, and once if both are outside
+    meets = F.expr("array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band + 1")
+    second = (outside.join(others, (outside["key"] == others["key"]) & (F.col("ca") != F.col("cb"))
+                           & (F.col("b") != F.col("center")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
+                           & meets & _alike("a", "b"))
+              .select("a", "b"))
+    more = cut_lineage(verified(second, texts), "links")
     links = links.unionByName(more)
     # equal keys of different texts: the key itself is the link
     label = components(links)
