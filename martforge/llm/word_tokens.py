@@ -2,8 +2,8 @@
 
 The tokenizer drops white space and never joins characters across it, so a
 text is cut at ASCII white space and every distinct word is encoded once and
-remembered; the ids of a text are the joined ids of its words.  New words are
-encoded many at a time, joined by a mark that has an id of its own."""
+remembered, without the sentence marks behind it, which are pieces of their own;
+the ids of a text are the joined ids of its words.  New words are encoded many at a time, joined by a mark that has an id of its own."""
 
 from __future__ import annotations
 
@@ -12,6 +12,8 @@ import hashlib
 import numpy as np
 
 MARK = "\x01"  # a word of its own between words encoded together
+MARKS = b".,;:!?"
+LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 RUN = 1000  # words encoded together
 WORDS_KEPT = 900_000  # bound on remembered words per worker; others are encoded again
 
@@ -41,25 +43,38 @@ class WordEncoder:
         known = self.known
         if len(known) > WORDS_KEPT:
             known.clear()
-        new = list(set().union(*group).difference(known)) if group else []
+        new = set().union(*group).difference(known) if group else set()
+        # a word with sentence marks behind a letter is that word, then the marks
+        split, plain = [], set()
+        for w in new:
+            core = w.rstrip(MARKS)
+            if core and core != w and core[-1] in LETTERS:
+                split.append((w, core, w[len(core):]))
+                plain.add(core)
+                plain.add(w[len(core):])
+            else:
+                plain.add(w)
+        self._learn(sorted(plain.difference(known)))
+        for w, core, marks in split:
+            known[w] = known[core] + known[marks]
+        return [b"".join(map(known.__getitem__, words)) for words in group]
+
+
+    def _learn(self, new: list[bytes]) -> None:
+        known = self.known
         alone = [w for w in new if self.mark is None or MARK.encode() in w]
         if alone:
             codes = self.tokenizer.encode_batch([w.decode("utf-8") for w in alone], add_special_tokens=False)
             known.update((w, np.asarray(e.ids, "<u4").tobytes()) for w, e in zip(alone, codes))
             new = [w for w in new if w not in known]
-        runs = [new[i:i + RUN] for i in range(0, len(new), RUN)]
         between = f" {MARK} ".encode()
-        for i in range(0, len(runs), 20):
-            part = runs[i:i + 20]
-            codes = self.tokenizer.encode_batch([between.join(r).decode("utf-8") for r in part],
-                                                add_special_tokens=False)
-            for run, e in zip(part, codes):
-                ids = np.asarray(e.ids, "<u4")
-                ends = np.flatnonzero(ids == self.mark)
-                lo, hi = np.r_[0, ends + 1] * 4, np.r_[ends, len(ids)] * 4
-                raw = ids.tobytes()
-                known.update(zip(run, [raw[x:y] for x, y in zip(lo.tolist(), hi.tolist())]))
-        return [b"".join(map(known.__getitem__, words)) for words in group]
+        for i in range(0, len(new), RUN):
+            run = new[i:i + RUN]
+            ids = np.asarray(self.tokenizer.encode(between.join(run).decode("utf-8"), add_special_tokens=False).ids, "<u4")
+            ends = np.flatnonzero(ids == self.mark)
+            lo, hi = np.r_[0, ends + 1] * 4, np.r_[ends, len(ids)] * 4
+            raw = ids.tobytes()
+            known.update(zip(run, [raw[x:y] for x, y in zip(lo.tolist(), hi.tolist())]))
 
 
 _encoders: dict[bytes, WordEncoder] = {}
