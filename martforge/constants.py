@@ -29,9 +29,5 @@ US_DATE_PATTERN = r"^[0-9]{2}/[0-9]{2}/[0-9]{4}\z"
 US_DATE_FORMAT = "MM/dd/yyyy"
 BOOLEAN_TRUE_SPELLINGS = ["true", "1"]
 
-# --- calendar window and analysis date for the driver tables --------------
-# Order dates of the driver tables run 1995-01-01..2001-08-01 and ship
-# dates to 2001-11-04, so the spine covers whole years around them.
-SPINE_START = _dt.date(1995, 1, 1)
-SPINE_END = _dt.date(2001, 12, 31)
+# --- analysis date for the driver tables (their last year ends on it) ------
 DEFAULT_AS_OF = _dt.date(2001, 12, 31)

@@ -18,7 +18,7 @@ from martforge.constants import (
 
 MONEY = "decimal(10,2)"
 LINE_MONEY = "decimal(12,2)"
-SUM_MONEY = "decimal(18,2)"
+SUM_MONEY = "decimal(28,2)"
 PCT_TYPE = "decimal(5,2)"
 
 
@@ -77,7 +77,7 @@ def line_total(quantity, unit_price, discount_pct) -> Column:
 
 
 def money_sum(c) -> Column:
-    """Sum of money as ``decimal(18,2)`` so totals of totals do not overflow."""
+    """Sum of money as ``decimal(28,2)``: totals of 100 TB of lines stay far below it."""
     return F.sum(_c(c)).cast(SUM_MONEY)
 
 
@@ -87,6 +87,6 @@ def pct(numer, denom, scale: int) -> Column:
     The ratio is formed on exact decimals and rounded HALF_UP before the
     final cast, so the value equals the source database's numeric result.
     """
-    n = _c(numer).cast("decimal(20,2)")
-    d = F.nullif(_c(denom).cast("decimal(20,2)"), F.lit(0).cast("decimal(20,2)"))
+    n = _c(numer).cast(SUM_MONEY)
+    d = F.nullif(_c(denom).cast(SUM_MONEY), F.lit(0).cast(SUM_MONEY))
     return F.round(F.lit(100).cast("decimal(3,0)") * n / d, scale).cast("double")

@@ -25,7 +25,7 @@ class HierarchyTooDeep(RuntimeError):
 
 
 def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
-                    root_carry: dict[str, str], max_depth: int = 1000,
+                    root_carry: dict[str, str], max_depth: int | None = None,
                     cut_every: int = 8) -> DataFrame:
     """Return every node reachable from a root with the root's columns.
 
@@ -45,7 +45,7 @@ def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
     depth = 0
     while True:
         depth += 1
-        if depth > max_depth:
+        if max_depth is not None and depth > max_depth:
             raise HierarchyTooDeep(
                 f"hierarchy deeper than {max_depth} levels: a cycle is reachable from a root")
         parents = frontier.select(
@@ -55,6 +55,13 @@ def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
         frontier = cut_lineage(children, "tree") if depth % cut_every == 0 else children
         if frontier.isEmpty():
             break
+        if depth % cut_every == 0:
+            # an id met again below itself means a cycle
+            seen = levels[0].select(id_col)
+            for lvl in levels[1:]:
+                seen = seen.unionByName(lvl.select(id_col))
+            if not frontier.join(seen.distinct(), id_col, "left_semi").isEmpty():
+                raise HierarchyTooDeep("a cycle is reachable from a root")
         levels.append(frontier)
     out = levels[0]
     for lvl in levels[1:]:

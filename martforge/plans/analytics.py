@@ -25,7 +25,7 @@ from martforge.constants import RFM_BUCKETS, RFM_DEFAULT_SEGMENT, RFM_SEGMENTS
 from martforge.functions.clean import SUM_MONEY, money_sum, pct
 from martforge.functions.dates import date_key, month_distance, month_start
 from martforge.operators.hierarchy import walk_from_roots
-from martforge.operators.ranking import with_global_ntile
+from martforge.operators.ranking import with_global_rank, with_global_ntile
 from martforge.plans.warehouse import Warehouse
 
 
@@ -447,12 +447,13 @@ def bi_revenue_overview(wh: Warehouse, as_of: dt.date | None = None) -> DataFram
     return total.unionByName(mom).unionByName(refunds)
 
 
-def bi_segments(wh: Warehouse, as_of: dt.date | None = None, top_n: int = 10,
+def bi_segments(wh: Warehouse, as_of: dt.date | None = None, top_n: int | None = None,
                 state: str | None = None, cohort_month: dt.date | None = None) -> DataFrame:
-    """Top-monetary customers per state, optionally for one state and one
-    signup cohort.  The per-state top-k keeps at most ``top_n`` rows per
-    state in every task before the shuffle, so a state holding a third of
-    all customers does not gather in one task."""
+    """Customers by monetary value within their state, optionally of one state
+    and one signup cohort, and only the first ``top_n`` of a state if asked for.
+    The rank is the global rank by (state, value) less that of the state's first
+    customer, so a state holding a third of all customers is ranked by many
+    tasks."""
     rfm = customer_rfm(wh, as_of)
     cust = wh.dim_customer.select("customer_key", "full_name", "state",
                                   month_start("signup_date").alias("cohort_month"))
@@ -461,11 +462,14 @@ def bi_segments(wh: Warehouse, as_of: dt.date | None = None, top_n: int = 10,
         df = df.filter(F.col("state") == state)
     if cohort_month is not None:
         df = df.filter(F.col("cohort_month") == F.lit(cohort_month))
-    w = Window.partitionBy("state").orderBy(F.col("monetary").desc(), F.col("customer_key").asc())
+    ranked = with_global_rank(df, ["state", F.col("monetary").desc(), "customer_key"], "_mf_rank")
+    first = ranked.groupBy(F.col("state").alias("_mf_state")).agg(F.min("_mf_rank").alias("_mf_first"))
+    ranked = ranked.join(first, F.col("state").eqNullSafe(F.col("_mf_state"))).withColumn(
+        "rank_in_state", (F.col("_mf_rank") - F.col("_mf_first") + 1).cast("int"))
+    if top_n is not None:
+        ranked = ranked.filter(F.col("rank_in_state") <= top_n)
     return (
-        df.withColumn("rank_in_state", F.row_number().over(w))
-        .filter(F.col("rank_in_state") <= top_n)
-        .select("state", "rank_in_state", "customer_key", "full_name", "cohort_month",
+        ranked.select("state", "rank_in_state", "customer_key", "full_name", "cohort_month",
                 "monetary", "segment")
     )
 

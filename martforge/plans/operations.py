@@ -32,7 +32,7 @@ from martforge.plans.staging import CUSTOMER_COLUMNS, customers_typed
 from martforge.plans.warehouse import Warehouse
 from martforge.session import scratch_path
 from martforge.sources.driver import read_table
-from martforge.sources.landing import ID_WIDTH
+from martforge.sources.landing import source_id
 from martforge.streaming.audit_stream import run_audit_once
 
 log = logging.getLogger("martforge")
@@ -52,8 +52,7 @@ def orders_status_update(wh: Warehouse, spark: SparkSession, sf_dir: str) -> Dat
     src = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus"]).filter(
         F.col("o_orderstatus").isin(FINISHED, OPEN))
     src = src.select(
-        F.concat(F.lit("ORD-"), F.lpad(F.col("o_orderkey").cast("string"), ID_WIDTH["ORD"], "0"))
-        .alias("order_id"), "o_orderstatus")
+        source_id("ORD", F.col("o_orderkey")).alias("order_id"), "o_orderstatus")
     cur = wh.fct_orders.select("order_id", "order_key", "order_status")
     s = F.col("order_status")
     new = (
@@ -259,26 +258,22 @@ def guard_returned_job(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataF
     return guard_returned(after, upd, wh.fct_order_items, wh.fct_returns)
 
 
-def table_stats(spark: SparkSession, path: str, name: str, columns: list[str]) -> DataFrame:
-    """``ANALYZE``: register the Parquet folder as a catalog table, compute
-    table and column statistics (used by the cost-based optimizer), and
-    return them as rows (column, distinct count, nulls, min, max)."""
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
-    rows = []
-    for c in columns:
-        desc = {r[0]: r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} {c}").collect()}
-        rows.append((c, desc.get("distinct_count"), desc.get("num_nulls"), desc.get("min"),
-                     desc.get("max")))
-    return spark.createDataFrame(
-        rows, "column_name string, distinct_count string, num_nulls string, min string, max string")
+def table_stats(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Column statistics by one aggregation: exact distinct count, nulls, and
+    least and greatest value as text."""
+    parts = []
+    for i, c in enumerate(columns):
+        parts += [F.count_distinct(c).alias(f"d{i}"),
+                  F.coalesce(F.sum(F.col(c).isNull().cast("long")), F.lit(0)).alias(f"n{i}"),
+                  F.min(c).cast("string").alias(f"lo{i}"), F.max(c).cast("string").alias(f"hi{i}")]
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"d{i}").alias("distinct_count"),
+                              F.col(f"n{i}").alias("num_nulls"), F.col(f"lo{i}").alias("min"),
+                              F.col(f"hi{i}").alias("max")) for i, c in enumerate(columns)])
+    return df.agg(*parts).select(F.explode(rows).alias("r")).select("r.*")
+
+
+STATS_COLUMNS = ["customer_key", "order_status", "order_date_key", "total_amount"]
 
 
 def table_stats_job(wh: Warehouse, spark: SparkSession) -> DataFrame:
-    from martforge.plans.publish import write_table
-    path = _run_dir(spark, "fct_orders_stats")
-    write_table(wh.fct_orders, path, sort_by=["customer_key"])
-    name = "mf_fct_orders_" + uuid.uuid4().hex[:8]
-    return table_stats(spark, path, name, ["customer_key", "order_status", "order_date_key",
-                                           "total_amount"])
+    return table_stats(wh.fct_orders, STATS_COLUMNS)

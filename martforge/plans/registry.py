@@ -182,6 +182,10 @@ def oracle_sql() -> dict[str, str]:
     }
     for name, checks in suites.items():
         o[name] = chain(O.suite_sql(checks))
+    o["table_stats"] = chain(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count, "
+        f"count(*) - count({c}) AS num_nulls, cast(min({c}) AS varchar) AS min, cast(max({c}) AS varchar) AS max "
+        "FROM fct_orders" for c in OP.STATS_COLUMNS))
     o["dq_severity"] = chain(
         f"SELECT * FROM ({O.suite_sql(C.DBT_SUITE + C.CONSTRAINT_SUITE)}) r WHERE failing_rows > 0")
     return o

@@ -23,7 +23,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.constants import DEFAULT_AS_OF, SPINE_END, SPINE_START
+from martforge.constants import DEFAULT_AS_OF
 from martforge.functions.clean import SUM_MONEY
 from martforge.operators.ranking import with_surrogate_key
 from martforge.plans import staging
@@ -35,7 +35,7 @@ class Warehouse:
     """All models built from one set of landing frames."""
 
     def __init__(self, spark: SparkSession, landing: dict[str, DataFrame],
-                 spine: tuple[dt.date, dt.date] = (SPINE_START, SPINE_END),
+                 spine: tuple[dt.date, dt.date] | None = None,
                  as_of: dt.date = DEFAULT_AS_OF, strict: bool = True):
         self.spark = spark
         self.landing = landing
@@ -124,7 +124,16 @@ class Warehouse:
     # --- dimensions --------------------------------------------------------
     @cached_property
     def dim_date(self) -> DataFrame:
-        return calendar_spine(self.spark, *self.spine)
+        return calendar_spine(self.spark, *(self.spine or self.observed_years))
+
+    @cached_property
+    def observed_years(self) -> tuple[dt.date, dt.date]:
+        """Whole years around all order and return dates (the year of the
+        analysis date if there are none): no dated row lacks a calendar day."""
+        dates = self.stg_orders.select(F.col("order_date").alias("d")).unionByName(
+            self.stg_returns.select(F.col("return_date").alias("d")))
+        first, last = dates.agg(F.min("d"), F.max("d")).first()
+        return (dt.date((first or self.as_of).year, 1, 1), dt.date((last or self.as_of).year, 12, 31))
 
     @cached_property
     def dim_category(self) -> DataFrame:
@@ -288,7 +297,7 @@ class PublishedWarehouse(Warehouse):
     reader); staging models are not available."""
 
     def __init__(self, spark: SparkSession, root: str,
-                 spine: tuple[dt.date, dt.date] = (SPINE_START, SPINE_END),
+                 spine: tuple[dt.date, dt.date] | None = None,
                  as_of: dt.date = DEFAULT_AS_OF):
         super().__init__(spark, {}, spine, as_of)
         self.root = root

@@ -53,8 +53,11 @@ REFUND_SHARE = "0.9"               # refund = round(line total * 0.9, 2)
 ID_WIDTH = {"CUST": 10, "PROD": 10, "ORD": 12, "OI": 12, "RET": 12}
 
 
-def _id(prefix: str, c: Column) -> Column:
-    return F.concat(F.lit(prefix + "-"), F.lpad(c.cast("string"), ID_WIDTH[prefix], "0"))
+def source_id(prefix: str, c: Column) -> Column:
+    """``PREFIX-0000123``: padded to a least width, longer keys stay whole."""
+    key = c.cast("string")
+    width = ID_WIDTH[prefix]
+    return F.concat(F.lit(prefix + "-"), F.when(F.length(key) < width, F.lpad(key, width, "0")).otherwise(key))
 
 
 def _pick(index: Column, values: list[str]) -> Column:
@@ -97,7 +100,7 @@ def customers_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     signup = F.date_add(F.lit(SIGNUP_EPOCH).cast("date"), (k % SIGNUP_SPREAD_DAYS).cast("int"))
     rows = base.select(
         k,
-        _id("CUST", k).alias("customer_id"),
+        source_id("CUST", k).alias("customer_id"),
         F.col("c_name").alias("full_name"),
         email.alias("email"),
         signup.alias("_signup"),
@@ -156,7 +159,7 @@ def products_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     price = F.col("p_retailprice").cast("decimal(10,2)").cast("string")
     return part.select(
-        _id("PROD", k).alias("product_id"),
+        source_id("PROD", k).alias("product_id"),
         F.col("p_name").alias("product_name"),
         F.when(k % CATEGORY_BLANK_EVERY == 0, F.lit("")).otherwise(leaf_id).alias("category_id"),
         F.col("p_brand").alias("brand"),
@@ -179,8 +182,8 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("o_orderkey")
     d = F.col("o_orderdate").cast("date")
     return o.select(
-        _id("ORD", k).alias("order_id"),
-        _id("CUST", F.col("o_custkey")).alias("customer_id"),
+        source_id("ORD", k).alias("order_id"),
+        source_id("CUST", F.col("o_custkey")).alias("customer_id"),
         F.when(k % ORDER_DATE_JUNK_EVERY == 0, F.lit("unknown"))
         .otherwise(_date_text(d, k % 2 == 0)).alias("order_date"),
         _status(k).alias("order_status"),
@@ -216,9 +219,9 @@ def _unit_cents(q: Column) -> Column:
 def order_items_raw(numbered: DataFrame) -> DataFrame:
     q = F.col("l_quantity").cast("long")
     return numbered.select(
-        _id("OI", F.col("n")).alias("order_item_id"),
-        _id("ORD", F.col("l_orderkey")).alias("order_id"),
-        _id("PROD", F.col("l_partkey")).alias("product_id"),
+        source_id("OI", F.col("n")).alias("order_item_id"),
+        source_id("ORD", F.col("l_orderkey")).alias("order_id"),
+        source_id("PROD", F.col("l_partkey")).alias("product_id"),
         q.cast("string").alias("quantity"),
         _cents_text(_unit_cents(q)).alias("unit_price"),
         F.round(F.col("l_discount") * 100).cast("int").cast("string").alias("discount_pct"),
@@ -234,8 +237,8 @@ def returns_raw(numbered: DataFrame) -> DataFrame:
     delay = (RETURN_DELAY_BASE + F.col("n") % RETURN_DELAY_SPREAD).cast("int")
     returned = numbered.filter(F.col("l_returnflag") == RETURN_FLAG)
     return returned.select(
-        _id("RET", F.col("n")).alias("return_id"),
-        _id("OI", F.col("n")).alias("order_item_id"),
+        source_id("RET", F.col("n")).alias("return_id"),
+        source_id("OI", F.col("n")).alias("order_item_id"),
         F.date_format(F.date_add(F.col("l_shipdate").cast("date"), delay), "yyyy-MM-dd").alias("return_date"),
         _pick(F.col("l_linenumber") % 5, RETURN_REASONS).alias("return_reason"),
         refund.cast("string").alias("refund_amount"),

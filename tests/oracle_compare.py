@@ -63,7 +63,7 @@ def rows_of(columns: list[str], rows) -> list[tuple]:
 
 
 def compare(spark, sf_dir: str, names=None, verbose=True) -> dict[str, str]:
-    from __spark_entry__ import oracle_sql, queries
+    from martforge.plans.registry import oracle_sql, queries
     qs, os_ = queries(), oracle_sql()
     con = duck(sf_dir)
     results = {}
