@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 
 from martforge.llm import common
 
-PIECES_KEPT = 250_000  # bound on remembered pieces per worker; the rest is encoded again
+PIECES_KEPT = 600_000  # bound on remembered pieces per worker; the rest is encoded again
 PAIRS_KEPT = 1_000_000  # bound on remembered token pairs per worker
 FLUSH = 4096  # bytes of one piece after which certain tokens are emitted
 
