@@ -52,24 +52,21 @@ def main(argv: list[str] | None = None) -> int:
     if not args.out:
         print("build needs --out", file=sys.stderr)
         return 2
-    from martforge.operators.quality import raise_on_errors
-    from martforge.plans.publish import atomic_publish
-    import uuid
-
-    from martforge.plans.warehouse import TABLE_MODELS, PublishedWarehouse, write_warehouse
-    from martforge.session import scratch_path
-    # build the star once (concurrent models per wave), test, then publish
-    staged = scratch_path(spark, f"build-{uuid.uuid4().hex[:8]}")
-    write_warehouse(wh, staged, threads=args.threads)
-    pw = PublishedWarehouse(spark, staged)
-    tables = {name: getattr(pw, name) for name in TABLE_MODELS}
-    tables.update({name: fn(pw) for name, fn in C.MART_MODELS.items()})
+    from martforge.plans.publish import new_version, publish_version
+    from martforge.plans.warehouse import PublishedWarehouse, write_warehouse
+    # write the star into its version folder (concurrent models per wave, each in
+    # its layout), then the marts; test what is written; then switch the pointer
+    version = new_version()
+    root = f"{args.out}/{version}"
+    write_warehouse(wh, root, threads=args.threads)
+    pw = PublishedWarehouse(spark, root)
+    for name, fn in C.MART_MODELS.items():
+        pw.store_mart(name, fn(pw))
     staging_checks = [c for c in C.DBT_SUITE if c.model.startswith("stg_")]
     report = C.run_checks(wh, staging_checks).unionByName(C.run_checks(pw, C.MART_SUITE))
-    for w in raise_on_errors(report):
+    for w in publish_version(spark, args.out, version, report):
         print(f"warning: {w['check_name']} failed on {w['failing_rows']} rows", file=sys.stderr)
-    version = atomic_publish(spark, tables, args.out)
-    print(f"published {len(tables)} tables as {version} under {args.out}")
+    print(f"published {version} under {args.out}")
     return 0
 
 

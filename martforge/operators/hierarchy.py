@@ -3,10 +3,11 @@
 The source writes ``WITH RECURSIVE tree AS (roots UNION ALL children joined
 to tree)``.  Here the same walk is a loop of equi-joins, one per level: the
 frontier (nodes found at the previous level) is joined to the node table on
-``parent = id``, and the loop ends when a level is empty.  Every
-``cut_every`` levels the frontier is written to the shared checkpoint folder,
-so the plan stays small however deep the tree is, while a shallow tree
-needs no write at all.
+``parent = id``, and the loop ends when a level is empty.  Every level is
+written to the shared checkpoint folder once: the test for an empty level,
+the next level and all later readers scan it, none walks the tree again.
+Every ``check_every`` levels the frontier is held against the levels above;
+an id met again means a cycle, however deep a sound tree may be.
 
 Nodes whose chain never reaches a root (a missing parent, or a cycle) are
 not reached - as in the source.  ``unreachable_nodes`` reports them.
@@ -26,7 +27,7 @@ class HierarchyTooDeep(RuntimeError):
 
 def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
                     root_carry: dict[str, str], max_depth: int | None = None,
-                    cut_every: int = 8) -> DataFrame:
+                    check_every: int = 8) -> DataFrame:
     """Return every node reachable from a root with the root's columns.
 
     ``root_carry`` maps output names to node columns copied from the root
@@ -40,7 +41,7 @@ def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
         *[F.col(src).alias(dst) for dst, src in root_carry.items()],
         F.lit(0).alias("depth"),
     )
-    frontier = roots
+    frontier = cut_lineage(roots, "tree")
     levels = [frontier]
     depth = 0
     while True:
@@ -52,10 +53,10 @@ def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
             F.col(id_col).alias("_mf_parent_id"), *carried, F.col("depth").alias("_mf_depth"))
         children = nodes.join(parents, nodes[parent_col] == parents["_mf_parent_id"], "inner").select(
             *[nodes[c] for c in node_cols], *carried, (F.col("_mf_depth") + 1).alias("depth"))
-        frontier = cut_lineage(children, "tree") if depth % cut_every == 0 else children
+        frontier = cut_lineage(children, "tree")
         if frontier.isEmpty():
             break
-        if depth % cut_every == 0:
+        if depth % check_every == 0:
             # an id met again below itself means a cycle
             seen = levels[0].select(id_col)
             for lvl in levels[1:]:

@@ -17,8 +17,7 @@ compute the same numbers in parallel:
    reaches the driver - a size bound set by the partition count, not by the
    data) and turn the counts into running offsets;
 4. rank = offset of the row's partition + its position + 1, with the offsets
-   applied as a constant array (no join) - or, past a few thousand
-   partitions, as a broadcast table so they are not shipped with every task.
+   joined as a broadcast table of one row per partition.
 
 n-tiles follow from the rank and the total row count by arithmetic, with the
 same bucket sizes as SQL ``NTILE``.
@@ -35,14 +34,24 @@ from martforge.session import cut_lineage
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
-# above this many partitions the offsets travel as a broadcast table
-_LITERAL_OFFSETS_MAX = 4096
+BYTES_PER_RANGE = 256 << 20  # input bytes that one range partition stands for
 
 
 def _as_columns(order: Sequence) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order]
 
 
+def range_partitions(df: DataFrame) -> int:
+    """Range partitions for a full sort of ``df``: one per 256 MB of the tables
+    under it, and no fewer than the session's shuffle partitions."""
+    spark = df.sparkSession
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size())]
+    # local rows carry the default for an unknown size, the largest long
+    read = sum(n for n in sizes if n < (1 << 63) - 1)
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-read // BYTES_PER_RANGE))
+
+
 def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
                      total_col: str | None = None,
                      num_partitions: int | None = None) -> DataFrame:
@@ -54,12 +63,7 @@ def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
     rows is added too (needed for n-tiles).
     """
     cols = _as_columns(order)
-    # Without a count the range shuffle is sized by AQE: it starts from
-    # spark.sql.adaptive.coalescePartitions.initialPartitionNum (or the
-    # shuffle partitions) and merges neighbouring ranges up to the advisory
-    # partition size, which keeps the global order and follows the data size.
-    ranged = (df.repartitionByRange(int(num_partitions), *cols) if num_partitions
-              else df.repartitionByRange(*cols))
+    ranged = df.repartitionByRange(int(num_partitions or range_partitions(df)), *cols)
     tagged = (
         ranged
         .sortWithinPartitions(*cols)
@@ -76,19 +80,12 @@ def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
         offsets.append(running)
         running += counts.get(p, 0)
     position = F.col("_mf_tag").bitwiseAND(F.lit(_POS_MASK))
-    if len(offsets) <= _LITERAL_OFFSETS_MAX:
-        # a few thousand numbers: a constant in the plan, no join
-        offset = (F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]),
-                               (part + 1).cast("int")) if offsets else F.lit(0).cast("long"))
-        out = tagged.withColumn(rank_col, (offset + position + 1).cast("long"))
-    else:
-        # many partitions: a constant would be shipped with every task, so
-        # broadcast the offsets table once (one row per partition)
-        table = tagged.sparkSession.createDataFrame(
-            list(enumerate(offsets)), "_mf_part long, _mf_offset long")
-        out = (tagged.join(F.broadcast(table), part == F.col("_mf_part"), "inner")
-               .withColumn(rank_col, (F.col("_mf_offset") + position + 1).cast("long"))
-               .drop("_mf_part", "_mf_offset"))
+    # one row per range partition: its bound is the partition count
+    table = tagged.sparkSession.createDataFrame(
+        list(enumerate(offsets)) or [(0, 0)], "_mf_part long, _mf_offset long")
+    out = (tagged.join(F.broadcast(table), part == F.col("_mf_part"), "inner")
+           .withColumn(rank_col, (F.col("_mf_offset") + position + 1).cast("long"))
+           .drop("_mf_part", "_mf_offset"))
     if total_col:
         out = out.withColumn(total_col, F.lit(running).cast("long"))
     return out.drop("_mf_tag")

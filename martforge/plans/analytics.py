@@ -323,6 +323,16 @@ def customer_ltv_fanout(wh: Warehouse, as_of: dt.date | None = None,
         .alias("lifetime_value"))
 
 
+def fn_customer_ltv(wh: Warehouse, as_of: dt.date | None = None,
+                    customer_keys: DataFrame | None = None) -> DataFrame:
+    """The stored function for every customer, or for each distinct key of
+    ``customer_keys``: a key without dated orders, known or not, gets 0."""
+    keys = (wh.dim_customer if customer_keys is None else customer_keys).select("customer_key").distinct()
+    values = customer_ltv_fanout(wh, as_of, customer_keys)
+    return keys.join(values, "customer_key", "left").select(
+        "customer_key", F.coalesce("lifetime_value", F.lit(0).cast(SUM_MONEY)).alias("lifetime_value"))
+
+
 def _refunds_per_order(wh: Warehouse) -> DataFrame:
     return wh.fct_order_items.select("order_item_key", "order_key").join(
         _returns_per_item(wh), "order_item_key", "inner").groupBy("order_key").agg(

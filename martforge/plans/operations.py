@@ -184,7 +184,7 @@ def layout_point_lookup(wh: Warehouse, spark: SparkSession, customer_key: int =
     from martforge.plans.publish import write_table
 
     path = _run_dir(spark, "fct_orders_by_customer")
-    write_table(wh.fct_orders, path, sort_by=["customer_key"])
+    write_table(wh.fct_orders, path, sort_by=["customer_key", "order_key"])
     d = F.broadcast(wh.dim_date.select(F.col("date_key").alias("order_date_key"), "full_date"))
     return (
         spark.read.parquet(path).filter(F.col("customer_key") == customer_key)

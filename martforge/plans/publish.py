@@ -4,10 +4,11 @@ The source builds its whole warehouse inside one transaction: a failing
 check rolls everything back and readers never see half a load.  Plain
 Parquet folders have no transactions, so ``atomic_publish``:
 
-1. runs the checks first and aborts before writing anything;
-2. writes every table into a fresh, never-reused version folder;
-3. only then moves the ``_CURRENT`` pointer to that version with a single
-   file rename (atomic on HDFS-like file systems).
+1. writes every table, in its layout, into a fresh, never-reused version folder;
+2. runs the checks on the written files and aborts if one fails;
+3. only then names the version in the ``_CURRENT`` pointer, with one rename
+   that replaces the old pointer (``FileContext.rename`` with OVERWRITE, a
+   single step on HDFS and local file systems).
 
 Readers resolve the pointer (``read_published``); an aborted or half-written
 version is never named by it.  Old versions stay until a retention job
@@ -18,11 +19,13 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.operators.quality import raise_on_errors
+from martforge.operators.ranking import range_partitions
 
 POINTER = "_CURRENT"
 
@@ -32,7 +35,7 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     """Write one table.  ``sort_by`` range-partitions and sorts the rows on
     those columns so Parquet row-group statistics prune point lookups."""
     if sort_by:
-        n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        n = partitions or range_partitions(df)
         df = df.repartitionByRange(n, *sort_by).sortWithinPartitions(*sort_by)
     df.write.mode(mode).parquet(path)
 
@@ -50,18 +53,18 @@ def _fs(spark: SparkSession, path: str):
 
 
 def _write_pointer(spark: SparkSession, root: str, version: str) -> None:
-    fs, _, jvm = _fs(spark, root)
+    fs, path, jvm = _fs(spark, root)
     tmp = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}.{uuid.uuid4().hex}")
     final = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")
     out = fs.create(tmp, True)
     out.write(bytearray(version.encode("utf-8")))
     out.close()
-    if fs.exists(final):
-        # rename does not replace: move the old pointer aside first; a
-        # reader in between falls back to the newest complete version
-        fs.rename(final, jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}.old.{uuid.uuid4().hex}"))
-    if not fs.rename(tmp, final):
-        raise RuntimeError(f"could not move the publish pointer under {root}")
+    option = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
+    overwrite = spark.sparkContext._gateway.new_array(option, 1)
+    overwrite[0] = option.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
+        fs.getUri(), spark.sparkContext._jsc.hadoopConfiguration())
+    context.rename(fs.makeQualified(tmp), fs.makeQualified(final), overwrite)
 
 
 def current_version(spark: SparkSession, root: str) -> str | None:
@@ -77,15 +80,31 @@ def current_version(spark: SparkSession, root: str) -> str | None:
         reader.close()
 
 
+def new_version() -> str:
+    return dt.datetime.now(dt.timezone.utc).strftime("v%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+
+
+def publish_version(spark: SparkSession, root: str, version: str, checks: DataFrame | None = None) -> list:
+    """Check a version that is written already, then name it; returns the
+    warnings.  A failing check raises, and readers keep the version they have."""
+    warnings = raise_on_errors(checks) if checks is not None else []
+    _write_pointer(spark, root, version)
+    return warnings
+
+
 def atomic_publish(spark: SparkSession, tables: dict[str, DataFrame], root: str,
-                   checks: DataFrame | None = None) -> str:
-    """Check, write all tables to a new version, then flip the pointer."""
-    if checks is not None:
-        raise_on_errors(checks)
-    version = dt.datetime.now(dt.timezone.utc).strftime("v%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
+                   checks: DataFrame | Callable[[dict[str, DataFrame]], DataFrame] | None = None,
+                   layout: dict[str, list[str]] | None = None) -> str:
+    """Write all tables to a new version, check them, then flip the pointer.
+
+    ``checks`` is a report, or a function from the written tables to one.
+    ``layout`` names the sort columns of tables that have a layout."""
+    version = new_version()
     for name, df in tables.items():
-        df.write.mode("errorifexists").parquet(f"{root}/{version}/{name}")
-    _write_pointer(spark, root, version)
+        write_table(df, f"{root}/{version}/{name}", "errorifexists", (layout or {}).get(name))
+    if callable(checks):
+        checks = checks({name: spark.read.parquet(f"{root}/{version}/{name}") for name in tables})
+    publish_version(spark, root, version, checks)
     return version
 
 

@@ -45,6 +45,7 @@ ANALYTICS: dict[str, Callable[[Warehouse], DataFrame]] = {
     "category_rollup_units": A.category_rollup_units,
     "bi_category_performance": A.bi_category_performance,
     "customer_ltv_fanout": A.customer_ltv_fanout,
+    "fn_customer_ltv": A.fn_customer_ltv,
     "customer_ltv": A.customer_ltv,
     "customer_summary": A.customer_summary,
     "ltv_row_counts": A.ltv_row_counts,

@@ -6,12 +6,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-DRIVER_TABLES = [
-    "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-    "events", "documents", "embeddings", "pages", "benchmark", "labels",
-    "conversations",
-]
-
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")

@@ -125,6 +125,10 @@ def test_ltv_for_given_keys_and_sql_views(spark):
     keys = spark.createDataFrame([(2,)], "customer_key long")
     got = {r.customer_key: r.lifetime_value for r in A.customer_ltv_fanout(wh, customer_keys=keys).collect()}
     assert got == {2: Decimal("5.00")}
+    # the stored function answers 0 for a key without orders
+    asked = spark.createDataFrame([(2,), (99,)], "customer_key long")
+    got = {r.customer_key: r.lifetime_value for r in A.fn_customer_ltv(wh, customer_keys=asked).collect()}
+    assert got == {2: Decimal("5.00"), 99: Decimal("0.00")}
     names = register_views(wh, prefix="t_")
     assert "t_fct_orders" in names
     assert spark.sql("SELECT count(*) FROM t_fct_orders").first()[0] == 2

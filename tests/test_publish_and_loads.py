@@ -40,6 +40,46 @@ def test_publish_aborts_on_failed_check(spark):
     assert read_published(spark, root, "a").count() == 3
 
 
+def test_publish_stopped_before_the_switch_keeps_the_old_version(spark, monkeypatch):
+    import martforge.plans.publish as P
+    root = tempfile.mkdtemp(prefix="mf-pub-")
+    v1 = atomic_publish(spark, {"a": spark.range(3)}, root)
+
+    def lost(*args):
+        raise RuntimeError("driver lost")
+    monkeypatch.setattr(P, "_write_pointer", lost)
+    with pytest.raises(RuntimeError):
+        atomic_publish(spark, {"a": spark.range(9)}, root)
+    assert current_version(spark, root) == v1
+    assert read_published(spark, root, "a").count() == 3
+
+
+def test_publish_checks_what_is_written(spark):
+    root = tempfile.mkdtemp(prefix="mf-pub-")
+    seen = {}
+
+    def report(written):
+        seen.update({n: df.inputFiles() for n, df in written.items()})
+        return run_suite([Check("a", "id", "unique")], lambda name: written[name])
+    version = atomic_publish(spark, {"a": spark.range(3)}, root, checks=report, layout={"a": ["id"]})
+    assert current_version(spark, root) == version
+    assert all(f"{root}/{version}/a" in f for f in seen["a"])
+
+
+def test_layout_splits_a_hot_customer(spark):
+    """A customer with a third of the orders lies in several files."""
+    import glob
+    import pyarrow.parquet as pq
+    from martforge.plans.warehouse import LAYOUT
+    path = os.path.join(tempfile.mkdtemp(prefix="mf-layout-"), "t")
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 5000).cast("long").alias("customer_key"),
+        F.col("id").alias("order_key"))
+    write_table(df, path, sort_by=LAYOUT["fct_orders"], partitions=8)
+    rows = [pq.read_metadata(f).num_rows for f in glob.glob(path + "/*.parquet")]
+    assert sum(rows) == 30000 and max(rows) < 30000 / 8 * 1.5
+
+
 def test_sorted_layout_keeps_point_lookup_rows(spark):
     path = os.path.join(tempfile.mkdtemp(prefix="mf-layout-"), "t")
     df = spark.range(1000).select((F.col("id") % 97).alias("customer_key"), F.col("id").alias("v"))

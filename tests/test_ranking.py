@@ -84,12 +84,24 @@ def test_rank_with_aqe_sized_partitions(spark):
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
 
 
-def test_rank_with_broadcast_offsets(spark, monkeypatch):
-    """The broadcast-table form of the offsets gives the same ranks."""
+def test_rank_over_many_partitions(spark):
+    """Offsets of several partitions and the total are right."""
     import martforge.operators.ranking as R
-    monkeypatch.setattr(R, "_LITERAL_OFFSETS_MAX", 2)
     df = spark.range(500).select((F.col("id") * 37 % 101).alias("k"), "id")
     got = R.with_global_rank(df, ["k", "id"], "rk", "n", num_partitions=7)
     ref = df.withColumn("rk2", F.row_number().over(Window.orderBy("k", "id")))
     assert got.join(ref, ["k", "id"]).filter(F.col("rk") != F.col("rk2")).count() == 0
     assert {r.n for r in got.select("n").distinct().collect()} == {500}
+
+
+def test_range_partitions_follow_the_input_bytes(spark, monkeypatch, tmp_path):
+    import martforge.operators.ranking as R
+    path = str(tmp_path / "t")
+    spark.range(20000).write.parquet(path)
+    df = spark.read.parquet(path)
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert R.range_partitions(df) == least
+    monkeypatch.setattr(R, "BYTES_PER_RANGE", 1000)
+    assert R.range_partitions(df) > 20 and R.range_partitions(df.join(df, "id")) > R.range_partitions(df)
+    # rows without a known size don't count
+    assert R.range_partitions(spark.createDataFrame([(1,)], "id long")) == least
