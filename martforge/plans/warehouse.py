@@ -302,7 +302,7 @@ class PublishedWarehouse(Warehouse):
 
     def store_mart(self, name: str, df: DataFrame) -> DataFrame:
         """Write a mart as a table (full refresh); checks then read the table."""
-        path = f"{self.root}/marts/{name}"
+        path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
         self.stored_marts[name] = self.spark.read.parquet(path)
         return self.stored_marts[name]
