@@ -1,31 +1,41 @@
 """Scores of texts by a log-bilinear model trained with noise-contrastive estimation.
 
 Tokens are the text's words and one end.  Spark counts every word of the
-training documents; the most frequent ``OUTPUTS`` minus two are outputs of the
-model, next to the end and one output for all other words.  The model predicts
-from the last ``CONTEXT`` tokens: a token vector per place, weighted per place,
-summed, against the vector and bias of each output.  It is trained in numpy on
-a bounded sample by telling true tokens from noise; at scoring time, batched
-matrix products give every output's score and the exact normaliser, so token
-probabilities sum to one.  A word outside the outputs gets the probability of
-that output times its share among such words, (c + 0.5) / (N' + 0.5 (V' + 1)).
+training documents; the ``OUTPUTS`` minus two most frequent are outputs
+of the model, next to the end and one output for all other words.  The outputs
+are cut into classes, about as many as make class and word equally dear: the
+model gives the class after the last ``CONTEXT`` tokens, then the word in its class, so
+the exact normaliser costs two short sums.  Both are a token vector per place, weighted per
+place, summed, against the vector and bias of each class or output.  At scoring
+time token probabilities sum to one.  A word outside the outputs gets the
+probability of that output times its share among such words,
+(c + 0.5) / (N' + 0.5 (V' + 1)).
+
+Every training document is learned from in each of ``EPOCHS`` rounds: tasks
+tell true tokens from noise on their part of the documents, each on a copy of
+the parameters; the copies' moves are added up by Spark, a row of parameters
+weighed by what each task learned about it, and the driver holds parameters
+only.  Class noise follows the counts, word noise is even within the class.
 
 Counts meet texts block by block: a task turns its documents into blocks of
 local word numbers with the block's own word list, the lists are joined with
 the counts (a word once per block, whatever its frequency), and each block gets
-its counts back.  No vocabulary is broadcast.
+its counts and output numbers back.  No word list is broadcast.
 
 A null text is the empty text: only the end is scored.  Repeated rows score
 alike; other columns are ignored; an empty table gives an empty result, and
 without training tokens every word is unknown and the model is uniform.
 """
 
+
 from __future__ import annotations
 
+import copy
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
-from collections.abc import Iterator
-from dataclasses import dataclass
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,97 +44,224 @@ from martforge.session import cut_lineage
 
 OUTPUTS = 384  # outputs of the model, the end and the rest included
 CONTEXT = 3  # tokens that a prediction looks back on
-WIDTH = 16  # vector length
-SAMPLE = 2500  # documents that training reads, at most
-SAMPLE_CHARS = 20_000  # longest of them
+WIDTH = 16  # vector length; a row of parameters has a bias behind it
+EPOCHS = 3  # rounds over the training documents
 NOISE = 8  # noise tokens for a true one
+STEP = 2000  # tokens of one gradient step
+GROUP = 500_000  # tokens that are shuffled together
+CHUNK = 4096  # parameter rows that are added up together
 BLOCK_CHARS = 3_000_000  # text in a block before it is closed
 BLOCK_DOCS = 4000
-END, REST = 0, 1  # the first outputs; as context, OUTPUTS stands for the start
+END, REST = 0, 1  # the first outputs; as context, the number of outputs stands for the start
 
 
 def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8").lower().split()
 
 
-@dataclass
+def _sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
+
+
+def _within(seq: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Place of each token in its text."""
+    return np.arange(len(seq)) - np.repeat(starts, np.diff(np.r_[starts, len(seq)]))
+
+
+def _summed(where: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct values of ``where``, which is sorted, and the sum of each one's rows."""
+    first = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
+    times = np.diff(np.r_[first, len(where)])
+    out, more = rows[first], times > 1
+    if more.any():
+        out[more] = np.add.reduceat(rows[np.repeat(more, times)], np.r_[0, np.cumsum(times[more])[:-1]], axis=0)
+    return where[first], out
+
+
 class Model:
-    inputs: np.ndarray  # (OUTPUTS + 1) x WIDTH
-    places: np.ndarray  # CONTEXT x WIDTH
-    outputs: np.ndarray  # OUTPUTS x WIDTH
-    bias: np.ndarray
-
-    def contexts(self, seq: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """OUTPUTS-numbered tokens before each token; rows as ``seq``."""
-        within = np.arange(len(seq)) - np.repeat(starts, np.diff(np.r_[starts, len(seq)]))
-        out = np.empty((CONTEXT, len(seq)), np.int64)
-        for j in range(CONTEXT):
-            out[j, j + 1:] = seq[:len(seq) - j - 1]
-            out[j, :j + 1] = OUTPUTS
-            out[j, within <= j] = OUTPUTS
+    """``rows`` holds, below each other, the vectors of the context tokens (the
+    outputs and the start), outputs, classes and places; ``seen`` the summed squared gradients of each row."""
+
+    def __init__(self, counts: np.ndarray, seed: int = 5):
+        self.n = n = len(counts)
+        share = (counts + 0.1) / (counts + 0.1).sum()
+        # classes of consecutive outputs with the same sum of square roots
+        roots = np.cumsum(np.sqrt(share))
+        at = np.minimum((roots * (np.ceil(roots[-1]) / roots[-1])).astype(np.int64), int(np.ceil(roots[-1])) - 1)
+        first = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+        self.bounds = np.r_[first, n]
+        self.sizes = np.diff(self.bounds)
+        self.class_of = np.repeat(np.arange(len(first)), self.sizes)
+        self.class_share = np.add.reduceat(share, first)
+        rng = np.random.default_rng(seed)
+        self.at_outputs, self.at_classes = n + 1, 2 * n + 1
+        self.at_places = self.at_classes + len(first)
+        self.rows = rng.normal(0, 0.1, (self.at_places + CONTEXT, WIDTH + 1)).astype("f")
+        self.rows[:n + 1, WIDTH] = 0
+        if not counts.any():
+            self.rows[self.at_outputs:self.at_places] = 0
+        self.rows[self.at_outputs:self.at_classes, WIDTH] = np.log(share / self.class_share[self.class_of])
+        self.rows[self.at_classes:self.at_places, WIDTH] = np.log(self.class_share)
+        self.rows[self.at_places:] = 1 / np.arange(1, CONTEXT + 1)[:, None]
+        self.rows[self.at_places:, WIDTH] = 0
+        self.seen = np.full(len(self.rows), 1e-2)
+
+    def copy(self) -> "Model":
+        out = copy.copy(self)
+        out.rows, out.seen = self.rows.copy(), self.seen.copy()
+        return out
+
+    def contexts(self, seq: np.ndarray, within: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """Tokens before each token of ``at``, the nearest first."""
+        return np.stack([np.where(within[at] > j, seq[at - j - 1], self.n) for j in range(CONTEXT)])
+
+    def hidden(self, vectors: np.ndarray) -> np.ndarray:
+        out = (vectors * self.rows[self.at_places:, None]).sum(0)
+        out[:, WIDTH] = 1
         return out
 
     def log_probabilities(self, seq: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Natural log probability of each token of texts laid end to end."""
-        ctx = self.contexts(seq, starts)
-        tables = [(self.inputs * p).astype("f") for p in self.places]
-        weights, bias = self.outputs.T.astype("f").copy(), self.bias.astype("f")
-        out = np.empty(len(seq))
-        for a in range(0, len(seq), 4096):
-            part = slice(a, a + 4096)
-            hidden = sum(t[c[part]] for t, c in zip(tables, ctx))
-            scores = hidden @ weights
-            scores += bias
-            target = scores[np.arange(len(scores)), seq[part]].astype(float)
+        within = _within(seq, starts)
+        classes = self.rows[self.at_classes:self.at_places].T.copy()
+        outputs = self.rows[self.at_outputs:self.at_classes]
+
+        def chosen(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
+            target = scores[np.arange(len(scores)), which].astype(float)
             top = scores.max(1, keepdims=True)
             scores -= top
             np.exp(scores, out=scores)
-            out[part] = target - top[:, 0] - np.log(scores.sum(1, dtype=float))
-        return out
+            return target - top[:, 0] - np.log(scores.sum(1, dtype=float))
 
+        out = np.empty(len(seq))
+        for a in range(0, len(seq), 1 << 16):
+            at = np.arange(a, min(a + (1 << 16), len(seq)))
+            hidden = self.hidden(self.rows[self.contexts(seq, within, at)])
+            word = seq[at]
+            of = self.class_of[word]
+            each = np.concatenate([chosen(hidden[i:i + 4096] @ classes, of[i:i + 4096]) for i in range(0, len(at), 4096)])
+            order = np.argsort(of, kind="stable")
+            ends = np.searchsorted(of[order], np.arange(len(self.sizes) + 1))
+            for c in np.flatnonzero((self.sizes > 1) & (np.diff(ends) > 0)).tolist():
+                lo, hi = self.bounds[c], self.bounds[c + 1]
+                vectors = outputs[lo:hi].T
+                for i in range(ends[c], ends[c + 1], 4096):
+                    some = order[i:min(i + 4096, ends[c + 1])]
+                    each[some] += chosen(hidden[some] @ vectors, word[some] - lo)
+            out[at] = each
+        return out
 
-def train(texts: list[np.ndarray], epochs: int = 3, seed: int = 5) -> Model:
-    """Noise-contrastive estimation with unigram noise; ``texts`` hold output numbers."""
-    rng = np.random.default_rng(seed)
-    n = OUTPUTS
-    model = Model(rng.normal(0, 0.1, (n + 1, WIDTH)), np.ones((CONTEXT, WIDTH)) / np.arange(1, CONTEXT + 1)[:, None],
-                  rng.normal(0, 0.1, (n, WIDTH)), np.zeros(n))
-    if not texts:
-        model.outputs[:] = 0
-        return model
-    seq = np.concatenate(texts)
-    starts = np.r_[0, np.cumsum([len(t) for t in texts])[:-1]]
-    ctx = model.contexts(seq, starts)
-    noise = (np.bincount(seq, minlength=n) + 0.1).astype(float)
-    noise /= noise.sum()
-    log_noise, cumulative = np.log(noise), np.cumsum(noise)
-    model.bias = log_noise.copy()
-    seen = [np.full_like(x, 1e-2) for x in (model.inputs, model.places, model.outputs, model.bias)]
-    for epoch in range(epochs):
+    def learn(self, seq: np.ndarray, starts: np.ndarray, epoch: int, rng: np.random.Generator) -> None:
+        """One pass over texts laid end to end, in steps of shuffled tokens."""
         rate = 0.1 / (1 + epoch)
-        for rows in np.array_split(rng.permutation(len(seq)), max(1, len(seq) // 2000)):
-            c, y = ctx[:, rows], seq[rows]
-            vectors = [model.inputs[x] for x in c]
-            hidden = sum(v * p for v, p in zip(vectors, model.places))
-            # one set of noise tokens for the batch, so that scores are one matrix product
-            z = np.minimum(np.searchsorted(cumulative, rng.random(NOISE * 25)), n - 1)
-            true = (hidden * model.outputs[y]).sum(1) + model.bias[y] - log_noise[y] - np.log(NOISE)
-            false = hidden @ model.outputs[z].T + model.bias[z] - log_noise[z] - np.log(NOISE)
-            g_true = 1 / (1 + np.exp(-np.clip(true, -50, 50))) - 1
-            g_false = (1 / (1 + np.exp(-np.clip(false, -50, 50)))) / 25
-            g_hidden = g_true[:, None] * model.outputs[y] + g_false @ model.outputs[z]
-            grads = [np.zeros_like(x) for x in seen]
-            np.add.at(grads[2], y, g_true[:, None] * hidden)
-            np.add.at(grads[2], z, g_false.T @ hidden)
-            np.add.at(grads[3], y, g_true)
-            np.add.at(grads[3], z, g_false.sum(0))
-            for j, (x, v) in enumerate(zip(c, vectors)):
-                np.add.at(grads[0], x, g_hidden * model.places[j])
-                grads[1][j] = (g_hidden * v).sum(0)
-            for x, g, s in zip((model.inputs, model.places, model.outputs, model.bias), grads, seen):
-                g /= len(rows) ** 0.5
-                s += g * g
-                x -= rate * g / np.sqrt(s)
+        within = _within(seq, starts)
+        log_noise, cumulative = np.log(self.class_share).astype("f"), np.cumsum(self.class_share)
+        log_even = -np.log(self.sizes).astype("f")
+        log_k = np.float32(np.log(NOISE))
+        rows, places = self.rows, self.rows[self.at_places:]
+        for at in np.array_split(rng.permutation(len(seq)), max(1, len(seq) // STEP)):
+            c, y = self.contexts(seq, within, at), seq[at]
+            vectors = rows[c]
+            hidden = self.hidden(vectors)
+            # the class: one set of noise for the step, so that scores are one matrix product
+            k = self.class_of[y]
+            z = np.minimum(np.searchsorted(cumulative, rng.random(NOISE * 25)), len(cumulative) - 1)
+            true, false = rows[self.at_classes + k], rows[self.at_classes + z]
+            g_true = _sigmoid((hidden * true).sum(1) - log_noise[k] - log_k) - 1
+            g_false = _sigmoid(hidden @ false.T - log_noise[z] - log_k) / 25
+            g_hidden = g_true[:, None] * true + g_false @ false
+            where = [self.at_classes + k, self.at_classes + z]
+            grads = [g_true[:, None] * hidden, g_false.T @ hidden]
+            # the word among those of its class
+            many = np.flatnonzero(self.sizes[k] > 1)
+            if len(many):
+                h, k, y = hidden[many], k[many], y[many]
+                z = self.bounds[k][:, None] + (rng.random((len(many), NOISE)) * self.sizes[k][:, None]).astype(np.int64)
+                true, false = rows[self.at_outputs + y], rows[self.at_outputs + z]
+                g_true = _sigmoid((h * true).sum(1) - log_even[k] - log_k) - 1
+                g_false = _sigmoid(np.matmul(false, h[:, :, None])[:, :, 0] - log_even[k][:, None] - log_k)
+                g_hidden[many] += g_true[:, None] * true + np.matmul(g_false[:, None], false)[:, 0]
+                where += [self.at_outputs + y, self.at_outputs + z.ravel()]
+                grads += [g_true[:, None] * h, (g_false[:, :, None] * h[:, None]).reshape(-1, WIDTH + 1)]
+            g_hidden[:, WIDTH] = 0
+            where += [*c, self.at_places + np.arange(CONTEXT)]
+            grads += [*(g_hidden * places[:, None]), (g_hidden * vectors).sum(1)]
+            where = np.concatenate(where)
+            order = np.argsort(where)
+            touched, g = _summed(where[order], np.concatenate(grads)[order])
+            g /= np.float32(len(at) ** 0.5)
+            self.seen[touched] += (g * g).mean(1)
+            rows[touched] -= (rate / np.sqrt(self.seen[touched]))[:, None].astype("f") * g
+
+
+def train(texts: list[np.ndarray], epochs: int = EPOCHS, seed: int = 5) -> Model:
+    """A model of ``OUTPUTS`` outputs; ``texts`` hold output numbers."""
+    counts = np.bincount(np.concatenate(texts), minlength=OUTPUTS) if texts else np.zeros(OUTPUTS, np.int64)
+    model, rng = Model(counts, seed), np.random.default_rng(seed)
+    for epoch in range(epochs if texts else 0):
+        model.learn(np.concatenate(texts), np.r_[0, np.cumsum([len(t) for t in texts])[:-1]], epoch, rng)
+    return model
+
+
+def grouped(batch: pa.RecordBatch, column: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
+    """The batch's texts, some at a time: which, their numbers laid end to end, and starts."""
+    texts = [np.frombuffer(x, "<i4") for x in batch.column(column).to_pylist()]
+    a = size = 0
+    for i, t in enumerate(texts):
+        size += len(t)
+        if size >= GROUP or i == len(texts) - 1:
+            part = texts[a:i + 1]
+            yield slice(a, i + 1), np.concatenate(part), np.r_[0, np.cumsum([len(x) for x in part])[:-1]].astype(np.int64)
+            a, size = i + 1, 0
+
+
+def train_on(numbered: DataFrame, counts: np.ndarray) -> Model:
+    """The model of every training document of ``numbered`` (trains, numbers)."""
+    context = numbered.sparkSession.sparkContext
+    model = Model(counts)
+    texts = numbered.filter("trains").select("numbers").coalesce(max(1, context.defaultParallelism))
+    for epoch in range(EPOCHS if counts.any() else 0):
+        shared = context.broadcast(model)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+            task = TaskContext.get().partitionId()
+            start, rng = shared.value, np.random.default_rng([5, epoch, task])
+            own = start.copy()
+            for batch in batches:
+                for _, seq, starts in grouped(batch, "numbers"):
+                    own.learn(seq, starts, epoch, rng)
+            weight = (own.seen - start.seen).astype("<f4")
+            for a in range(0, len(weight), CHUNK):
+                at = np.flatnonzero(weight[a:a + CHUNK]).astype("<i4")
+                if len(at):
+                    w = weight[a + at]
+                    moved = (own.rows[a + at] - start.rows[a + at]) * w[:, None]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([a // CHUNK], pa.int32()), pa.array([task], pa.int32()),
+                         *(pa.array([x.astype(t).tobytes()], pa.binary()) for x, t in ((at, "<i4"), (w, "<f4"), (moved, "<f4")))],
+                        ["chunk", "task", "at", "weight", "moved"])
+
+        def add(parts: pa.Table) -> pa.Table:
+            weight, moved = np.zeros(CHUNK), np.zeros((CHUNK, WIDTH + 1))
+            for r in sorted(parts.to_pylist(), key=lambda r: r["task"]):
+                at = np.frombuffer(r["at"], "<i4")
+                weight[at] += np.frombuffer(r["weight"], "<f4")
+                moved[at] += np.frombuffer(r["moved"], "<f4").reshape(-1, WIDTH + 1)
+            moved /= np.where(weight > 0, weight, 1)[:, None]
+            return pa.table({"chunk": pa.array([parts.column("chunk")[0].as_py()], pa.int32()),
+                             "weight": pa.array([weight.astype("<f4").tobytes()], pa.binary()),
+                             "moved": pa.array([moved.astype("<f4").tobytes()], pa.binary())})
+
+        moves = (texts.mapInArrow(run, "chunk int, task int, at binary, weight binary, moved binary")
+                 .groupBy("chunk").applyInArrow(add, "chunk int, weight binary, moved binary").collect())
+        model = model.copy()
+        for r in moves:
+            part = slice(r["chunk"] * CHUNK, min((r["chunk"] + 1) * CHUNK, len(model.rows)))
+            size = part.stop - part.start
+            model.seen[part] += np.frombuffer(r["weight"], "<f4")[:size]
+            model.rows[part] += np.frombuffer(r["moved"], "<f4").reshape(-1, WIDTH + 1)[:size]
+        shared.destroy()
     return model
 
 
@@ -186,43 +323,56 @@ def score(docs: DataFrame, fit_on: Column) -> DataFrame:
         .groupBy("word").agg(F.sum("c").alias("c")).filter("c > 0"), "lm-counts")
     n_words, v_words = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_docs = blocked.select(F.coalesce(F.sum(F.expr("size(filter(trains, t -> t))")), F.lit(0))).first()[0]
-    top = [(r["word"], r["c"]) for r in counted.orderBy(F.desc("c"), "word").limit(OUTPUTS - 2).collect()]
-    outputs = {w.encode("utf-8"): i + 2 for i, (w, _) in enumerate(top)}
+    top = counted.orderBy(F.desc("c"), "word").limit(OUTPUTS - 2).collect()
+    numbers = spark.createDataFrame([(r["word"], i + 2) for i, r in enumerate(top)], "word string, output int")
+    known = counted.join(numbers, "word", "left")
+    top_counts = np.array([r["c"] for r in top], np.int64)
     total, distinct = n_words + n_docs, v_words + (1 if n_docs else 0)
-    rest_total, rest_distinct = n_words - sum(c for _, c in top), v_words - len(top)
-    drawn = (texts.filter(F.col("trains") & (F.length("text") <= SAMPLE_CHARS))
-             .orderBy(F.xxhash64("doc_id", F.lit(3)), "doc_id", "text").limit(SAMPLE).select("text").collect())
-    model = train([np.array([outputs.get(w, REST) for w in tokens(r[0] or "")] + [END]) for r in drawn])
-    shared = spark.sparkContext.broadcast((model, outputs))
+    rest_total, rest_distinct = n_words - int(top_counts.sum()), v_words - len(top_counts)
 
     asked = blocked.select(F.col("block").alias("of_block"), F.posexplode("words").alias("pos", "word"))
-    answers = asked.join(counted, "word").select("of_block", "pos", "c")
-
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        model, outputs = shared.value
-        row = {n: left.column(n)[0].as_py() for n in ("ids", "trains", "lengths", "words")}
-        numbers = np.frombuffer(left.column("numbers")[0].as_py(), "<i4")
-        words = row["words"]
-        c = np.zeros(len(words) + 1)
-        c[right.column("pos").to_numpy()] = right.column("c").to_numpy()
-        c[-1] = n_docs  # the end
-        as_output = np.array([outputs.get(w.encode("utf-8"), REST) for w in words] + [END], np.int64)
+    answers = asked.join(known, "word").select("of_block", "pos", "c", F.coalesce("output", F.lit(REST)).alias("output"))
+
+    def number(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = {n: left.column(n)[0].as_py() for n in ("ids", "trains", "lengths")}
+        local = np.frombuffer(left.column("numbers")[0].as_py(), "<i4")
+        n_local = len(left.column("words")[0])
+        c, as_output = np.zeros(n_local + 1), np.full(n_local + 1, REST, "<i4")
+        pos = right.column("pos").to_numpy()
+        c[pos], as_output[pos] = right.column("c").to_numpy(), right.column("output").to_numpy()
+        c[-1], as_output[-1] = n_docs, END
         base = np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
         share = np.where(as_output == REST, np.log10((c + 0.5) / (rest_total + 0.5 * (rest_distinct + 1))), 0.0)
         lengths = np.array(row["lengths"], np.int64) + 1
         starts = np.r_[0, np.cumsum(lengths)[:-1]]
-        seq = np.full(int(lengths.sum()), len(words), np.int64)
+        seq = np.full(int(lengths.sum()), n_local, np.int64)
         is_word = np.ones(len(seq), bool)
         is_word[starts + lengths - 1] = False
-        seq[is_word] = numbers
-        each = model.log_probabilities(as_output[seq], starts) / np.log(10) + share[seq]
+        seq[is_word] = local
+        out = as_output[seq]
         return pa.table({
-            "doc_id": pa.array(row["ids"], pa.int64()),
-            "held_out": pa.array([not t for t in row["trains"]], pa.bool_()), "n_tokens": lengths,
-            "n_known": np.add.reduceat((c[seq] > 0).astype(np.int64), starts),
-            "train_tokens": np.full(len(lengths), total, np.int64),
-            "base_score": np.add.reduceat(base[seq], starts), "score": np.add.reduceat(each, starts)})
-
-    return blocked.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
-        run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-             "base_score double, score double")
+            "doc_id": pa.array(row["ids"], pa.int64()), "trains": pa.array(row["trains"], pa.bool_()),
+            "numbers": pa.array([out[a:a + n].tobytes() for a, n in zip(starts, lengths)], pa.binary()),
+            "n_tokens": lengths, "n_known": np.add.reduceat((c[seq] > 0).astype(np.int64), starts),
+            "base_score": np.add.reduceat(base[seq], starts), "share": np.add.reduceat(share[seq], starts)})
+
+    numbered = cut_lineage(blocked.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
+        number, "doc_id long, trains boolean, numbers binary, n_tokens long, n_known long, base_score double, "
+                "share double"), "lm-numbers")
+    counts = np.zeros(max(OUTPUTS, len(top_counts) + 2), np.int64)
+    counts[2:len(top_counts) + 2] = top_counts
+    counts[END], counts[REST] = n_docs, rest_total
+    shared = spark.sparkContext.broadcast(train_on(numbered, counts))
+
+    def run(batch: pa.RecordBatch) -> dict:
+        scores = np.empty(batch.num_rows)
+        for which, seq, starts in grouped(batch, "numbers"):
+            scores[which] = np.add.reduceat(shared.value.log_probabilities(seq, starts), starts)
+        out = {n: batch.column(n) for n in ("doc_id", "n_tokens", "n_known", "base_score")}
+        return out | {"held_out": pa.compute.invert(batch.column("trains")),
+                      "train_tokens": np.full(batch.num_rows, total, np.int64),
+                      "score": scores / np.log(10) + batch.column("share").to_numpy()}
+
+    return common.map_batches(
+        numbered, run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+                       "base_score double, score double")

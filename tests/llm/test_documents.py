@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from martforge.llm import components, log_bilinear, near_dedup, quality_rules, toxicity
@@ -203,6 +204,14 @@ def test_language_model_beats_the_base_on_held_out(spark):
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
 
 
+def test_language_model_learns_from_long_texts_and_every_task(spark):
+    # two kinds of texts of over 20,000 characters, each in its own partitions
+    rows = [(i, " ".join(["one two three four", "five six seven eight"][i % 2] for _ in range(1500))) for i in range(8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    got = log_bilinear.score(docs, F.lit(True)).collect()
+    assert all(r.score / r.n_tokens > r.base_score / r.n_tokens + 0.4 for r in got)
+
+
 def test_every_query_runs(spark):
     assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 11)]
 
