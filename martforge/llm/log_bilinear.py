@@ -1,8 +1,9 @@
 """Scores of texts by a log-bilinear model trained with noise-contrastive estimation.
 
 Tokens are the text's words and one end.  Spark counts every word of the
-training documents; the ``OUTPUTS`` minus two most frequent are outputs
-of the model, next to the end and one output for all other words.  The outputs
+training documents; those met ``MIN_COUNT`` times, and ``OUTPUTS`` minus two at
+least, are outputs of the model, next to the end and one output for all other
+words, so the outputs grow with the corpus.  The outputs
 are cut into classes, about as many as make class and word equally dear: the
 model gives the class after the last ``CONTEXT`` tokens, then the word in its class, so
 the exact normaliser costs two short sums.  Both are a token vector per place, weighted per
@@ -20,7 +21,8 @@ only.  Class noise follows the counts, word noise is even within the class.
 Counts meet texts block by block: a task turns its documents into blocks of
 local word numbers with the block's own word list, the lists are joined with
 the counts (a word once per block, whatever its frequency), and each block gets
-its counts and output numbers back.  No word list is broadcast.
+its counts and output numbers back.  No word list is broadcast; the parameters,
+about 35 numbers an output, are, since a block needs nearly every class.
 
 A null text is the empty text: only the end is scored.  Repeated rows score
 alike; other columns are ignored; an empty table gives an empty result, and
@@ -40,9 +42,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from martforge.llm import common
+from martforge.operators.ranking import with_global_rank
 from martforge.session import cut_lineage
 
-OUTPUTS = 384  # outputs of the model, the end and the rest included
+OUTPUTS = 384  # outputs of the model at least, the end and the rest included
+MIN_COUNT = 20  # a word met so often is an output
 CONTEXT = 3  # tokens that a prediction looks back on
 WIDTH = 16  # vector length; a row of parameters has a bias behind it
 EPOCHS = 3  # rounds over the training documents
@@ -323,10 +327,12 @@ def score(docs: DataFrame, fit_on: Column) -> DataFrame:
         .groupBy("word").agg(F.sum("c").alias("c")).filter("c > 0"), "lm-counts")
     n_words, v_words = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_docs = blocked.select(F.coalesce(F.sum(F.expr("size(filter(trains, t -> t))")), F.lit(0))).first()[0]
-    top = counted.orderBy(F.desc("c"), "word").limit(OUTPUTS - 2).collect()
-    numbers = spark.createDataFrame([(r["word"], i + 2) for i, r in enumerate(top)], "word string, output int")
-    known = counted.join(numbers, "word", "left")
-    top_counts = np.array([r["c"] for r in top], np.int64)
+    n_top = max(OUTPUTS - 2, counted.filter(F.col("c") >= MIN_COUNT).count())
+    least = MIN_COUNT if n_top > OUTPUTS - 2 else 1
+    ranked = cut_lineage(with_global_rank(counted.filter(F.col("c") >= least), [F.desc("c"), F.asc("word")], "place")
+                         .filter(F.col("place") <= n_top), "lm-outputs")
+    known = counted.join(ranked.select("word", (F.col("place") + 1).cast("int").alias("output")), "word", "left")
+    top_counts = np.sort(ranked.select("c").toPandas()["c"].to_numpy(np.int64))[::-1]  # one number an output
     total, distinct = n_words + n_docs, v_words + (1 if n_docs else 0)
     rest_total, rest_distinct = n_words - int(top_counts.sum()), v_words - len(top_counts)
 
@@ -336,7 +342,7 @@ def score(docs: DataFrame, fit_on: Column) -> DataFrame:
     def number(left: pa.Table, right: pa.Table) -> pa.Table:
         row = {n: left.column(n)[0].as_py() for n in ("ids", "trains", "lengths")}
         local = np.frombuffer(left.column("numbers")[0].as_py(), "<i4")
-        n_local = len(left.column("words")[0])
+        n_local = left.column("n_words")[0].as_py()
         c, as_output = np.zeros(n_local + 1), np.full(n_local + 1, REST, "<i4")
         pos = right.column("pos").to_numpy()
         c[pos], as_output[pos] = right.column("c").to_numpy(), right.column("output").to_numpy()
@@ -356,7 +362,8 @@ def score(docs: DataFrame, fit_on: Column) -> DataFrame:
             "n_tokens": lengths, "n_known": np.add.reduceat((c[seq] > 0).astype(np.int64), starts),
             "base_score": np.add.reduceat(base[seq], starts), "share": np.add.reduceat(share[seq], starts)})
 
-    numbered = cut_lineage(blocked.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
+    placed = blocked.select("block", "ids", "trains", "lengths", "numbers", F.size("words").alias("n_words"))
+    numbered = cut_lineage(placed.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
         number, "doc_id long, trains boolean, numbers binary, n_tokens long, n_known long, base_score double, "
                 "share double"), "lm-numbers")
     counts = np.zeros(max(OUTPUTS, len(top_counts) + 2), np.int64)

@@ -212,6 +212,23 @@ def test_language_model_learns_from_long_texts_and_every_task(spark):
     assert all(r.score / r.n_tokens > r.base_score / r.n_tokens + 0.4 for r in got)
 
 
+def test_language_model_outputs_grow_with_the_counts(spark):
+    # 600 words, each always followed by its own partner: more than the least number of outputs
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join(f"a{x} b{x}" for x in rng.integers(0, 600, 400))) for i in range(200)]
+    model = {}
+    fit, log_bilinear.train_on = log_bilinear.train_on, lambda *a: model.setdefault("m", fit(*a))
+    try:
+        got = log_bilinear.score(frame(spark, rows), F.lit(True)).collect()
+    finally:
+        log_bilinear.train_on = fit
+    m = model["m"]
+    assert m.n == 1202 and m.bounds[-1] == 1202
+    each = [m.log_probabilities(np.array([700, 5, y]), np.array([0]))[-1] for y in range(m.n)]
+    assert abs(np.exp(each).sum() - 1) < 1e-4
+    assert sum(r.score for r in got) > sum(r.base_score for r in got)
+
+
 def test_every_query_runs(spark):
     assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 11)]
 
