@@ -49,7 +49,9 @@ _word = "(?:" + "|".join(DIGIT_WORDS) + ")"
 # at least three spelled digits in a row, digits in between allowed
 SPELLED = re.compile(rf"(?<![^\W_]){_word}(?:[\s,.-]{{1,3}}(?:{_word}|[0-9]+))*[\s,.-]{{1,3}}{_word}(?![^\W_])", re.I)
 SPELLED_PART = re.compile(rf"{_word}|[0-9]+", re.I)
-NOT_A_HOST = r"(?!(?:the|an?|this|that|each|every|my|our|your|his|her|its|their|one)\b)"
+# articles and the like, a number or an hour
+NOT_A_HOST = (r"(?!(?:the|an?|this|that|each|every|my|our|your|his|her|its|their|one)\b)"
+              r"(?![0-9.]+(?:[ap]m)?\b(?![.-]?[A-Za-z0-9]))")
 # a bracketed, underscored or spaced at between two names
 AT = re.compile(r"\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[_-]at[_-](?=[A-Za-z0-9])"
                 r"|(?<=[A-Za-z0-9])\s+(?:at|@)\s+" + NOT_A_HOST + r"(?=[A-Za-z0-9-]+(?:\s*(?:\.|[(\[{<]\s*dot\s*[)\]}>]|\bdot\b)\s*[A-Za-z0-9-]+)+)"
@@ -57,8 +59,8 @@ AT = re.compile(r"\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[_-]at[_-](
                 re.I)
 DOT = re.compile(r"\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[_-]dot[_-](?=[A-Za-z0-9])"
                  r"|(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
-TRIGGER = re.compile(r"[(\[{<]\s*(?:at|dot|@|\.)\s*[)\]}>]|\bdot\b|[_-]dot[_-]|\s@|@\s", re.I)
-SPELLED_TRIGGER = re.compile(rf"\b{_word}\W{{1,3}}{_word}\b", re.I)
+# holds wherever AT or DOT does
+TRIGGER = re.compile(r"[(\[{<]\s*(?:at|dot|@|\.)\s*[)\]}>]|\b(?:at|dot)\b|[_-](?:at|dot)[_-]|\s@|@\s", re.I)
 ODD = re.compile("[" + "".join(LOOK_ALIKES) + INVISIBLE + "".join(map(re.escape, SIGNS)) + "！-～]|(?![0-9])\\d")
 
 
@@ -143,7 +145,7 @@ def normalise(text: str) -> Traced | None:
     odd = not text.isascii() and ODD.search(text) is not None
     t = look_alikes(Traced(text)) if odd else None
     plain = t.text if odd else text
-    if SPELLED_TRIGGER.search(plain):
+    if SPELLED.search(plain):
         t = spelled_digits(t or Traced(text))
         plain = t.text
     if TRIGGER.search(plain):

@@ -50,6 +50,27 @@ def test_clean_texts_stay(text):
     assert pii.find_all(text) == ([], [])
 
 
+@pytest.mark.parametrize("text, kind", [
+    ("jane at example.com", "email"), ("jane_at_example.com", "email"), ("jane-at-example.com", "email"),
+    ("+one 5 five 0 one 2 three 4 five 6 seven", "phone")])
+def test_disguises_without_another_sign(text, kind):
+    assert pii.find_all(text)[1] == [(0, len(text), kind)]
+
+
+@pytest.mark.parametrize("text", ["we met at 10.30 today", "bonds at 3.5.", "left at 10.30am, late"])
+def test_a_number_after_at_is_no_host(text):
+    assert pii.find_all(text) == ([], [])
+
+
+@settings(max_examples=1500, deadline=None)
+@given(st.lists(st.sampled_from(["at", "dot", "@", ".", " ", "_", "-", "(", ")", "[", "]", "bob", "com", "one", "Five", "oh",
+                                 "7", "+", ",", "the", "\n", "а", "１", "﹫", "ＡＴ", "d\u200bot"]), max_size=25).map("".join))
+def test_the_short_cut_changes_nothing(text):
+    t = pii.at_and_dot(pii.spelled_digits(pii.look_alikes(pii.Traced(text))))
+    got = pii.normalise(text)
+    assert (got.text if got else text) == t.text
+
+
 def test_frames(spark):
     rows = [(1, "bob@mail.com and ann (at) mail (dot) org", "x", 5, 0), (2, None, "x", 0, 0), (3, "", "x", 0, 0),
             (1, "bob@mail.com and ann (at) mail (dot) org", "x", 5, 0), (4, "x" * 200_000 + " 1.2.3.4", "x", 1, 0)]
