@@ -27,6 +27,7 @@ from martforge.llm import common
 from martforge.session import cut_lineage
 
 WINDOW = 8
+STRETCH = 1000  # words whose distinct share is taken together, since it falls with length
 SYMBOLS = "#*$%&|<>"  # fixed values: the counted symbols
 GOOD, BAD, ABSTAIN = 2, 0, 1
 
@@ -74,6 +75,7 @@ def measure(text: str) -> dict:
     n = len(words)
     number: dict[bytes, int] = {}
     ids = np.fromiter((number.setdefault(w, len(number)) for w in words), np.int64, n)
+    distinct = sum(len(set(words[i:i + STRETCH])) for i in range(0, n, STRETCH)) if n > STRETCH else len(number)
     lines = [x for x in data.split(b"\n") if x.strip()]
     dup_lines = len(lines) - len(set(lines))
     repeat = covered_by_repeats(ids) if n > WINDOW else 0
@@ -97,7 +99,7 @@ def measure(text: str) -> dict:
         "repeat_share": repeat / per, "symbols_per_word": symbols / per, "upper_share": uppers / max(cased, 1),
         "exclaims_per_word": text.count("!") / per, "stutter_share": float(np.count_nonzero(ids[1:] == ids[:-1])) / per,
         "dup_line_share": dup_lines / max(len(lines), 1), "wordless_share": wordless / per,
-        "odd_share": odd / per, "sameness": (1 - len(number) / per) if n >= 100 else 0.7,
+        "odd_share": odd / per, "sameness": (1 - distinct / per) if n >= 100 else 0.7,
     }
 
 

@@ -51,6 +51,21 @@ def test_quality_counts_and_posterior(spark):
     assert kept.columns == frame(spark).columns and {r.doc_id for r in kept.collect()} == {4, 8}
 
 
+def test_quality_keeps_a_long_clean_text(spark):
+    rng = np.random.default_rng(6)
+    words = np.array(["".join(x) for x in rng.choice(list("abcdefghijklmnop"), (20_000, 6))])
+    share = 1 / np.arange(1, len(words) + 1)
+
+    def text(n):
+        return " ".join(rng.choice(words, n, p=share / share.sum()))
+
+    long = text(500_000)
+    assert quality_rules.measure(long)["sameness"] < 0.65
+    assert quality_rules.measure("spam " * 500_000)["sameness"] > 0.99
+    got = quality_rules.judge(frame(spark, [(i, text(1500)) for i in range(300)] + [(1000, long)])).collect()
+    assert all(r.kept for r in got)
+
+
 def test_quality_finds_labelled_junk(spark):
     labels = documents(spark, "/root/testdata/sf0.01", "labels")
     got = op1_quality_rules(spark, "/root/testdata/sf0.01").join(labels, "doc_id").collect()
