@@ -15,6 +15,7 @@ repeated results; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 import unicodedata
@@ -59,6 +60,9 @@ AT = re.compile(r"\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[_-]at[_-](
                 re.I)
 DOT = re.compile(r"\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[_-]dot[_-](?=[A-Za-z0-9])"
                  r"|(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
+# what may stand between two dots, behind and before an at
+LABELS = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
+LOCAL_PART = re.compile(r"[A-Za-z0-9._%+-]+")
 # holds wherever AT or DOT does
 TRIGGER = re.compile(r"[(\[{<]\s*(?:at|dot|@|\.)\s*[)\]}>]|\b(?:at|dot)\b|[_-](?:at|dot)[_-]|\s@|@\s", re.I)
 ODD = re.compile("[" + "".join(LOOK_ALIKES) + INVISIBLE + "".join(map(re.escape, SIGNS)) + "！-～]|(?![0-9])\\d")
@@ -123,20 +127,36 @@ def spelled_digits(t: Traced) -> Traced:
 
 
 def at_and_dot(t: Traced) -> Traced:
-    """Signs for at and dot; bare dots only after an at, up to the end of the address."""
+    """Signs for at and dot; bare dots only in the unbroken chain of words on
+    either side of an at."""
     ats = list(AT.finditer(t.text))
     parts = [(m.start(), m.end(), "@") for m in ats]
     t = t.rewrite(parts)
     if "@" not in t.text:
         return t
+    found = [(m.start(), m.end()) for m in DOT.finditer(t.text)]
+    starts = [a for a, _ in found]
+    chained: set[int] = set()
+    for m in re.finditer("@", t.text):
+        first = bisect.bisect_left(starts, m.end())
+        pos, i = m.end(), first
+        while i < len(found) and LABELS.fullmatch(t.text, pos, found[i][0]):
+            chained.add(i)
+            pos, i = found[i][1], i + 1
+        pos, i = m.start(), first - 1
+        while i >= 0 and found[i][1] < pos and LOCAL_PART.fullmatch(t.text, found[i][1], pos):
+            chained.add(i)
+            pos, i = found[i][0], i - 1
     dots = []
-    for m in DOT.finditer(t.text):
-        at = t.text.rfind("@", max(0, m.start() - 260), m.start())
-        bracketed = m.group().strip()[:1] in "([{<"
-        near = at >= 0 and re.fullmatch(r"[A-Za-z0-9.\s()\[\]{}<>_-]*", t.text[at + 1:m.start()])
-        before = bracketed and "@" in t.text[m.end():m.end() + 80]
-        if (near and (bracketed or len(t.text[at + 1:m.start()].split()) <= 5)) or before:
-            dots.append((m.start(), m.end(), "."))
+    for i, (a, b) in enumerate(found):
+        if i not in chained:
+            if t.text[a:b].strip()[:1] not in tuple("([{<"):
+                continue
+            at = t.text.rfind("@", max(0, a - 260), a)
+            near = at >= 0 and re.fullmatch(r"[A-Za-z0-9.\s()\[\]{}<>_-]*", t.text[at + 1:a])
+            if not near and "@" not in t.text[b:b + 80]:
+                continue
+        dots.append((a, b, "."))
     return t.rewrite(dots)
 
 

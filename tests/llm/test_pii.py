@@ -57,6 +57,13 @@ def test_disguises_without_another_sign(text, kind):
     assert pii.find_all(text)[1] == [(0, len(text), kind)]
 
 
+@pytest.mark.parametrize("source", [
+    "john dot smith at example dot com", "a dot b dot c at d dot e dot f dot g dot h dot i dot com",
+    "j-dot-s-at-mail-dot-com", "john dot smith at " + "label dot " * 60 + "com"])
+def test_whole_chain_of_spoken_dots(source):
+    assert pii.find_all(f"(write {source}, or call)")[1] == [(7, 7 + len(source), "email")]
+
+
 @pytest.mark.parametrize("text", ["we met at 10.30 today", "bonds at 3.5.", "left at 10.30am, late"])
 def test_a_number_after_at_is_no_host(text):
     assert pii.find_all(text) == ([], [])
