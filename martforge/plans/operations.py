@@ -10,6 +10,7 @@ in that extract.
 
 from __future__ import annotations
 
+import copy
 import datetime as dt
 import logging
 import uuid
@@ -29,7 +30,7 @@ from martforge.plans import analytics as A
 from martforge.plans import checks as C
 from martforge.plans.publish import append_table, atomic_publish, published_row_counts
 from martforge.plans.staging import CUSTOMER_COLUMNS, customers_typed
-from martforge.plans.warehouse import Warehouse
+from martforge.plans.warehouse import LAYOUT, Warehouse
 from martforge.session import scratch_path
 from martforge.sources.driver import read_table
 from martforge.sources.landing import source_id
@@ -132,8 +133,14 @@ STAR_TABLES = ["dim_date", "dim_category", "dim_customer", "dim_product", "fct_o
 
 def atomic_publish_job(wh: Warehouse, spark: SparkSession) -> DataFrame:
     root = _run_dir(spark, "published")
-    report = C.run_checks(wh, C.DBT_SUITE)
-    atomic_publish(spark, {t: getattr(wh, t) for t in STAR_TABLES}, root, checks=report)
+
+    def report(written: dict[str, DataFrame]) -> DataFrame:
+        # the same models, the star tables read from the written files
+        on_files = copy.copy(wh)
+        on_files.__dict__.update(written)
+        return C.run_checks(on_files, C.DBT_SUITE)
+
+    atomic_publish(spark, {t: getattr(wh, t) for t in STAR_TABLES}, root, checks=report, layout=LAYOUT)
     return published_row_counts(spark, root, STAR_TABLES)
 
 

@@ -135,3 +135,27 @@ def test_constraint_suite_aborts_publish_on_driver_tables(spark):
     with pytest.raises(DataQualityError):
         atomic_publish(spark, {"fct_orders": wh.fct_orders}, root, checks=report)
     assert current_version(spark, root) is None
+
+
+def test_publish_job_checks_what_it_wrote(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from martforge.plans import operations
+    from martforge.plans.registry import queries
+    from martforge.plans.warehouse import LAYOUT, Warehouse
+    read, asked, run, publish = {}, {}, operations.C.run_checks, operations.atomic_publish
+
+    def checks(wh, suite):
+        assert isinstance(wh, Warehouse)
+        read.update((t, getattr(wh, t).inputFiles()) for t in operations.STAR_TABLES)
+        return run(wh, suite)
+
+    def publishing(*a, **k):
+        asked.update(k)
+        return publish(*a, **k)
+
+    monkeypatch.setattr(operations.C, "run_checks", checks)
+    monkeypatch.setattr(operations, "atomic_publish", publishing)
+    assert queries()["atomic_publish"](spark, SF_SMALL).count() == len(operations.STAR_TABLES)
+    for t, files in read.items():
+        assert files and all("/published" in f and f"/{t}/" in f for f in files)
+    assert asked["layout"] == LAYOUT
