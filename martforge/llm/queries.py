@@ -8,7 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martforge.llm import bpe_transducer, log_bilinear, near_dedup, packing, pii, quality_rules, token_store, toxicity, vector_dedup, warc
+from martforge.llm import (
+    bpe_transducer, divergence, log_bilinear, near_dedup, packing, phrase_graph, pii, quality_rules, token_store, toxicity,
+    trigram_index, vector_dedup, warc)
 from martforge.llm.common import crc_mod, documents
 from martforge.session import scratch_path
 
@@ -69,11 +71,24 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         documents(spark, sf_dir), vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(documents(spark, sf_dir))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trigram_index.digests(trigram_index.scan(documents(spark, sf_dir)))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrase_graph.collocations(documents(spark, sf_dir))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         op1_quality_rules, op2_near_dedup, op3_toxicity, op4_pii, op5_log_bilinear, op6_token_store, op7_packing,
-        op8_vector_dedup, op9_warc, op10_bpe)}
+        op8_vector_dedup, op9_warc, op10_bpe, op11_divergence, op12_secrets, op13_phrases)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_warc": warc.ORACLE}
+    return {"op9_warc": warc.ORACLE, "op11_divergence": divergence.ORACLE, "op12_secrets": trigram_index.ORACLE,
+            "op13_phrases": phrase_graph.ORACLE}
