@@ -15,7 +15,8 @@ table of 2^FILTER_BITS counters; a pair whose counter stays below ``least``
 is certainly rare, and the second pass ends its pieces there.  What remains of a
 piece is a run; runs end like pieces do.  Counters may be shared, which lets
 rare pairs through but never stops a frequent one: results do not depend on the
-size of the table, which is fixed (2 MB of bits reach the driver and the tasks).
+size of the table, which is fixed (8 MB of bits reach the driver and the tasks;
+a counting task holds 64 MB).
 
 Unary paths of frequent edges are compacted: a node with one edge in, one out,
 the same weight on both and no end or start of a run passes everything on, so
@@ -52,7 +53,7 @@ LONGEST = 4  # words of a gram; nodes have one less
 LEAST = 30
 INSIDE = 80  # percent of a phrase's count at which a longer one replaces it
 TOP = 2000
-FILTER_BITS = 24
+FILTER_BITS = 26
 SLICE_BITS = 16  # counters are summed in slices of this many
 CHUNK = 4 << 20  # bytes of text that are counted together
 
@@ -115,21 +116,22 @@ def frequent_bits(texts: DataFrame, least: int, n_bits: int = FILTER_BITS) -> np
 
     Each task sends the counters that it touched, slice by slice; slices are summed
     as they stream in."""
-    cap = np.iinfo(np.uint32).max
+    small = np.dtype("u1" if least <= 255 else "<u4")  # counters stop at its largest number
+    cap = np.iinfo(small).max
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << n_bits, np.uint32)
+        seen = np.zeros(1 << n_bits, small)
         for lang, chunk in _chunks(batches):
             for b in buckets(*tokens(chunk), lang, n_bits):
                 at, n = np.unique(b[b >= 0], return_counts=True)
-                seen[at] = np.minimum(seen[at] + n, cap)
+                seen[at] = np.minimum(seen[at].astype(np.int64) + n, cap)
         rows: dict[str, list] = {"slice": [], "at": [], "n": []}
         for i, part in enumerate(seen.reshape(-1, 1 << SLICE_BITS)):
             at = np.flatnonzero(part)
             if len(at):
                 rows["slice"].append(i)
                 rows["at"].append(at.astype("<u2").tobytes())
-                rows["n"].append(np.minimum(part[at], least).astype("<u2" if least > 255 else "u1").tobytes())
+                rows["n"].append(part[at].tobytes())
         yield pa.RecordBatch.from_arrays([pa.array(rows["slice"], pa.int32()), pa.array(rows["at"], pa.binary()),
                                           pa.array(rows["n"], pa.binary())], ["slice", "at", "n"])
 
@@ -137,7 +139,7 @@ def frequent_bits(texts: DataFrame, least: int, n_bits: int = FILTER_BITS) -> np
         total: dict[int, np.ndarray] = defaultdict(lambda: np.zeros(1 << SLICE_BITS, np.int64))
         for batch in batches:
             for i, at, n in zip(*(c.to_pylist() for c in batch.columns)):
-                total[i][np.frombuffer(at, "<u2")] += np.frombuffer(n, "<u2" if least > 255 else "u1")
+                total[i][np.frombuffer(at, "<u2")] += np.frombuffer(n, small)
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(total), pa.int32()),
              pa.array([np.packbits(t >= least, bitorder="little").tobytes() for t in total.values()], pa.binary())],
@@ -146,7 +148,7 @@ def frequent_bits(texts: DataFrame, least: int, n_bits: int = FILTER_BITS) -> np
     sums = (texts.mapInArrow(count, "slice int, at binary, n binary").repartition("slice")
             .mapInArrow(add, "slice int, bits binary"))
     out = np.zeros((1 << (n_bits - SLICE_BITS), 1 << (SLICE_BITS - 3)), np.uint8)
-    for row in sums.collect():  # one row a slice, 2 MB in all
+    for row in sums.collect():  # one row a slice, a bit for each counter
         out[row["slice"]] = np.frombuffer(row["bits"], np.uint8)
     return out.reshape(-1)
 

@@ -176,7 +176,7 @@ MINED = [(i, "the Quick brown fox jumps over the lazy dog, the quick brown fox;
                                                         (None, "quick brown fox jumps " * 9000, "en", "s")]
 
 
-@pytest.mark.parametrize("least,top,bits", [(1, 50, 24), (6, 2000, 16), (10, 3, 24)])  # the table's size changes nothing
+@pytest.mark.parametrize("least,top,bits", [(1, 50, 26), (6, 2000, 16), (10, 3, 20)])  # the table's size changes nothing
 def test_phrases_equal_brute_force(spark, least, top, bits):
     got = phrase_graph.collocations(frame(spark, MINED), least=least, top=top, n_bits=bits)
     assert got.columns == ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
