@@ -10,16 +10,18 @@ the weight of its outgoing edges plus its ends, that of two words the sum over
 nodes that begin with them plus ends, and that of one word likewise.
 
 Only phrases met ``least`` times matter, and a part of such a phrase is met as
-often.  A first pass therefore adds the occurrences of words and pairs up in a
-table of 2^FILTER_BITS counters; a pair whose counter stays below ``least``
-is certainly rare, and the second pass ends its pieces there.  What remains of a
-piece is a run; runs end like pieces do.  Counters may be shared, which lets
-rare pairs through but never stops a frequent one: results do not depend on the
-size of the table, which is fixed (8 MB of bits reach the driver and the tasks;
-a counting task holds 64 MB).
+often.  A first pass therefore adds the occurrences of words, pairs and triples
+up in a table of 2^FILTER_BITS counters.  A gram with a part whose counter stays
+below ``least`` is certainly rare.  The second pass reads from each word on the
+longest gram, of four words at most, that may be frequent; where the next word makes it rare
+it ends like at the end of a piece.  Every occurrence of a frequent gram thus
+begins exactly one longer or equal gram, and the sums above are exact.  Counters
+may be shared, which lets rare grams through but never stops a frequent one:
+results do not depend on the size of the table, which is fixed (8 MB of bits reach
+the driver and the tasks; a counting task holds 64 MB).
 
 Unary paths of frequent edges are compacted: a node with one edge in, one out,
-the same weight on both and no end or start of a run passes everything on, so
+the same weight on both and no end passes everything on, so
 its edges merge.  Paths are ranked by pointer doubling, in as many rounds as the
 logarithm of the longest; edges on a pure cycle stay single.  A merged node lies
 inside a phrase of the same count, so only the other nodes are scored.
@@ -76,19 +78,22 @@ def tokens(texts: list[bytes]) -> tuple[np.ndarray, list[bytes]]:
     return np.fromiter(map(number.__getitem__, words), np.int32, len(words)), list(number)
 
 
-def buckets(ids: np.ndarray, words: list[bytes], lang: str, n_bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """Counter of every word and of every pair (its first word's place) as int32;
-    what is no word or pair has -1."""
-    seed = np.uint64(zlib.crc32(lang.encode()))
+def buckets(ids: np.ndarray, words: list[bytes], lang: str, n_bits: int) -> list[np.ndarray]:
+    """Counters of the word, the pair and the triple that begin at each place, as
+    int32; -1 where a piece ends before."""
     shift = np.uint64(64 - n_bits)
-    h = _mix(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) + seed)
-    one = (h >> shift).astype(np.int32)
-    one[0] = -1
-    at = h[ids]
-    with np.errstate(over="ignore"):
-        two = (_mix(at[:-1] * np.uint64(0x9E3779B97F4A7C15) + at[1:]) >> shift).astype(np.int32)
-    two[(ids[:-1] == 0) | (ids[1:] == 0)] = -1
-    return one[ids], np.append(two, np.int32(-1))
+    h = _mix(np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words)) + np.uint64(zlib.crc32(lang.encode())))
+    at, ended, out = h[ids], ids == 0, []
+    gram, over = at, ended
+    for k in range(LONGEST - 1):
+        if k:  # one more word; behind the last place everything has ended
+            with np.errstate(over="ignore"):
+                gram = _mix(gram * np.uint64(0x9E3779B97F4A7C15) + np.append(at[k:], np.zeros(k, np.uint64)))
+            over = over | np.append(ended[k:], np.ones(k, bool))
+        counter = (gram >> shift).astype(np.int32)
+        counter[over] = -1
+        out.append(counter)
+    return out
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
@@ -166,20 +171,16 @@ def _grouped(ids: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray, np.nd
     return at[first], n
 
 
-def runs(ids: np.ndarray, words: list[bytes], lang: str, bits: np.ndarray) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
-    """Edges (k = 4) and ends of runs (k = 1 to 3) as (k, grams, counts).  Ends of
-    one word are left out where the word is certainly rare."""
-    def met(b: np.ndarray) -> np.ndarray:
-        return (b >= 0) & ((bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
-
-    one, two = buckets(ids, words, lang, (len(bits) * 8).bit_length() - 1)
-    go = met(two)  # the run goes on behind this word
-    back = np.append(False, go[:-1])
-    back2 = back & np.append([False] * 2, go[:-2])[:len(go)]
-    last = (ids > 0) & ~go
-    edge = go[:-3] & go[1:-2] & go[2:-1] if len(go) > 3 else go[:0]
-    for k, at in ((1, np.flatnonzero(last & met(one))), (2, np.flatnonzero(last & back) - 1),
-                  (3, np.flatnonzero(last & back2) - 2), (4, np.flatnonzero(edge))):
+def longest(ids: np.ndarray, words: list[bytes], lang: str, bits: np.ndarray) -> Iterator[tuple[int, list[bytes], np.ndarray]]:
+    """The longest gram from each place on that may be frequent, as (k, grams,
+    counts): edges (k = 4) and ends (k = 1 to 3).  Certainly rare words are left out."""
+    one, two, three = (
+        (b >= 0) & ((bits[b >> 3] >> (b & 7).astype(np.uint8)) & 1).astype(bool)
+        for b in buckets(ids, words, lang, (len(bits) * 8).bit_length() - 1))
+    three &= two & np.append(two[1:], False)
+    four = three & np.append(three[1:], False)
+    for k, at in ((1, one & ~two), (2, two & ~three), (3, three & ~four), (4, four)):
+        at = np.flatnonzero(at)
         if len(at):
             first, n = _grouped(ids, at, k)
             grams = [b" ".join([words[j] for j in g]) for g in np.stack([ids[first + i] for i in range(k)], 1).tolist()]
@@ -187,11 +188,11 @@ def runs(ids: np.ndarray, words: list[bytes], lang: str, bits: np.ndarray) -> It
 
 
 def grams(texts: DataFrame, bits: np.ndarray) -> DataFrame:
-    """lang, k, gram, n: edges (k = 4), ends of runs (k = 1 to 3) and, with k = 0, all words."""
+    """lang, k, gram, n: edges (k = 4), ends (k = 1 to 3) and, with k = 0, all words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, chunk in _chunks(batches):
             ids, words = tokens(chunk)
-            for k, found, n in [(0, [b""], np.array([(ids > 0).sum()])), *runs(ids, words, lang, bits)]:
+            for k, found, n in [(0, [b""], np.array([(ids > 0).sum()])), *longest(ids, words, lang, bits)]:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([lang] * len(found)), pa.array([k] * len(found), pa.int32()),
                      pa.array(found, pa.binary()).cast(pa.string()), pa.array(n, pa.int64())], ["lang", "k", "gram", "n"])
