@@ -1,7 +1,7 @@
 """Command line: ``python -m martforge <command> --sf-dir DIR [...]``.
 
-build   build the star and the marts from the driver tables, run the 50
-        model tests, and publish everything atomically under --out (a failing
+build   build the star and the marts from the driver tables, or with --csv-dir
+        from <table>.csv of the six extracts, run the 50 model tests, and publish everything atomically under --out (a failing
         error-severity test aborts before anything is published)
 check   print the data-quality report (the 50 model tests, or --constraints)
 query   show the first rows of a registered query
@@ -19,6 +19,7 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("command", choices=["build", "check", "query", "list"])
     ap.add_argument("name", nargs="?", help="query name (for 'query')")
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
+    ap.add_argument("--csv-dir", help="folder of the six CSV extracts (instead of --sf-dir)")
     ap.add_argument("--out", help="publish root (for 'build')")
     ap.add_argument("--master", default=None)
     ap.add_argument("--constraints", action="store_true", help="check the DDL constraints")
@@ -37,7 +38,14 @@ def main(argv: list[str] | None = None) -> int:
     from martforge.plans import checks as C
     from martforge.plans.warehouse import warehouse_for
 
-    wh = warehouse_for(spark, args.sf_dir)
+    if args.csv_dir:
+        from martforge.plans.warehouse import Warehouse
+        from martforge.session import scratch_path
+        from martforge.sources.landing import csv_paths, csv_to_landing
+        landing = f"{args.out}/landing" if args.out else scratch_path(spark, "landing")
+        wh = Warehouse(spark, csv_to_landing(spark, csv_paths(args.csv_dir), landing))
+    else:
+        wh = warehouse_for(spark, args.sf_dir)
     if args.command == "check":
         suite = C.CONSTRAINT_SUITE if args.constraints else C.DBT_SUITE
         C.run_checks(wh, suite).orderBy("check_name").show(len(suite), truncate=False)

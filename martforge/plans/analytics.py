@@ -17,6 +17,7 @@ Series over months are bounded by the calendar and may meet in one task.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,7 +26,8 @@ from martforge.constants import RFM_BUCKETS, RFM_DEFAULT_SEGMENT, RFM_SEGMENTS
 from martforge.functions.clean import SUM_MONEY, money_sum, pct
 from martforge.functions.dates import date_key, month_distance, month_start
 from martforge.operators.hierarchy import walk_from_roots
-from martforge.operators.ranking import with_global_rank, with_global_ntile
+from martforge.operators.quantiles import Tiles, with_exact_ntiles
+from martforge.operators.ranking import with_global_rank
 from martforge.plans.warehouse import Warehouse
 
 
@@ -90,24 +92,31 @@ def _segment(total: Column) -> Column:
 
 
 def _score(facts: DataFrame, as_of: dt.date, r: str, f: str, m: str) -> DataFrame:
-    """Three global quintiles.  Ties are broken by customer_key so the result
-    is repeatable; NULL recency (no dated order) sorts first, as in the
-    source database's descending order."""
+    """Three global quintiles, their cuts found by selection.  Ties are broken
+    by customer_key so the result is repeatable; NULL recency (no dated order)
+    sorts first, as in the source database's descending order."""
     recency = F.datediff(F.lit(as_of), F.col("last_order_date"))
-    scored = facts.withColumn("recency_days", recency)
-    scored = with_global_ntile(
-        scored, [F.col("recency_days").desc_nulls_first(), F.col("customer_key").asc()],
-        RFM_BUCKETS, r)
-    scored = with_global_ntile(
-        scored, [F.col("frequency").asc_nulls_last(), F.col("customer_key").asc()], RFM_BUCKETS, f)
-    scored = with_global_ntile(
-        scored, [F.col("monetary").asc_nulls_last(), F.col("customer_key").asc()], RFM_BUCKETS, m)
-    return scored
+    return with_exact_ntiles(
+        facts.withColumn("recency_days", recency),
+        [Tiles(r, "recency_days", descending=True, nulls_first=True), Tiles(f, "frequency"), Tiles(m, "monetary")],
+        "customer_key", RFM_BUCKETS)
+
+
+def _once(wh: Warehouse, what: tuple, build: Callable[[], DataFrame]) -> DataFrame:
+    """Scored tables are built once for a warehouse and shared by their readers."""
+    scored = wh.__dict__.setdefault("_scored", {})
+    if what not in scored:
+        scored[what] = build()
+    return scored[what]
 
 
 def customer_rfm(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame:
     """dbt mart: one row per customer with orders (every status)."""
     as_of = as_of or wh.as_of
+    return _once(wh, ("customer_rfm", as_of), lambda: _customer_rfm(wh, as_of))
+
+
+def _customer_rfm(wh: Warehouse, as_of: dt.date) -> DataFrame:
     facts = wh.int_customer_order_facts.join(
         wh.dim_customer.select("customer_id", "customer_key"), "customer_id", "inner"
     ).select("customer_key", "last_order_date", "frequency", "monetary")
@@ -129,6 +138,10 @@ def customer_rfm_named(wh: Warehouse, as_of: dt.date | None = None) -> DataFrame
     """Hand-written form: customers joined to their *dated* orders, with the
     name and recency in days."""
     as_of = as_of or wh.as_of
+    return _once(wh, ("customer_rfm_named", as_of), lambda: _customer_rfm_named(wh, as_of))
+
+
+def _customer_rfm_named(wh: Warehouse, as_of: dt.date) -> DataFrame:
     facts = (
         orders_with_dates(wh)
         .groupBy("customer_key")

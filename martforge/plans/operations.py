@@ -15,7 +15,7 @@ import datetime as dt
 import logging
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.functions.clean import SUM_MONEY
@@ -137,6 +137,7 @@ def atomic_publish_job(wh: Warehouse, spark: SparkSession) -> DataFrame:
     def report(written: dict[str, DataFrame]) -> DataFrame:
         # the same models, the star tables read from the written files
         on_files = copy.copy(wh)
+        on_files.__dict__.pop("_scored", None)  # scores of the unwritten models
         on_files.__dict__.update(written)
         return C.run_checks(on_files, C.DBT_SUITE)
 
@@ -220,10 +221,27 @@ def csv_landing(wh: Warehouse, spark: SparkSession) -> dict[str, DataFrame]:
     return {t: scan_raw_csv(spark, p, t) for t, p in landing_csv_paths(wh, spark).items()}
 
 
+def landed(wh: Warehouse, spark: SparkSession) -> dict[str, DataFrame]:
+    """The landing tables loaded from the CSV files (full refresh), once per warehouse."""
+    from martforge.sources.landing import csv_to_landing
+    tables = getattr(wh, "_landed", None)
+    if tables is None:
+        tables = wh._landed = csv_to_landing(spark, landing_csv_paths(wh, spark), _run_dir(spark, "landing"))
+    return tables
+
+
+def star_from_csv(wh: Warehouse, spark: SparkSession) -> Warehouse:
+    """The warehouse over the landing tables that came from the CSV files."""
+    built = getattr(wh, "_from_csv", None)
+    if built is None:
+        built = wh._from_csv = Warehouse(spark, landed(wh, spark), wh.spine, wh.as_of, wh.strict)
+    return built
+
+
 def load_raw_full_refresh_job(wh: Warehouse, spark: SparkSession) -> DataFrame:
     """Row count per landing table after the full-refresh load."""
     out = None
-    for t, df in csv_landing(wh, spark).items():
+    for t, df in landed(wh, spark).items():
         one = df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(f"{t}_raw").alias("table_name"), "row_count")
         out = one if out is None else out.unionByName(one)
@@ -265,6 +283,67 @@ def guard_returned_job(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataF
     return guard_returned(after, upd, wh.fct_order_items, wh.fct_returns)
 
 
+# --- update batches as transactions -----------------------------------------------
+
+SECOND_UPDATE_TIME = dt.datetime(2002, 1, 3, 0, 0, 0)
+ARRIVED_EVERY = 7                 # second batch: shipped orders of such keys have arrived
+MOVED_EVERY = 11                  # customers of such keys have moved
+ORDER_LAYOUT = {"fct_orders": LAYOUT["fct_orders"]}
+
+
+def _time_text(name: str) -> Column:
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+
+
+def update_orders(spark: SparkSession, root: str, batch_id: str, updates: DataFrame, at: dt.datetime) -> str:
+    """One status batch on the published orders: guarded, stamped and logged."""
+    from martforge.plans.updates import apply_batch, read_table_of
+    items, returns = (read_table_of(spark, root, t) for t in ("fct_order_items", "fct_returns"))
+    return apply_batch(spark, root, "fct_orders", "order_key", batch_id, updates, at, audited="order_status",
+                       guard=lambda after, batch: guard_returned(after, batch, items, returns), layout=ORDER_LAYOUT)
+
+
+def publish_order_tables(wh: Warehouse, spark: SparkSession, root: str) -> str:
+    """The tables that a status batch reads and writes, as first published."""
+    from martforge.plans.updates import publish_tables
+    return publish_tables(spark, root, {
+        "fct_orders": wh.fct_orders.withColumn("updated_at", F.lit(LOAD_TIME)),
+        "fct_order_items": wh.fct_order_items, "fct_returns": wh.fct_returns}, ORDER_LAYOUT)
+
+
+def update_batches(wh: Warehouse, spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Two status batches, the first sent twice: the orders and the audit table as
+    published in the end.  A batch holds the rows that change."""
+    from martforge.plans.updates import AUDIT, read_table_of
+    done = getattr(wh, "_updated", None)
+    if done is None:
+        root = _run_dir(spark, "updates")
+        publish_order_tables(wh, spark, root)
+        old = wh.fct_orders.select("order_key", F.col("order_status").alias("_mf_old"))
+        first = (orders_status_update(wh, spark, sf_dir).join(old, "order_key")
+                 .filter(~F.col("order_status").eqNullSafe(F.col("_mf_old"))).drop("_mf_old"))
+        for _ in range(2):  # the second time it is logged already
+            update_orders(spark, root, "first", first, UPDATE_TIME)
+        second = read_table_of(spark, root, "fct_orders").filter(
+            (F.col("order_key") % ARRIVED_EVERY == 0) & (F.col("order_status") == "shipped")).select(
+            "order_key", F.lit("delivered").alias("order_status"))
+        update_orders(spark, root, "second", second, SECOND_UPDATE_TIME)
+        done = wh._updated = root
+    return (read_table_of(spark, done, "fct_orders").select("order_key", "order_status", _time_text("updated_at")),
+            read_table_of(spark, done, AUDIT).withColumn("changed_at", _time_text("changed_at")))
+
+
+def update_customers_job(wh: Warehouse, spark: SparkSession) -> DataFrame:
+    """Customers who moved: every row of the batch is stamped, nothing is logged but the batch."""
+    from martforge.plans.updates import apply_batch, publish_tables, read_table_of
+    root = _run_dir(spark, "customer_updates")
+    publish_tables(spark, root, {"dim_customer": wh.dim_customer.withColumn("updated_at", F.lit(LOAD_TIME))})
+    moved = wh.dim_customer.filter(F.col("customer_key") % MOVED_EVERY == 0).select(
+        "customer_key", F.concat("city", F.lit(" (new)")).alias("city"))
+    apply_batch(spark, root, "dim_customer", "customer_key", "moved", moved, UPDATE_TIME)
+    return read_table_of(spark, root, "dim_customer").select("customer_key", "city", _time_text("updated_at"))
+
+
 def table_stats(df: DataFrame, columns: list[str]) -> DataFrame:
     """Column statistics by one aggregation: exact distinct count, nulls, and
     least and greatest value as text."""

@@ -67,6 +67,18 @@ def _write_pointer(spark: SparkSession, root: str, version: str) -> None:
     context.rename(fs.makeQualified(tmp), fs.makeQualified(final), overwrite)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small text file beside the tables (never one with rows)."""
+    fs, p, _ = _fs(spark, path)
+    out = fs.create(p, False)
+    out.write(bytearray(text.encode("utf-8")))
+    out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r[0] for r in spark.read.text(path, wholetext=True).collect())
+
+
 def current_version(spark: SparkSession, root: str) -> str | None:
     fs, _, jvm = _fs(spark, root)
     final = jvm.org.apache.hadoop.fs.Path(f"{root}/{POINTER}")

@@ -9,6 +9,7 @@ compared on row counts only.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,8 +19,9 @@ from martforge.plans import analytics as A
 from martforge.plans import checks as C
 from martforge.plans import operations as OP
 from martforge.plans import oracle as O
-from martforge.plans import staging
+from martforge.plans import planted, staging
 from martforge.plans.warehouse import Warehouse, warehouse_for
+from martforge.sources.landing import LANDING_TABLES
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -94,6 +96,8 @@ def _raw_rowcount_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     q: dict[str, Query] = {}
     q["messy_landing"] = _landing_query("customers")
+    for t in LANDING_TABLES:
+        q[f"messy_landing_{t}"] = _landing_query(t)
     q["raw_rowcount_report"] = _raw_rowcount_report
     q["stg_customers_text_order"] = _stg_customers_text_order
     for m in MODELS:
@@ -153,9 +157,34 @@ def _operations() -> dict[str, Query]:
         "limit_samples": _wh(lambda wh, s, d: OP.limit_samples_job(wh)),
         "guard_returned": _wh(OP.guard_returned_job),
         "table_stats": _wh(lambda wh, s, d: OP.table_stats_job(wh, s)),
+        # CSV files to landing tables to the star
+        **{f"csv_stg_{t}": _csv_model(f"stg_{t}") for t in LANDING_TABLES},
+        "csv_fct_order_items": _csv_model("fct_order_items"),
+        "csv_fct_returns": _csv_model("fct_returns"),
+        # broken rows and quarantine
+        "dq_planted": _wh(lambda wh, s, d: planted.planted_report(wh)),
+        "quarantine_counts": _wh(lambda wh, s, d: planted.quarantine_counts(wh)),
+        "quarantine_rejects": _wh(lambda wh, s, d: planted.quarantine_rejects(wh)),
+        "quarantine_star": _wh(_quarantine_star),
+        # update batches as transactions
+        "update_batch_orders": _wh(lambda wh, s, d: OP.update_batches(wh, s, d)[0]),
+        "update_batch_audit": _wh(lambda wh, s, d: OP.update_batches(wh, s, d)[1]),
+        "update_batch_customers": _wh(lambda wh, s, d: OP.update_customers_job(wh, s)),
     }
 
 
+def _csv_model(name: str) -> Query:
+    return _wh(lambda wh, s, d: getattr(OP.star_from_csv(wh, s), name))
+
+
+def _quarantine_star(wh: Warehouse, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the facts built from the kept rows, named by their staging tables."""
+    star = planted.quarantine_star(wh)
+    facts = {"stg_orders": star.fct_orders, "stg_order_items": star.fct_order_items, "stg_returns": star.fct_returns}
+    return reduce(DataFrame.unionByName, [df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        F.lit(t).alias("table_name"), "row_count") for t, df in facts.items()])
+
+
 def oracle_sql() -> dict[str, str]:
     o: dict[str, str] = {}
     chain = O.with_chain
@@ -187,6 +216,13 @@ def oracle_sql() -> dict[str, str]:
         f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS distinct_count, "
         f"count(*) - count({c}) AS num_nulls, cast(min({c}) AS varchar) AS min, cast(max({c}) AS varchar) AS max "
         "FROM fct_orders" for c in OP.STATS_COLUMNS))
+    for t in LANDING_TABLES:
+        o[f"csv_stg_{t}"] = chain(f"SELECT * FROM stg_{t}")
+        o[f"messy_landing_{t}"] = chain(f"SELECT * FROM {t}_raw")
+    for fact in ("fct_order_items", "fct_returns"):
+        o[f"csv_{fact}"] = chain(f"SELECT * FROM {fact}")
+    for name, body in planted.oracle_bodies().items():
+        o[name] = chain(body)
     o["dq_severity"] = chain(
         f"SELECT * FROM ({O.suite_sql(C.DBT_SUITE + C.CONSTRAINT_SUITE)}) r WHERE failing_rows > 0")
     return o

@@ -277,7 +277,9 @@ LANDING_COLUMNS = {
 
 # CSV dialect of the source's bulk loader: header, '"' quotes doubled inside
 # a quoted field, fields may span lines, unquoted empty field = NULL.
-CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true"}
+# Blanks around a field belong to it.
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
 def landing_schema(table: str) -> T.StructType:
@@ -289,19 +291,48 @@ def write_landing_csv(frames: dict[str, DataFrame], base_path: str) -> dict[str,
     """Write each landing frame as a header CSV folder (full refresh)."""
     paths = {}
     for name, df in frames.items():
-        path = f"{base_path}/{name}"
+        path = f"{base_path}/{name}.csv"
         (df.select(*LANDING_COLUMNS[name]).write.mode("overwrite")
          .options(**CSV_OPTIONS).option("emptyValue", '""').csv(path))
         paths[name] = path
     return paths
 
 
+def fields_span_lines(spark: SparkSession, path: str) -> bool:
+    """Whether some quoted field of the CSV goes over the end of a line.
+
+    Quotes open and close fields and are doubled inside, so a line that begins
+    outside a field ends inside one if it holds an odd number of quotes.  The first
+    line of a field that spans lines is such a line, and without one no line
+    is.  Lines are read as text, in as many tasks as the files have splits."""
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return not spark.read.text(path).filter(quotes % 2 == 1).isEmpty()
+
+
 def scan_raw_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
     """Read one landing CSV with a fixed all-string schema.
 
-    A ragged row fails the job (FAILFAST), as in the source's loader.  A
+    Files are split over many tasks; only where a quoted field spans lines
+    is a file read by one task, since no split can tell where its records begin.
+    A ragged row, or a header other than the table's columns, fails the job (FAILFAST),
+    as in the source's loader.  A
     quoted empty field reads as NULL in Spark but as '' in the source; the
     cleaning jobs apply ``nullif(x, '')`` wherever that difference matters.
     """
-    return (spark.read.schema(landing_schema(table)).options(**CSV_OPTIONS)
-            .option("mode", "FAILFAST").csv(path))
+    spans = "true" if fields_span_lines(spark, path) else "false"
+    return (spark.read.schema(landing_schema(table)).options(**CSV_OPTIONS).option("multiLine", spans)
+            .option("enforceSchema", "false").option("mode", "FAILFAST").csv(path))
+
+
+def csv_to_landing(spark: SparkSession, paths: dict[str, str], root: str) -> dict[str, DataFrame]:
+    """The landing tables as Parquet under ``root``, each from its CSV (full refresh)."""
+    out = {}
+    for table, path in paths.items():
+        scan_raw_csv(spark, path, table).write.mode("overwrite").parquet(f"{root}/{table}")
+        out[table] = spark.read.schema(landing_schema(table)).parquet(f"{root}/{table}")
+    return out
+
+
+def csv_paths(csv_dir: str) -> dict[str, str]:
+    """``<dir>/<table>.csv`` of every landing table, a file or a folder of files."""
+    return {t: f"{csv_dir.rstrip('/')}/{t}.csv" for t in LANDING_TABLES}
