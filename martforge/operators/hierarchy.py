@@ -1,20 +1,23 @@
 """Walking a parent-child (adjacency list) hierarchy from its roots.
 
 The source writes ``WITH RECURSIVE tree AS (roots UNION ALL children joined
-to tree)``.  Here the same walk is a loop of equi-joins, one per level: the
-frontier (nodes found at the previous level) is joined to the node table on
-``parent = id``, and the loop ends when a level is empty.  Every level is
-written to the shared checkpoint folder once: the test for an empty level,
-the next level and all later readers scan it, none walks the tree again.
-Every ``check_every`` levels the frontier is held against the levels above;
-an id met again means a cycle, however deep a sound tree may be.
+to tree)``, one level a step.  Here every node holds a pointer to an ancestor and its distance,
+at first its parent, and each round joins it with the pointer of that ancestor, so
+that distances double: a tree of depth d takes about log2(d) rounds.  A walk is
+done when it meets a root's own row, and takes over the root's columns there.  A round
+writes only the walks that were still going, once, to the shared checkpoint folder.
 
 Nodes whose chain never reaches a root (a missing parent, or a cycle) are
-not reached - as in the source.  ``unreachable_nodes`` reports them.
+not reached - as in the source.  Walks of orphans end where the parent is missing;
+when a round ends no walk at all, those left go round in cycles and are
+given up.  With repeated ids a cycle can be reachable from a root; some walk is then
+longer than there are rows, which raises.  ``unreachable_nodes`` reports what is not reached.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,48 +29,39 @@ class HierarchyTooDeep(RuntimeError):
 
 
 def walk_from_roots(nodes: DataFrame, id_col: str, parent_col: str,
-                    root_carry: dict[str, str], max_depth: int | None = None,
-                    check_every: int = 8) -> DataFrame:
+                    root_carry: dict[str, str], max_depth: int | None = None) -> DataFrame:
     """Return every node reachable from a root with the root's columns.
 
     ``root_carry`` maps output names to node columns copied from the root
     (e.g. ``{"root_category_key": "category_key"}``); a ``depth`` column
     counts levels below the root (0 for the root itself).
     """
-    node_cols = nodes.columns
-    carried = list(root_carry)
-    roots = nodes.filter(F.col(parent_col).isNull()).select(
-        *node_cols,
-        *[F.col(src).alias(dst) for dst, src in root_carry.items()],
-        F.lit(0).alias("depth"),
-    )
-    frontier = cut_lineage(roots, "tree")
-    levels = [frontier]
-    depth = 0
+    cols, carried = nodes.columns, list(root_carry)
+    is_root = F.col(parent_col).isNull()
+    step = cut_lineage(nodes.select(
+        *cols, F.when(is_root, F.col(id_col)).otherwise(F.col(parent_col)).alias("_mf_at"),
+        F.when(is_root, 0).otherwise(1).cast("long").alias("_mf_far"), is_root.alias("_mf_done"),
+        *[F.when(is_root, F.col(src)).alias(dst) for dst, src in root_carry.items()]), "tree")
+    finished: list[DataFrame] = []
+    rows = None
     while True:
-        depth += 1
-        if max_depth is not None and depth > max_depth:
-            raise HierarchyTooDeep(
-                f"hierarchy deeper than {max_depth} levels: a cycle is reachable from a root")
-        parents = frontier.select(
-            F.col(id_col).alias("_mf_parent_id"), *carried, F.col("depth").alias("_mf_depth"))
-        children = nodes.join(parents, nodes[parent_col] == parents["_mf_parent_id"], "inner").select(
-            *[nodes[c] for c in node_cols], *carried, (F.col("_mf_depth") + 1).alias("depth"))
-        frontier = cut_lineage(children, "tree")
-        if frontier.isEmpty():
+        done, left, far = step.agg(F.count_if("_mf_done"), F.count_if(~F.col("_mf_done")),
+                                   F.max(F.when(F.col("_mf_done"), F.col("_mf_far")))).first()
+        rows = done + left if rows is None else rows
+        if done and (far >= rows or max_depth is not None and far > max_depth):
+            raise HierarchyTooDeep(f"a node {far} levels below its root: a cycle is reachable from a root"
+                                   if far >= rows else f"hierarchy deeper than {max_depth} levels")
+        finished.append(step.filter("_mf_done"))
+        if not done or not left:  # where no walk ends, none of those left ever will
             break
-        if depth % check_every == 0:
-            # an id met again below itself means a cycle
-            seen = levels[0].select(id_col)
-            for lvl in levels[1:]:
-                seen = seen.unionByName(lvl.select(id_col))
-            if not frontier.join(seen.distinct(), id_col, "left_semi").isEmpty():
-                raise HierarchyTooDeep("a cycle is reachable from a root")
-        levels.append(frontier)
-    out = levels[0]
-    for lvl in levels[1:]:
-        out = out.unionByName(lvl)
-    return out
+        todo = step.filter(~F.col("_mf_done"))
+        known = reduce(DataFrame.unionByName, finished, todo).select(
+            F.col(id_col).alias("_mf_id"), *[F.col(c).alias(f"_mf_next{c}") for c in ("_mf_at", "_mf_far", "_mf_done", *carried)])
+        # a parent that is not there ends the walk of an orphan
+        step = cut_lineage(todo.join(known, F.col("_mf_at") == F.col("_mf_id")).select(
+            *cols, F.col("_mf_next_mf_at").alias("_mf_at"), (F.col("_mf_far") + F.col("_mf_next_mf_far")).alias("_mf_far"),
+            F.col("_mf_next_mf_done").alias("_mf_done"), *[F.col(f"_mf_next{c}").alias(c) for c in carried]), "tree")
+    return reduce(DataFrame.unionByName, finished).select(*cols, *carried, F.col("_mf_far").cast("int").alias("depth"))
 
 
 def unreachable_nodes(nodes: DataFrame, walked: DataFrame, id_col: str) -> DataFrame:

@@ -114,11 +114,17 @@ def test_insert_ignore_job_keeps_earlier_rows(spark):
 
 def test_deep_chain_walk(spark):
     from martforge.operators.hierarchy import walk_from_roots
-    rows = [("N0", "n0", None)] + [(f"N{i}", f"n{i}", f"N{i - 1}") for i in range(1, 12)]
+    from martforge.operators import hierarchy
+    rows = [("N0", "n0", None)] + [(f"N{i}", f"n{i}", f"N{i - 1}") for i in range(1, 1001)]
     nodes = spark.createDataFrame(rows, "id string, name string, parent string")
-    walked = walk_from_roots(nodes, "id", "parent", {"root": "id"})
-    got = {r.id: r.depth for r in walked.collect()}
-    assert got == {f"N{i}": i for i in range(12)}
+    writes, cut = [], hierarchy.cut_lineage
+    hierarchy.cut_lineage = lambda df, name: writes.append(name) or cut(df, name)
+    try:
+        walked = walk_from_roots(nodes, "id", "parent", {"root": "id"})
+    finally:
+        hierarchy.cut_lineage = cut
+    assert {r.id: r.depth for r in walked.collect()} == {f"N{i}": i for i in range(1001)}
+    assert len(writes) <= 12  # rounds follow the logarithm of the depth
 
 
 def test_constraint_suite_aborts_publish_on_driver_tables(spark):
