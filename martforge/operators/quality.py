@@ -13,7 +13,8 @@ with the counting rules of the source's test framework:
 ``run_suite`` evaluates a list of ``Check`` specs into one report frame
 (one row per check, ``failing_rows``).  Row-level checks on the same model
 (NULL, list, sign, expression) are folded into one aggregation pass over
-that model; uniqueness and relationships each need their own shuffle.
+that model; all uniqueness and relationship checks share one shuffle for
+each kind of key.
 ``raise_on_errors`` gathers only the report - one row per check - to the
 driver and fails on an error-severity check with failures.
 """
@@ -22,9 +23,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ERROR = "error"
 WARN = "warn"
@@ -128,6 +131,52 @@ def _report_row(check: Check, failing: Column) -> list[Column]:
     ]
 
 
+def _key_kind(*columns: T.DataType) -> str:
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    return "long" if all(isinstance(c, whole) for c in columns) else "string"
+
+
+def _key_metrics(checks: Sequence[Check], model: Callable[[str], DataFrame]) -> list[DataFrame]:
+    """Uniqueness and relationships, one shuffle for all checks whose keys are of
+    one kind (whole numbers, or anything as text).
+
+    Every check sends its values with its number; a relationship also sends the
+    parent's keys.  Values are counted map-side, so a value that a third of the
+    rows hold is a row a task.  A unique check fails on values met more than once,
+    a relationship on the rows of values that no parent has."""
+    groups: dict[str, list[tuple[Check, list[DataFrame]]]] = {}
+
+    def values(df: DataFrame, column: str, kind: str, parent: bool) -> DataFrame:
+        return df.select(F.col(column).cast(kind).alias("value"), F.lit(parent).alias("parent")).filter("value is not null")
+
+    for ch in checks:
+        df, types = model(ch.model), [model(ch.model).schema[ch.column].dataType]
+        if ch.test == "relationships":
+            types.append(model(ch.to_model).schema[ch.to_column].dataType)
+        kind = _key_kind(*types)
+        sides = [values(df, ch.column, kind, False)]
+        if ch.test == "relationships":
+            sides.append(values(model(ch.to_model), ch.to_column, kind, True))
+        groups.setdefault(kind, []).append((ch, sides))
+    out = []
+    for group in groups.values():
+        sent = reduce(DataFrame.unionByName, [
+            side.select(F.lit(i).alias("i"), "value", "parent") for i, (_, sides) in enumerate(group) for side in sides])
+        met = sent.groupBy("i", "value").agg(F.count_if(~F.col("parent")).alias("n"), F.max("parent").alias("parent"))
+        metrics = met.agg(*[
+            (F.count_if((F.col("i") == i) & (F.col("n") > 1)) if ch.test == "unique"
+             else F.coalesce(F.sum(F.when((F.col("i") == i) & ~F.col("parent"), F.col("n"))), F.lit(0))).alias(f"m{i}")
+            for i, (ch, _) in enumerate(group)])
+        out.append(_report([ch for ch, _ in group], metrics))
+    return out
+
+
+def _report(checks: Sequence[Check], metrics: DataFrame) -> DataFrame:
+    """The one row of metrics m0, m1, ... as one row per check."""
+    rows = F.array(*[F.struct(*_report_row(ch, F.col(f"m{i}"))) for i, ch in enumerate(checks)])
+    return metrics.select(F.explode(rows).alias("r")).select("r.*")
+
+
 def run_suite(checks: Sequence[Check], model: Callable[[str], DataFrame]) -> DataFrame:
     """One report row per check.  ``model(name)`` returns the frame of a model."""
     parts: list[DataFrame] = []
@@ -135,23 +184,10 @@ def run_suite(checks: Sequence[Check], model: Callable[[str], DataFrame]) -> Dat
     for ch in checks:
         if ch.test in ROW_TESTS:
             by_model.setdefault(ch.model, []).append(ch)
-    for name, group in by_model.items():
-        metrics = model(name).agg(*[_row_metric(ch).alias(f"m{i}") for i, ch in enumerate(group)])
-        # the one row of metrics becomes one row per check: a single scan
-        rows = F.array(*[F.struct(*_report_row(ch, F.col(f"m{i}"))) for i, ch in enumerate(group)])
-        parts.append(metrics.select(F.explode(rows).alias("r")).select("r.*"))
-    for ch in checks:
-        if ch.test == "unique":
-            v = dq_unique(model(ch.model), ch.column)
-        elif ch.test == "relationships":
-            v = dq_relationships(model(ch.model), ch.column, model(ch.to_model), ch.to_column)
-        else:
-            continue
-        parts.append(v.agg(*_report_row(ch, F.count(F.lit(1)))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    for name, group in by_model.items():  # a single scan of each model
+        parts.append(_report(group, model(name).agg(*[_row_metric(ch).alias(f"m{i}") for i, ch in enumerate(group)])))
+    parts += _key_metrics([ch for ch in checks if ch.test in ("unique", "relationships")], model)
+    return reduce(DataFrame.unionByName, parts)
 
 
 class DataQualityError(RuntimeError):
