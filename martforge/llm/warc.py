@@ -16,8 +16,9 @@ and slice.  A URL with any share of the rows is thus spread over the slices.
 ``status`` of a revisit is ``resolved``, ``mismatch`` (validators differ or
 are missing) or ``missing`` (no earlier response, or no URL).  A response
 without payload or with a status other than 200 is no full response.  Of
-responses at one instant the one with the greater record id counts.  Null
-headers are no headers; repeated rows give repeated results; an empty table
+responses at one instant the one with the greater record id counts, of those with one id
+too the one with the greater payload, then headers.  Ids may repeat: a record is
+known by its id, URL and time.  Null headers are no headers; repeated rows give repeated results; an empty table
 gives an empty result.
 """
 
@@ -99,18 +100,26 @@ def resolve(records: DataFrame) -> DataFrame:
                .select("canonical_url", "slice", "carried"))
     earlier = Window.partitionBy("canonical_url", "slice").orderBy("time").rangeBetween(Window.unboundedPreceding, -1)
     within = sliced.withColumn("found", F.max(answer).over(earlier)).filter("revisit").drop("full", "revisit")
+    # a record is named by its id, URL and time: ids may repeat
     found = (within.join(carried, ["canonical_url", "slice"], "left")
-             .select("record_id", F.coalesce(F.col("found.record_id"), F.col("carried.record_id")).alias("refers_to"))
-             .distinct())
-    responses = named.filter(full).select(F.col("record_id").alias("refers_to"), F.col("headers").alias("old"),
-                                          F.col("payload").alias("body")).dropDuplicates(["refers_to"])
+             .select("record_id", "canonical_url", "time", F.coalesce("found", "carried").alias("to")).distinct()
+             .select(F.col("record_id").alias("of_id"), F.col("canonical_url").alias("of_url"), F.col("time").alias("of_time"),
+                     F.col("to.record_id").alias("refers_to"), F.col("to.time").alias("to_time")))
+    body = F.struct("payload", F.array_sort(F.map_entries(F.coalesce("headers", F.create_map().cast("map<string,string>")))).alias("headers"))
+    responses = (named.filter(full & F.col("canonical_url").isNotNull())
+                 .groupBy(F.col("record_id").alias("r_id"), F.col("canonical_url").alias("r_url"), F.col("time").alias("r_time"))
+                 .agg(F.max(body).alias("page"))
+                 .select("r_id", "r_url", "r_time", F.map_from_entries("page.headers").alias("old"), F.col("page.payload").alias("body")))
     revisits = named.filter(F.col("kind") == "revisit").select(
         "record_id", "url", "canonical_url", "time", F.col("headers").alias("new"))
-    out = revisits.join(found, "record_id", "left").join(responses, "refers_to", "left")
-    good = F.col("refers_to").isNotNull() & same_version("new", "old")
+    out = (revisits.join(found, F.col("record_id").eqNullSafe(F.col("of_id")) & (F.col("canonical_url") == F.col("of_url"))
+                         & F.col("time").eqNullSafe(F.col("of_time")), "left")
+           .join(responses, F.col("refers_to").eqNullSafe(F.col("r_id")) & (F.col("of_url") == F.col("r_url"))
+                 & (F.col("to_time") == F.col("r_time")), "left"))
+    good = F.col("to_time").isNotNull() & same_version("new", "old")
     return out.select(
         "record_id", "url", "canonical_url", "time", "refers_to",
-        F.when(good, "resolved").when(F.col("refers_to").isNotNull(), "mismatch").otherwise("missing").alias("status"),
+        F.when(good, "resolved").when(F.col("to_time").isNotNull(), "mismatch").otherwise("missing").alias("status"),
         F.when(good, merged_headers("new", "old")).otherwise(F.col("new")).alias("headers"),
         F.when(good, F.col("body")).alias("payload"))
 
