@@ -147,9 +147,14 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
             if v is None or y is None or i is None or not v or any(c is None for c in v):
                 continue
             x = np.array(v, float)
-            size = np.linalg.norm(x)
-            if np.isfinite(x).all() and size > 0 and np.isfinite(size):
-                ids.append(i), labels.append(y), widths.append(len(x)), units.append((x / size).astype("<f8").tobytes())
+            if not np.isfinite(x).all() or not x.any():
+                continue
+            with np.errstate(over="ignore", under="ignore"):
+                size = np.linalg.norm(x)
+                if not 1e-150 < size < 1e150:  # squares over- or underflow
+                    x = x / np.abs(x).max()
+                    size = np.linalg.norm(x)
+            ids.append(i), labels.append(y), widths.append(len(x)), units.append((x / size).astype("<f8").tobytes())
         return {"vec_id": ids, "label": labels, "width": widths, "unit": units}
 
     return common.map_batches(vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"),
@@ -226,11 +231,10 @@ def _all_rows(vectors: DataFrame, named: DataFrame) -> DataFrame:
     linked = named.select("vec_id", "n_links", "component_id", F.lit(True).alias("valid"))
     every = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"),
                            F.col("label"))
-    size = F.expr("aggregate(v, cast(0 as double), (s, x) -> s + x * x)")
     usable = (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull()
               & ~F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == F.lit(float("inf")))))
     # exactly the rows that unit_vectors leaves out
-    rest = every.filter(~F.coalesce(usable & (size > 0) & (size < F.lit(float("inf"))), F.lit(False)))
+    rest = every.filter(~F.coalesce(usable & F.exists("v", lambda x: x != 0), F.lit(False)))
     rest = rest.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
     out = linked.drop("valid").unionByName(rest)
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

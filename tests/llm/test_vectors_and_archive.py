@@ -99,3 +99,25 @@ def test_hot_url_over_time_slices(spark):
     got = warc.resolve(table).collect()
     assert len(got) == 2000
     assert all(r.status == "resolved" and r.refers_to == 2 * ((r.record_id // 2) // 7 * 7) for r in got)
+
+
+def test_repeated_record_ids_do_not_cross(spark):
+    schema = "record_id long, kind string, url string, time long, http_status int, headers map<string,string>, payload string"
+    tag = {"etag": '"t"'}
+    rows = [(1, "response", "http://a/x", 1, 200, tag, "page a"), (1, "response", "http://b/x", 1, 200, tag, "page b"),
+            (1, "response", "http://b/x", 1, 200, tag, "a lesser page"),
+            (2, "revisit", "http://a/x", 5, 304, tag, None), (2, "revisit", "http://b/x", 5, 304, tag, None),
+            (2, "revisit", "http://b/x", 1, 304, tag, None), (None, "revisit", "http://a/x", 6, 304, tag, None),
+            (None, "response", "http://c/x", 1, 200, tag, "page c"), (3, "revisit", "http://c/x", 2, 304, tag, None)]
+    got = sorted((str(r.record_id), r.canonical_url, r.time, r.status, r.payload)
+                 for r in warc.resolve(spark.createDataFrame(rows, schema)).collect())
+    assert got == sorted([("2", "a/x", 5, "resolved", "page a"), ("2", "b/x", 5, "resolved", "page b"), ("2", "b/x", 1, "missing", None),
+                          ("None", "a/x", 6, "resolved", "page a"), ("3", "c/x", 2, "resolved", "page c")])
+
+
+def test_vectors_of_extreme_size_are_linked(spark):
+    rows = [(1, [1e-200, 0.0], 1), (2, [2e-200, 0.0], 1), (3, [1e200, 0.0], 1), (4, [0.0, 1e300], 1), (5, [5e-324, 0.0], 1),
+            (6, [0.0, 0.0], 1), (7, [float("inf"), 0.0], 1), (8, [1e308, 1e308], 1), (9, [1.0, 1.0], 1)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in vector_dedup.near_duplicates(
+        spark.createDataFrame(rows, "vec_id long, embedding array<double>, label long")).collect()}
+    assert got == {1: (3, 1), 2: (3, 1), 3: (3, 1), 5: (3, 1), 4: (0, 4), 6: (0, 6), 7: (0, 7), 8: (1, 8), 9: (1, 8)}
