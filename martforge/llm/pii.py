@@ -4,9 +4,10 @@ The plain patterns run on the text as it is.  Then a chain of transducers
 rewrites it: look-alike characters become ASCII and invisible ones vanish,
 spelled digits become digits, and at/dot disguises become signs.  Every
 character of the rewritten text knows the source characters it came from, so an
-identifier found there is mapped back to a span of the source.  Such spans are
-added where they touch no span found before.  Texts that hold nothing to
-rewrite skip the chain.
+identifier found there is mapped back to a span of the source.  Such a span is
+added if every plain span that it touches lies inside it and is shorter, and if
+it touches no other added span.  Texts that hold nothing to rewrite skip the
+chain.  Time is linear in the length of a text, whatever it holds.
 
 Offsets count code points, the end is exclusive.  A null text is the empty text
 and has no spans; texts of any length are read whole; repeated rows give
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+import itertools
 import re
 import unicodedata
 
@@ -31,7 +33,8 @@ KINDS = ("email", "ip", "card", "phone")
 
 # fixed values: the plain patterns
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# (a match inside a run of digits would also be one from the start of the run)
+IP = re.compile(r"(?<![0-9])[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -43,43 +46,82 @@ LOOK_ALIKES = dict(zip("авеіјкмнорсѕтухһԁԛԝАВЕЗІЈКМН
 INVISIBLE = "­​‌‍⁠﻿"
 SIGNS = {"﹫": "@", "․": ".", "。": ".", "｡": ".", "‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "−": "-", "﹣": "-",
          "﹢": "+", " ": " ", " ": " ", " ": " ", "　": " "}
-DIGIT_WORDS = {w: str(i) for i, w in enumerate(
-    ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine"))} | {"oh": "0"}
-
-_word = "(?:" + "|".join(DIGIT_WORDS) + ")"
-# at least three spelled digits in a row, digits in between allowed
-SPELLED = re.compile(rf"(?<![^\W_]){_word}(?:[\s,.-]{{1,3}}(?:{_word}|[0-9]+))*[\s,.-]{{1,3}}{_word}(?![^\W_])", re.I)
+# fixed values: spelled digits in English, French, German and Spanish
+DIGIT_NAMES = (
+    "zero oh zéro null cero", "one un une eins uno", "two deux zwei zwo dos", "three trois drei tres",
+    "four quatre vier cuatro", "five cinq fünf cinco", "six sechs seis", "seven sept sieben siete",
+    "eight huit acht ocho", "nine neuf neun nueve")
+DIGIT_WORDS = {w: str(i) for i, names in enumerate(DIGIT_NAMES) for w in names.split()}
+TIMES = {"double": 2, "triple": 3}
+
+
+def _any_of(words) -> str:
+    """A pattern of these words that looks at the first letter once."""
+    by: dict[str, list[str]] = {}
+    for w in sorted(words):
+        by.setdefault(w[0], []).append(w[1:])
+    return "(?:" + "|".join(f"{c}(?:{'|'.join(rest)})" for c, rest in by.items()) + ")"
+
+
+_word = rf"(?:(?:{'|'.join(TIMES)})[\s-])?{_any_of(DIGIT_WORDS)}(?![^\W_])"
+# spelled digits in a row, digits in between allowed
+SPELLED = re.compile(rf"\b(?=[{''.join(sorted({w[0] for w in (*DIGIT_WORDS, *TIMES)}))}])"
+                     rf"{_word}(?:[\s,.-]{{1,3}}(?:{_word}|[0-9]+))*[\s,.-]{{1,3}}{_word}", re.I)
 SPELLED_PART = re.compile(rf"{_word}|[0-9]+", re.I)
 # articles and the like, a number or an hour
 NOT_A_HOST = (r"(?!(?:the|an?|this|that|each|every|my|our|your|his|her|its|their|one)\b)"
               r"(?![0-9.]+(?:[ap]m)?\b(?![.-]?[A-Za-z0-9]))")
-# a bracketed, underscored or spaced at between two names
-AT = re.compile(r"\s*[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[_-]at[_-](?=[A-Za-z0-9])"
-                r"|(?<=[A-Za-z0-9])\s+(?:at|@)\s+" + NOT_A_HOST + r"(?=[A-Za-z0-9-]+(?:\s*(?:\.|[(\[{<]\s*dot\s*[)\]}>]|\bdot\b)\s*[A-Za-z0-9-]+)+)"
-                r"|(?<=[A-Za-z0-9])(?:\s+@\s*|\s*@\s+)(?=[A-Za-z0-9-]+(?:\s*(?:\.|[(\[{<]\s*dot\s*[)\]}>]|\bdot\b)\s*[A-Za-z0-9-]+)+)",
-                re.I)
-DOT = re.compile(r"\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[_-]dot[_-](?=[A-Za-z0-9])"
+_dot = r"(?:\.|[(\[{<]\s*(?:dot|\.)\s*[)\]}>]|\bdot\b)"
+_host = rf"(?=[A-Za-z0-9-]+(?:\s*{_dot}\s*[A-Za-z0-9-]+)+)"
+# a bracketed, underscored or spaced at between two names; white space before a
+# bracket belongs to it (see _with_space)
+AT = re.compile(r"[(\[{<]\s*(?:at|@)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[_-]at[_-](?=[A-Za-z0-9])"
+                r"|(?<=[A-Za-z0-9])\s+(?:at|@)\s+" + NOT_A_HOST + _host
+                + r"|(?<=[A-Za-z0-9])(?:\s+@\s*|@\s+)" + _host, re.I)
+DOT = re.compile(r"[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|(?<=[A-Za-z0-9])[_-]dot[_-](?=[A-Za-z0-9])"
                  r"|(?<=[A-Za-z0-9])\s+dot\s+(?=[A-Za-z0-9])", re.I)
+_number_dot = r"(?:\.|\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|[_-]dot[_-]|\s+dot\s+)"
+# four numbers with dots between them, spoken or bracketed ones too
+NUMBERS = re.compile(rf"(?<![0-9])([0-9]+)({_number_dot})([0-9]+)({_number_dot})([0-9]+)({_number_dot})([0-9]+)", re.I)
 # what may stand between two dots, behind and before an at
 LABELS = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*")
 LOCAL_PART = re.compile(r"[A-Za-z0-9._%+-]+")
 # holds wherever AT or DOT does
 TRIGGER = re.compile(r"[(\[{<]\s*(?:at|dot|@|\.)\s*[)\]}>]|\b(?:at|dot)\b|[_-](?:at|dot)[_-]|\s@|@\s", re.I)
-ODD = re.compile("[" + "".join(LOOK_ALIKES) + INVISIBLE + "".join(map(re.escape, SIGNS)) + "！-～]|(?![0-9])\\d")
 
 
-def _like(c: str) -> str:
-    """What a character looks like; itself if nothing else."""
-    if "！" <= c <= "～":
-        return chr(ord(c) - 0xFEE0)
-    if c in INVISIBLE:
-        return ""
-    if c in LOOK_ALIKES:
-        return LOOK_ALIKES[c]
-    if c in SIGNS:
-        return SIGNS[c]
-    digit = unicodedata.decimal(c, None) if c > "\x7f" else None
-    return c if digit is None else str(digit)
+def _compatible() -> dict[str, str]:
+    """Characters that are forms of ASCII letters, digits and signs (wide,
+    mathematical, circled, ...), without raised and lowered ones."""
+    out = {}
+    for code in range(0x80, 0x20000):
+        c = chr(code)
+        form = unicodedata.decomposition(c)
+        if form[:1] == "<" and not form.startswith(("<super>", "<sub>", "<fraction>")):
+            new = unicodedata.normalize("NFKC", c)
+            if new.isascii() and (len(new) == 1 or new.isalnum()):
+                out[c] = new
+        if c not in out and (digit := unicodedata.decimal(c, None)) is not None:
+            out[c] = str(digit)
+    return out
+
+
+LIKE = _compatible() | LOOK_ALIKES | SIGNS | dict.fromkeys(INVISIBLE, "")
+
+
+def _ranges(chars) -> str:
+    """A character class of single characters as ranges."""
+    out, codes = "", sorted(map(ord, chars))
+    first = last = codes[0]
+    for c in codes[1:] + [0x110000]:
+        if c != last + 1:
+            out += re.escape(chr(first)) + (f"-{re.escape(chr(last))}" if last > first else "")
+            first = c
+        last = c
+    return out
+
+
+ODD = re.compile("[" + _ranges(LIKE) + "]")
 
 
 class Traced:
@@ -105,59 +147,76 @@ class Traced:
 
 
 def look_alikes(t: Traced) -> Traced:
-    return t.rewrite([(m.start(), m.end(), _like(m.group())) for m in ODD.finditer(t.text)])
+    return t.rewrite([(m.start(), m.end(), LIKE[m.group()]) for m in ODD.finditer(t.text)])
+
+
+def _spelled(part: str) -> str | None:
+    """The digits of a digit word with or without "double" or "triple"."""
+    words = re.split(r"[\s-]", part.lower())
+    digit = DIGIT_WORDS.get(words[-1])
+    return digit and digit * (TIMES[words[0]] if len(words) > 1 else 1)
 
 
 def spelled_digits(t: Traced) -> Traced:
-    """Digit words in a row become digits without what stands between them."""
+    """Three or more spelled digits in a row become digits without what stands
+    between them."""
     parts = []
     for m in SPELLED.finditer(t.text):
         at = m.start()
-        found = list(SPELLED_PART.finditer(t.text, m.start(), m.end()))
-        if sum(p.group().lower() in DIGIT_WORDS for p in found) < 3:
+        found = [(p.start(), p.end(), _spelled(p.group())) for p in SPELLED_PART.finditer(t.text, m.start(), m.end())]
+        if sum(len(new or "") for _, _, new in found) < 3:
             continue
-        for p in found:
-            if at < p.start():
-                parts.append((at, p.start(), ""))
-            new = DIGIT_WORDS.get(p.group().lower())
+        for a, b, new in found:
+            if at < a:
+                parts.append((at, a, ""))
             if new is not None:
-                parts.append((p.start(), p.end(), new))
-            at = p.end()
+                parts.append((a, b, new))
+            at = b
     return t.rewrite(parts)
 
 
+def _with_space(pattern: re.Pattern, text: str) -> list[tuple[int, int]]:
+    """Matches, those that begin with a bracket with the white space before it."""
+    out, end = [], 0
+    for m in pattern.finditer(text):
+        a = m.start()
+        if text[a] in "([{<":
+            while a > end and text[a - 1].isspace():
+                a -= 1
+        end = m.end()
+        out.append((a, end))
+    return out
+
+
 def at_and_dot(t: Traced) -> Traced:
-    """Signs for at and dot; bare dots only in the unbroken chain of words on
-    either side of an at."""
-    ats = list(AT.finditer(t.text))
-    parts = [(m.start(), m.end(), "@") for m in ats]
-    t = t.rewrite(parts)
-    if "@" not in t.text:
-        return t
-    found = [(m.start(), m.end()) for m in DOT.finditer(t.text)]
+    """Signs for at and dot: dots only in the unbroken chain of words on either
+    side of an at, and between the four numbers of an address."""
+    t = t.rewrite([(a, b, "@") for a, b in _with_space(AT, t.text)])
+    dots: set[tuple[int, int]] = set()
+    ats = [m.start() for m in re.finditer("@", t.text)]
+    found = _with_space(DOT, t.text) if ats else []
     starts = [a for a, _ in found]
-    chained: set[int] = set()
-    for m in re.finditer("@", t.text):
-        first = bisect.bisect_left(starts, m.end())
-        pos, i = m.end(), first
-        while i < len(found) and LABELS.fullmatch(t.text, pos, found[i][0]):
-            chained.add(i)
+    for k, at in enumerate(ats):
+        before = ats[k - 1] if k else -1
+        after = ats[k + 1] if k + 1 < len(ats) else len(t.text)
+        first = bisect.bisect_left(starts, at + 1)
+        pos, i = at + 1, first
+        while i < len(found) and found[i][0] < after and LABELS.fullmatch(t.text, pos, found[i][0]):
+            dots.add(found[i])
             pos, i = found[i][1], i + 1
-        pos, i = m.start(), first - 1
-        while i >= 0 and found[i][1] < pos and LOCAL_PART.fullmatch(t.text, found[i][1], pos):
-            chained.add(i)
+        pos, i = at, first - 1
+        while i >= 0 and before < found[i][1] < pos and LOCAL_PART.fullmatch(t.text, found[i][1], pos):
+            dots.add(found[i])
             pos, i = found[i][0], i - 1
-    dots = []
-    for i, (a, b) in enumerate(found):
-        if i not in chained:
-            if t.text[a:b].strip()[:1] not in tuple("([{<"):
-                continue
-            at = t.text.rfind("@", max(0, a - 260), a)
-            near = at >= 0 and re.fullmatch(r"[A-Za-z0-9.\s()\[\]{}<>_-]*", t.text[at + 1:a])
-            if not near and "@" not in t.text[b:b + 80]:
-                continue
-        dots.append((a, b, "."))
-    return t.rewrite(dots)
+    for m in NUMBERS.finditer(t.text):
+        if _is_ip(".".join(m.group(1, 3, 5, 7))):
+            dots.update(m.span(i) for i in (2, 4, 6) if m.group(i) != ".")
+    parts, end = [], 0
+    for a, b in sorted(dots):
+        if a >= end:
+            parts.append((a, b, "."))
+            end = b
+    return t.rewrite(parts)
 
 
 def normalise(text: str) -> Traced | None:
@@ -223,12 +282,23 @@ def find_all(text: str) -> tuple[list, list]:
     t = normalise(text)
     if t is None:
         return plain, plain
-    spans = list(plain)
-    for a, b, kind in find(t.text):
+    added: list[tuple[int, int, str]] = []
+    starts, ends = [s for s, _, _ in plain], [e for _, e, _ in plain]
+    reach = list(itertools.accumulate(ends, max))  # furthest end so far
+    taken = 0  # end of the last added span
+    for a, b, kind in sorted(find(t.text), key=lambda s: (s[0], -s[1])):
         x, y = t.span(a, b)
-        if all(y <= s or e <= x for s, e, _ in spans):
-            spans.append((x, y, kind))
-    return plain, sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
+        if x < taken:
+            continue
+        i, good = bisect.bisect_left(starts, y) - 1, True
+        while good and i >= 0 and reach[i] > x:  # plain spans that begin before y and may end after x
+            if ends[i] > x:
+                good = x <= starts[i] and ends[i] <= y and ends[i] - starts[i] < y - x
+            i -= 1
+        if good:
+            added.append((x, y, kind))
+            taken = y
+    return plain, sorted(plain + added, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
 def listed(spans: list) -> str:

@@ -1,5 +1,6 @@
 """Plain patterns against a plain regex pass; disguised identifiers map back to the source."""
 import re
+import time
 
 import pytest
 from hypothesis import given, settings
@@ -10,9 +11,10 @@ from martforge.llm import pii
 
 def brute(text):
     out = []
-    for k, (p, ok) in enumerate(((pii.EMAIL, lambda s: True), (pii.IP, pii._is_ip), (pii.CARD, pii._is_card),
-                                 (pii.PHONE, pii._is_phone))):
-        out += [(m.start(), k, m.end()) for m in re.finditer(p.pattern, text) if ok(m.group())]
+    for k, (p, ok) in enumerate(((pii.EMAIL.pattern, lambda s: True),
+                                 (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", pii._is_ip),
+                                 (pii.CARD.pattern, pii._is_card), (pii.PHONE.pattern, pii._is_phone))):
+        out += [(m.start(), k, m.end()) for m in re.finditer(p, text) if ok(m.group())]
     return [(a, b, pii.KINDS[k]) for a, k, b in sorted(out)]
 
 
@@ -91,3 +93,38 @@ def test_frames(spark):
     assert by[1].text == "[EMAIL] and [EMAIL]" and by[1].n_chars == 19
     assert by[2].text is None and by[2].n_chars == 0
     assert pii.spans(docs.limit(0)).count() == 0 and pii.mask(docs.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("text, kind, source", [
+    ("mail john [dot] smith@example.com now", "email", "john [dot] smith@example.com"),
+    ("host 192[.]168[.]1[.]20 is", "ip", "192[.]168[.]1[.]20"),
+    ("host 192 dot 168 dot 1 dot 20 is", "ip", "192 dot 168 dot 1 dot 20"),
+    ("host 192 (dot) 168.1 [.] 20 is", "ip", "192 (dot) 168.1 [.] 20"),
+    ("tel +drei null eins zwei vier fünf sechs sieben acht neun", "phone", "+drei null eins zwei vier fünf sechs sieben acht neun"),
+    ("tel +34 uno dos tres cuatro cinco seis siete ocho nueve", "phone", "+34 uno dos tres cuatro cinco seis siete ocho nueve"),
+    ("tel +33 un deux trois quatre cinq six sept huit zéro", "phone", "+33 un deux trois quatre cinq six sept huit zéro"),
+    ("tel +1 four one five double five five two triple six one", "phone", "+1 four one five double five five two triple six one"),
+    ("𝐣𝐨𝐡𝐧@𝐞𝐱𝐚𝐦𝐩𝐥𝐞.𝐜𝐨𝐦", "email", "𝐣𝐨𝐡𝐧@𝐞𝐱𝐚𝐦𝐩𝐥𝐞.𝐜𝐨𝐦"),
+    ("ⓙⓞⓔ@mail.com", "email", "ⓙⓞⓔ@mail.com"),
+])
+def test_partly_and_other_disguises(text, kind, source):
+    plain, every = pii.find_all(text)
+    assert set(plain) <= set(every)
+    assert [text[a:b] for a, b, k in every if k == kind and (a, b, k) not in plain] == [source]
+    assert pii.masked(text, every) == text.replace(source, f"[{kind.upper()}]")
+
+
+@pytest.mark.parametrize("text", [
+    "192 dot 168 dot 1", "300 dot 168 dot 1 dot 20", "un deux trois nous irons au bois", "null, null, null", "x² + y² = 10²",
+    "the dos and don'ts of one", "polka dot dresses, 10 dot 5 at most"])
+def test_more_clean_texts_stay(text):
+    assert pii.find_all(text) == ([], [])
+
+
+@pytest.mark.parametrize("text", [
+    "a (at) b" + " " * 1_000_000, "9" * 1_000_000, "1." * 400_000, "(" * 500_000, "a@" * 400_000, "one " + "1 " * 400_000,
+    "dot " + "a" * 300_000 + "@b" * 300_000, "x dot " * 150_000, "1 dot " * 150_000, "a at " * 200_000, "5 " * 400_000])
+def test_long_texts_take_linear_time(text):
+    at = time.process_time()
+    pii.find_all(text)
+    assert time.process_time() - at < 10
