@@ -160,45 +160,6 @@ class Transducer:
             else:
                 until, right = right + 1, b[0]
 
-    def _expand(self, sid: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        before, configs = self.configs[sid]
-        trie, token_at, known = self.trie.get, self.token_at, self._fits.get
-        live, done = [], None
-        for chain, node in configs:
-            child = trie(node << 8 | byte)
-            if child is None:
-                continue
-            live.append((chain, child))
-            token = token_at[child]
-            if token >= 0 and done is None and self.whole(token):
-                left = chain[-1] if chain else before
-                if left >= 0:
-                    ok = known((left, token))
-                    if ok is None:
-                        ok = self.fits(left, token)
-                    if not ok:
-                        continue
-                done = chain + (token,)
-        # tokens that every live configuration shares are certain
-        sure = len(done)
-        for chain, _ in live:
-            n = 0
-            for x, y in zip(chain, done):
-                if x != y:
-                    break
-                n += 1
-            if n < sure:
-                sure = n
-                if not n:
-                    break
-        live.append((done, self.ROOT))
-        out = done[:sure]
-        if sure:
-            before, live = out[-1], [(c[sure:], n) for c, n in live]
-        step = (self._state((before, tuple(live)), done[sure:]), out)
-        self.delta[sid << 8 | byte] = step
-        return step
-
     def encode_piece(self, piece: bytes) -> list[int]:
         whole = self.ranks.get(piece)
         if whole is not None:  # a piece that is itself a token is that token
