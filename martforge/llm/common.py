@@ -74,6 +74,19 @@ def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     return df.mapInArrow(run, full)
 
 
+_state: dict = {}
+
+
+def worker_state(key, build: Callable):
+    """What an operator remembers in this worker process, built once.  Asking
+    with another key drops what was kept, so that operators that run one after
+    the other in a reused worker do not add up."""
+    if key not in _state:
+        _state.clear()
+        _state[key] = build()
+    return _state[key]
+
+
 def file_bytes(path: str) -> bytes:
     with open(path, "rb") as f:
         return f.read()

@@ -34,8 +34,9 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martforge.llm import common
 from martforge.llm.components import components
@@ -52,7 +53,6 @@ WORDS_KEPT = 400_000
 _rng = np.random.default_rng(20)
 # where an empty bucket looks for a register, in this order
 BORROW = np.stack([_rng.permutation(REGISTERS) for _ in range(REGISTERS)])
-_known: dict[bytes, int] = {}
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -67,11 +67,12 @@ def shingles(text: str) -> np.ndarray:
     words = text.encode("utf-8").lower().split()
     if not words:
         return np.zeros(0, np.uint64)
-    if len(_known) > WORDS_KEPT:
-        _known.clear()
-    for w in set(words).difference(_known):
-        _known[w] = xxhash.xxh64_intdigest(w)
-    h = np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+    known = common.worker_state("word hashes", dict)
+    if len(known) > WORDS_KEPT:
+        known.clear()
+    for w in set(words).difference(known):
+        known[w] = xxhash.xxh64_intdigest(w)
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     width = min(SHINGLE, len(h))
     with np.errstate(over="ignore"):
         out = np.full(len(h) - width + 1, len(h) if width < SHINGLE else 0, np.uint64)
@@ -110,7 +111,7 @@ def registers(hashes: np.ndarray) -> np.ndarray:
     return out.astype("<u2")
 
 
-SKETCH = "doc_id long, n_shingles long, digest binary, bands array<long>"
+SKETCH = "doc_id long, text_md5 string, n_shingles long, digest binary, bands array<long>"
 
 
 def sketches(docs: DataFrame) -> DataFrame:
@@ -122,9 +123,14 @@ def sketches(docs: DataFrame) -> DataFrame:
             n.append(len(s))
             digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
             bands.append(registers(s).view("<i8").tolist() if len(s) else None)
-        return {"doc_id": batch.column(0), "n_shingles": n, "digest": digest, "bands": bands}
+        return {"doc_id": batch.column(0), "text_md5": batch.column(2), "n_shingles": n, "digest": digest, "bands": bands}
 
-    return common.map_batches(common.id_and_text(docs), run, SKETCH)
+    return common.map_batches(common.id_and_text(docs).withColumn("text_md5", _md5("text")), run, SKETCH)
+
+
+def _md5(text: str) -> Column:
+    """Tells the texts of one key apart."""
+    return F.md5(F.coalesce(F.col(text).cast("string"), F.lit("")))
 
 
 def estimate(bands_a: str, bands_b: str, n_a: str, n_b: str) -> Column:
@@ -179,6 +185,10 @@ def _candidates(pairs: DataFrame, reps: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
+    return _near_duplicates(docs).drop("text_md5")
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     texts = common.id_and_text(docs)
     sketch = cut_lineage(sketches(texts), "sketch")
     with_set = sketch.filter(F.col("digest").isNotNull() & F.col("doc_id").isNotNull())
@@ -230,14 +240,21 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "doc_id", "digest", F.coalesce("component", "node").alias("component_id"))
     named = member.dropDuplicates(["doc_id", "digest"])
     out = sketch.join(named, ["doc_id", "digest"], "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
+    return out.select("doc_id", "text_md5", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """Whole rows of one document of each component; rows that repeat a kept key
-    with an equal row are all alike, and one of them stays."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias(common.OWN + "id")).distinct()
-    rows = docs.join(kept, F.col("doc_id").eqNullSafe(F.col(common.OWN + "id")), "left_semi")
-    has_key = F.col("doc_id").isNotNull()
-    return rows.filter(~has_key).unionByName(rows.filter(has_key).dropDuplicates(["doc_id", "text"]))
+    """Whole rows of one document of each component.  Key and text decide
+    together, so a kept key does not save another text under that key.  Of rows
+    with equal key and text the one with the smallest hash of all its columns
+    stays; rows without a key all stay."""
+    key, md5, order = common.OWN + "id", common.OWN + "md5", common.OWN + "order"
+    kept = (_near_duplicates(docs).filter("kept and doc_id is not null")
+            .select(F.col("doc_id").alias(key), F.col("text_md5").alias(md5 + "_kept")).distinct())
+    plain = [c for c in docs.columns if not isinstance(docs.schema[c].dataType, (T.MapType, T.VariantType))]
+    rows = docs.filter(F.col("doc_id").isNotNull()).withColumn(md5, _md5("text")).join(
+        kept, (F.col("doc_id").cast("long") == F.col(key)) & (F.col(md5) == F.col(md5 + "_kept")), "left_semi")
+    first = F.row_number().over(Window.partitionBy("doc_id", md5).orderBy(F.xxhash64(*plain)))
+    return (rows.withColumn(order, first).filter(F.col(order) == 1).select(*docs.columns)
+            .unionByName(docs.filter(F.col("doc_id").isNull())))

@@ -254,7 +254,9 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
                             pa.array([codes[a - lo[0]:b - lo[0]].tobytes() for a, b in zip(lo, hi)], pa.binary())],
                             ["doc_id", "start", "n_tokens", "ids"])
 
-    return shards.repartition("name").mapInArrow(run, schema)
+    # a row is small, its shard is not: as many tasks as shards, which adaptive execution must not merge
+    n = max(1, manifest.count())
+    return shards.repartition(n).mapInArrow(run, schema)
 
 
 def get(spark: SparkSession, folder: str, keys: list[int]) -> dict[int, list[np.ndarray]]:

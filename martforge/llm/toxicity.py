@@ -284,15 +284,9 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, fit_on: Column) -> tu
     return out[0], out[1]
 
 
-_taggers: dict[int, Tagger] = {}
-
-
 def _tagger(shared) -> Tagger:
     """The tagger of this worker process for a broadcast model."""
-    if shared.value.curve.tobytes() not in _taggers:
-        _taggers.clear()
-        _taggers[shared.value.curve.tobytes()] = Tagger(shared.value)
-    return _taggers[shared.value.curve.tobytes()]
+    return common.worker_state(("tagger", shared.value.curve.tobytes()), lambda: Tagger(shared.value))
 
 
 SCORED = f"{common.OWN}score double, {common.OWN}spans string"

@@ -11,19 +11,21 @@ import hashlib
 
 import numpy as np
 
+from martforge.llm import common
+
 MARK = "\x01"  # a word of its own between words encoded together
 MARKS = b".,;:!?"
 LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 RUN = 1000  # words encoded together
-WORDS_KEPT = 900_000  # bound on remembered words per worker; others are encoded again
+WORDS_KEPT = 900_000  # about the bound on remembered words per worker; others are encoded again
 
 
 class WordEncoder:
     def __init__(self, data: bytes):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(data.decode("utf-8"))
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}  # words of the generation before
         mark = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.mark = mark[0] if len(mark) == 1 else None
 
@@ -40,10 +42,13 @@ class WordEncoder:
         return out + self._encode(group)
 
     def _encode(self, group: list[list[bytes]]) -> list[bytes]:
-        known = self.known
-        if len(known) > WORDS_KEPT:
-            known.clear()
+        if len(self.known) > WORDS_KEPT // 2:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         new = set().union(*group).difference(known) if group else set()
+        again = new.intersection(older)
+        known.update((w, older[w]) for w in again)
+        new -= again
         # a word with sentence marks behind a letter is that word, then the marks
         split, plain = [], set()
         for w in new:
@@ -77,15 +82,8 @@ class WordEncoder:
             known.update(zip(run, [raw[x:y] for x, y in zip(lo.tolist(), hi.tolist())]))
 
 
-_encoders: dict[bytes, WordEncoder] = {}
-
-
 def encoder(data: bytes) -> WordEncoder:
     """The encoder of this worker process, built once."""
     import os
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    key = hashlib.sha256(data).digest()
-    if key not in _encoders:
-        _encoders.clear()
-        _encoders[key] = WordEncoder(data)
-    return _encoders[key]
+    return common.worker_state(("words", hashlib.sha256(data).digest()), lambda: WordEncoder(data))

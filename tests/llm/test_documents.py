@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from martforge.llm import components, log_bilinear, near_dedup, quality_rules, toxicity
 from martforge.llm.common import crc_mod, documents
-from martforge.llm.queries import op1_quality_rules, op2_near_dedup, op3_toxicity, op5_log_bilinear, queries
+from martforge.llm.queries import op1_quality_rules, op2_near_dedup, op3_toxicity, op5_log_bilinear, queries, vocabulary
+from martforge.session import scratch_path
 
 LONG = " ".join(f"w{i % 997}x{i}" for i in range(30_000))
 ROWS = [(1, "a b c d e f g h i j " * 5), (2, None), (3, ""), (4, LONG), (4, LONG), (None, "no key here at all"),
@@ -133,6 +134,16 @@ def test_near_duplicates_edge_cases(spark):
     assert near_dedup.near_duplicates(frame(spark).limit(0)).count() == 0
 
 
+def test_one_row_of_a_group_stays_when_keys_repeat(spark):
+    a, b = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
+    rows = [(2, a, "en"), (5, a, "en"), (5, b, "fr"), (5, b, "en"), (7, b, "en"), (5, b, "fr"), (None, b, "de"), (8, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = [tuple(r) for n in (1, 7) for r in near_dedup.keep_first(docs.repartition(n)).collect()]
+    half = sorted(got[:len(got) // 2], key=str)
+    assert half == sorted(got[len(got) // 2:], key=str)  # whatever the partitions
+    assert [(r[0], r[1]) for r in sorted(half, key=lambda r: (r[0] is None, r[0]))] == [(2, a), (5, b), (8, None), (None, b)]
+
+
 def test_near_duplicates_of_the_tables(spark):
     rows = [tuple(r) for r in documents(spark, SF_SMALL).select("doc_id", "text").collect()]
     _, name = brute_components(rows)
@@ -244,12 +255,50 @@ def test_language_model_outputs_grow_with_the_counts(spark):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
-def test_every_query_runs(spark):
-    assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 11)]
+def test_every_query_is_listed(spark):
+    assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 # --- the pipeline
 
+def test_pipeline_on_odd_rows(spark):
+    """Nulls, empty and long texts, repeated rows and keys, and clashing names
+    go through the whole pipeline; what leaves is the packed ids of what a
+    stage-by-stage run keeps."""
+    import corpus_pipeline as c
+    from tokenizers import Tokenizer
+    folder = scratch_path(spark, "test-pipeline-odd")
+    docs, labels = documents(spark, SF_SMALL), documents(spark, SF_SMALL, "labels")
+    clean = docs.join(labels, "doc_id").filter("toxic = 0 and quality = 1").orderBy("doc_id").first()
+    text = clean.text
+    mine = [(9_000_001, None), (9_000_002, ""), (9_000_003, text + " write bob@mail.com"), (9_000_003, text + " write bob@mail.com"),
+            (9_000_004, "odd " * 50_000), (None, None)]
+    extra = spark.createDataFrame([(i, t) for i, t in mine], "doc_id long, text string")
+    odd = docs.unionByName(extra, allowMissingColumns=True).selectExpr("*", "1 score", "'x' spans", "2 sequence_id", "3 kept")
+    odd.write.parquet(f"{folder}/documents.parquet")
+    labels.write.parquet(f"{folder}/labels.parquet")
+    left = documents(spark, folder)
+    for name, stage in c.STAGES[:-1]:
+        path = f"{folder}/{name}"
+        stage(spark, left, folder).write.parquet(path)
+        left = spark.read.parquet(path)
+        assert left.columns == odd.columns
+    kept = {r.doc_id: r.text for r in left.select("doc_id", "text").collect()}
+    assert len(kept) == left.count() and not kept.keys() & {9_000_001, 9_000_002, 9_000_004, None}
+    assert kept[clean.doc_id] and 9_000_003 not in kept  # a near copy of a document with a smaller key
+    t = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    want = {k: len(t.encode(v or "", add_special_tokens=False).ids) + 1 for k, v in kept.items()}
+    got, places = {}, {}
+    for r in c.run(spark, folder).collect():
+        got[r.doc_id] = got.get(r.doc_id, 0) + r.length
+        places.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    assert got == want
+    for pieces in places.values():
+        pieces.sort()
+        assert [a for a, _ in pieces] == [sum(n for _, n in pieces[:i]) for i in range(len(pieces))]
+        assert sum(n for _, n in pieces) <= 2048
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline as c
     docs = documents(spark, SF_SMALL)

@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from martforge.llm import bpe_transducer as B
-from martforge.llm import packing, token_store
+from martforge.llm import packing, token_store, word_tokens
 from martforge.session import scratch_path
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
@@ -87,7 +87,6 @@ def test_encode_decode_frames(spark, library):
 def word_ids(text):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     return t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -109,6 +108,36 @@ def test_store_round_trip(spark, shard_bytes):
     assert found[5][0].tolist() == word_ids("a" * 30_000) + [2]
 
 
+def test_each_shard_is_read_by_a_task_of_its_own(spark):
+    folder = scratch_path(spark, "test-store-tasks")
+    token_store.write(spark.range(4000).selectExpr("id doc_id", "repeat('some words ', 20) text"), folder, WORDS, end_id=2,
+                      shard_bytes=20_000)
+    shards = spark.read.parquet(f"{folder}/manifest").count()
+    tasks = token_store.read(spark, folder).selectExpr("spark_partition_id() p").distinct().count()
+    assert shards > 8 and tasks == shards
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|", "a", "word", ".", "!", " ", "\n", "é"]),
+                max_size=20).map("".join))
+def test_words_equal_the_plain_library_call(text):
+    from tokenizers import Tokenizer
+    with open(WORDS, "rb") as f:
+        enc = word_tokens.encoder(f.read())
+    plain = Tokenizer.from_file(WORDS) if not hasattr(enc, "plain") else enc.plain
+    enc.plain = plain
+    assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == plain.encode(text, add_special_tokens=False).ids
+
+
+def test_forgotten_words_are_learned_again(monkeypatch):
+    monkeypatch.setattr(word_tokens, "WORDS_KEPT", 6)
+    with open(WORDS, "rb") as f:
+        enc = word_tokens.WordEncoder(f.read())
+    for text in ("a b c d e", "a f g h.", "i a j k", "b c a. l", "a b c d e f g h i j k l"):
+        assert np.frombuffer(enc.encode([text])[0], "<u4").tolist() == word_ids(text)
+        assert len(enc.known) + len(enc.older) <= 40
+
+
 def test_empty_store(spark):
     folder = scratch_path(spark, "test-store-empty")
     token_store.write(frame(spark).limit(0), folder, WORDS, end_id=2)
