@@ -14,6 +14,19 @@ from pyspark.sql import types as T
 OWN = "__mf_"
 
 
+# an Arrow batch of rows ends at these bytes, so that long texts do not add up
+BATCH_BYTES = 8 << 20
+_BATCH_KEY, _SPARK_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 64 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Sets the session's bytes per Arrow batch to ``BATCH_BYTES`` unless the
+    session has a value of its own; one row longer than that is a batch alone."""
+    now = spark.conf.get(_BATCH_KEY, str(_SPARK_BYTES)).lower().rstrip("b")
+    if now == str(_SPARK_BYTES):
+        spark.conf.set(_BATCH_KEY, str(BATCH_BYTES))
+
+
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
@@ -39,6 +52,7 @@ def map_batches(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     fields = T._parse_datatype_string(schema)
     from pyspark.sql.pandas.types import to_arrow_schema
     arrow = to_arrow_schema(fields)
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,6 +72,7 @@ def add_columns(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str
     new = T._parse_datatype_string(schema)
     full = T.StructType(list(df.schema.fields) + list(new.fields))
     arrow = to_arrow_schema(new)
+    bound_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,6 +98,7 @@ def worker_state(key, build: Callable):
     the other in a reused worker do not add up."""
     if key not in _state:
         _state.clear()
+        pa.default_memory_pool().release_unused()
         _state[key] = build()
     return _state[key]
 

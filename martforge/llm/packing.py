@@ -165,6 +165,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 2048, wit
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens,
     sequence_id, offset and, with ``with_ids``, the ids (little-endian unsigned
     32-bit); sequences are the pieces of a sequence_id by offset."""
+    common.bound_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(common.file_bytes(tokenizer))
     fields = [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
               ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())]

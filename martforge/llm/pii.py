@@ -318,6 +318,7 @@ def spans(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, counts and digest of the plain spans,
     number of added spans, and all spans."""
     def run(batch: pa.RecordBatch) -> dict:
+        common.worker_state("personal data", dict)  # nothing to remember; drops what others did
         found = [find_all(t) for t in common.texts_of(batch)]
         out = {"doc_id": batch.column(0)}
         for k in KINDS:
@@ -335,6 +336,7 @@ def mask(docs: DataFrame) -> DataFrame:
     """The documents with every span replaced by its kind; n_chars, where it is
     a whole-number column, follows the new text.  A null text stays null."""
     def run(batch: pa.RecordBatch) -> dict:
+        common.worker_state("personal data", dict)  # nothing to remember; drops what others did
         raw = batch.column(batch.schema.get_field_index("text")).to_pylist()
         new = [None if t is None else masked(t, find_all(t)[1]) for t in raw]
         return {common.OWN + "text": pa.array(new, pa.string())}

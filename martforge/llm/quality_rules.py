@@ -118,6 +118,7 @@ MEASURED = ", ".join(f"{common.OWN}{c} long" for c in COUNTS) + f", {common.OWN}
 
 def with_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
     def run(batch: pa.RecordBatch) -> dict:
+        common.worker_state("quality rules", dict)  # nothing to remember; drops what others did
         found = [measure(t) for t in common.texts_of(batch, text_col)]
         out = {common.OWN + c: pa.array([m[c] for m in found], pa.int64()) for c in COUNTS}
         return out | {common.OWN + "votes": pa.array([votes(m) for m in found], pa.int32())}

@@ -162,6 +162,7 @@ def _filesystem(path: str):
 def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int, shard_bytes: int = SHARD_BYTES) -> None:
     """Write the store into ``folder`` (a path or URI that all executors share)."""
     spark = docs.sparkSession
+    common.bound_batches(spark)
     shared = spark.sparkContext.broadcast(common.file_bytes(tokenizer))
     schema = ("part int, shard int, name string, width int, n_rows long, n_tokens long, "
               "first_key long, last_key long, keys binary")

@@ -17,7 +17,7 @@ MARK = "\x01"  # a word of its own between words encoded together
 MARKS = b".,;:!?"
 LETTERS = frozenset(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 RUN = 1000  # words encoded together
-WORDS_KEPT = 900_000  # about the bound on remembered words per worker; others are encoded again
+WORDS_KEPT = 500_000  # about the bound on remembered words per worker; others are encoded again
 
 
 class WordEncoder:
