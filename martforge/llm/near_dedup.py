@@ -11,12 +11,14 @@ share all registers of a band become candidates.
 Documents of equal sets are one class before banding.  In a band bucket every
 class is paired with the bucket's smallest class, not with all others.  The
 register agreement, corrected for chance collisions, estimates the similarity;
-pairs within the error of the threshold are verified on the full sets.  Then,
-for buckets whose classes still lie in several components, the classes outside
-the bucket's smallest component meet the others of the bucket, each pair in the
-first band it shares and only if the estimate allows a link, so that a link
-between two classes of a bucket is lost only if they are already connected.
-Components are named by their smallest document.
+pairs within the error of the threshold are verified on the full sets.  Then
+the members of buckets whose classes still lie in several components meet in
+blocks inside tasks: trees of pairs that the estimate allows name regions, and
+the members of a region are compared on their full sets, but for pairs that
+links connect already.  Only trees and links leave a task, so rows follow the
+members of a bucket, not its pairs, and no link between two classes of a bucket
+is lost unless they are connected by others.  Components are named by their
+smallest document.
 
 The chance that two documents at the threshold share no band is under 1e-6.
 
@@ -48,7 +50,11 @@ REGISTERS = BANDS * ROWS
 MANTISSA = 10  # bits; six more hold the leading zeros
 THRESHOLD = 75  # percent
 ERRORS = 4.0  # standard errors that the estimate may fall short of the threshold
+SLACK = ERRORS * (0.01 * THRESHOLD * (1 - 0.01 * THRESHOLD) / REGISTERS) ** 0.5
 WORDS_KEPT = 400_000
+BUCKET_ROWS = 2_048  # about the members in a block of an open bucket
+BLOCK = 1 << 18  # about the shingles in a block of a region
+LEAST_WEIGHT = 64  # shingles that a member counts at least, for at most 4,096 in a block
 
 _rng = np.random.default_rng(20)
 # where an empty bucket looks for a register, in this order
@@ -167,9 +173,8 @@ def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _alike(a: str, b: str) -> Column:
     """Sizes and registers do not rule the threshold out."""
-    slack = ERRORS * (0.01 * THRESHOLD * (1 - 0.01 * THRESHOLD) / REGISTERS) ** 0.5
     sizes = F.least(f"n_{a}", f"n_{b}") * 100 >= F.greatest(f"n_{a}", f"n_{b}") * THRESHOLD
-    return sizes & (estimate(f"bands_{a}", f"bands_{b}", f"n_{a}", f"n_{b}") >= 0.01 * THRESHOLD - slack)
+    return sizes & (estimate(f"bands_{a}", f"bands_{b}", f"n_{a}", f"n_{b}") >= 0.01 * THRESHOLD - SLACK)
 
 
 def _sketch_as(reps: DataFrame, name: str) -> DataFrame:
@@ -183,6 +188,121 @@ def _candidates(pairs: DataFrame, reps: DataFrame) -> DataFrame:
             .filter(_alike("a", "b")).select("a", "b"))
 
 
+def _meetings(rows: DataFrame, group: str, weight: Column, block: int, columns: list[str]) -> DataFrame:
+    """Each group's rows dealt into blocks of about ``block`` weight by their
+    key, and one row for every two blocks and for each block with itself: x, y
+    and the ``members`` of both, ``low`` telling those of block x."""
+    sizes = rows.groupBy(group).agg(F.ceil(F.sum(weight) / block).cast("int").alias("blocks"))
+    x, y = F.least("mine", "other"), F.greatest("mine", "other")
+    return (rows.join(sizes, group)
+            .withColumn("mine", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .groupBy(group, x.alias("x"), y.alias("y"))
+            .agg(F.collect_list(F.struct((F.col("mine") == x).alias("low"), *columns)).alias("members"))
+            .filter(F.size("members") > 1).select("x", "y", "members"))
+
+
+def _groups(batch: pa.RecordBatch):
+    """(same block, members as a struct array) of each row of ``_meetings``."""
+    x, y, members = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+    for i in range(batch.num_rows):
+        yield x[i] == y[i], members[i].values
+
+
+def _numbers(values: pa.Array) -> np.ndarray:
+    return values.to_numpy(zero_copy_only=False)
+
+
+def _partners(i: int, same_block: bool, low: np.ndarray, tree: np.ndarray) -> np.ndarray:
+    """Whom member i meets: the later ones of its block or all of the other
+    block, but for those that hang together with it already."""
+    meets = tree != tree[i]
+    if same_block:
+        meets[:i + 1] = False
+    else:
+        meets &= ~low
+    return np.flatnonzero(meets)
+
+
+def _alike_to(i: int, others: np.ndarray, n: np.ndarray, regs: np.ndarray) -> np.ndarray:
+    """Those of ``others`` that sizes and registers do not rule out, as ``_alike``."""
+    few, many = np.minimum(n[others], n[i]), np.maximum(n[others], n[i])
+    others = others[few * 100 >= many * THRESHOLD]
+    if not len(others):
+        return others
+    r = n[i] / n[others]
+    chance = 0.169919487159739 / 2 ** MANTISSA * 4 * r / ((1 + r) * (1 + r))
+    equal = np.count_nonzero(regs[others] == regs[i], axis=1) / REGISTERS
+    return others[(equal - chance) / (1 - chance) >= 0.01 * THRESHOLD - SLACK]
+
+
+def _alike_trees(rows: DataFrame) -> DataFrame:
+    """(a, b): every document that is alike, by the estimate, to one of another
+    component in one of its buckets, with the smallest document of its tree of
+    such pairs.  Pairs stay in the task; rows follow the members."""
+    def run(batch: pa.RecordBatch) -> dict:
+        a, b = [], []
+        for same_block, members in _groups(batch):
+            low, ids, component, n = (_numbers(members.field(c)) for c in ("low", "doc_id", "component", "n_shingles"))
+            regs = _numbers(members.field("bands").flatten()).view("<u2").reshape(len(ids), REGISTERS)
+            tree = np.arange(len(ids))
+            for i in range(len(ids)):
+                if same_block or low[i]:
+                    others = _partners(i, same_block, low, tree)
+                    found = _alike_to(i, others[component[others] != component[i]], n, regs)
+                    if len(found):
+                        tree[np.isin(tree, tree[found])] = tree[i]
+            for root in np.flatnonzero(np.bincount(tree, minlength=len(ids)) > 1):
+                mine = ids[tree == root]
+                a += [int(mine.min())] * len(mine)
+                b += mine.tolist()
+        return {"a": a, "b": b}
+
+    met = _meetings(rows, "key", F.lit(1), BUCKET_ROWS, ["doc_id", "component", "n_shingles", "bands"])
+    return common.map_batches(met, run, "a long, b long").distinct()
+
+
+def _region_links(members: DataFrame) -> DataFrame:
+    """Links (a, b) between components, on full sets: every two members of a
+    region whose estimate allows a link and that no links found so far connect.
+    Two trees that meet give one link."""
+    def run(batch: pa.RecordBatch) -> dict:
+        a, b = [], []
+        for same_block, rows in _groups(batch):
+            low, ids, component = (_numbers(rows.field(c)) for c in ("low", "doc_id", "component"))
+            sets = [shingles(t or "") for t in rows.field("text").to_pylist()]
+            full = np.array([len(s) > 0 for s in sets])
+            low, ids, component = low[full], ids[full], component[full]
+            sets = [s for s in sets if len(s)]
+            if len(sets) < 2:
+                continue
+            n = np.array([len(s) for s in sets])
+            regs = np.stack([registers(s) for s in sets])
+            number = np.split(np.unique(np.concatenate(sets), return_inverse=True)[1], np.cumsum(n)[:-1])
+            mark = np.zeros(int(n.sum()), np.int64)
+            tree = np.unique(component, return_inverse=True)[1]
+            for i in range(len(ids)):
+                if not (same_block or low[i]):
+                    continue
+                others = _alike_to(i, _partners(i, same_block, low, tree), n, regs)
+                if not len(others):
+                    continue
+                mark[number[i]] = 1
+                ends = np.cumsum(n[others])
+                shared = np.add.reduceat(mark[np.concatenate([number[j] for j in others])], ends - n[others])
+                mark[number[i]] = 0
+                linked = others[100 * shared >= THRESHOLD * (n[others] + n[i] - shared)]
+                if len(linked):
+                    joined, first = np.unique(tree[linked], return_index=True)
+                    a += [int(ids[i])] * len(first)
+                    b += ids[linked[first]].tolist()
+                    tree[np.isin(tree, joined)] = tree[i]
+        return {"a": a, "b": b}
+
+    weight = F.greatest("n_shingles", F.lit(LEAST_WEIGHT))
+    return common.map_batches(_meetings(members, "region", weight, BLOCK, ["doc_id", "component", "text"]), run, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     return _near_duplicates(docs).drop("text_md5")
@@ -215,22 +335,16 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     # buckets of three or more classes in several components
     wide = (banded.join(buckets.filter("n > 2").select("key", F.col("a").alias("center")), "key")
             .join(known, "doc_id"))
-    wide = cut_lineage(wide.select("key", "band", "center", "doc_id", "component"), "wide")
+    wide = cut_lineage(wide.select("key", "center", "doc_id", "component"), "wide")
     open_ = wide.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("most")).filter(
-        "main <> most").select("key", "main")
-    left = wide.join(open_, "key")
-    outside = cut_lineage(left.filter("component <> main and doc_id <> center").select(
-        "key", "band", F.col("doc_id").alias("a"), F.col("component").alias("ca"), "center")
-        .join(_sketch_as(reps, "a"), "a"), "outside")
-    others = cut_lineage(left.select("key", F.col("doc_id").alias("b"), F.col("component").alias("cb"), "main")
-                         .join(_sketch_as(reps, "b"), "b"), "others")
-    # a pair counts in the first band that it shares, and once if both are outside
-    meets = F.expr("array_position(zip_with(bands_a, bands_b, (x, y) -> x = y), true) = band + 1")
-    second = (outside.join(others, (outside["key"] == others["key"]) & (F.col("ca") != F.col("cb"))
-                           & (F.col("b") != F.col("center")) & ((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-                           & meets & _alike("a", "b"))
-              .select("a", "b"))
-    more = cut_lineage(verified(second, texts), "links")
+        "main <> most").select("key")
+    left = (wide.join(open_, "key").filter("doc_id <> center").select("key", "doc_id", "component")
+            .join(reps.select("doc_id", "n_shingles", "bands"), "doc_id"))
+    near = cut_lineage(_alike_trees(left), "near")
+    region = components(near).withColumnsRenamed({"node": "doc_id", "component": "region"})
+    members = (region.join(known.distinct(), "doc_id").join(texts, "doc_id")
+               .join(reps.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles")), "doc_id"))
+    more = cut_lineage(_region_links(members), "links")
     links = links.unionByName(more)
     # equal keys of different texts: the key itself is the link
     label = components(links)
