@@ -19,7 +19,8 @@ from martforge.plans import analytics as A
 from martforge.plans import checks as C
 from martforge.plans import operations as OP
 from martforge.plans import oracle as O
-from martforge.plans import planted, staging
+from martforge.plans import loads, planted, staging
+from martforge.plans.updates import LOG
 from martforge.plans.warehouse import Warehouse, warehouse_for
 from martforge.sources.landing import LANDING_TABLES
 
@@ -170,9 +171,16 @@ def _operations() -> dict[str, Query]:
         "update_batch_orders": _wh(lambda wh, s, d: OP.update_batches(wh, s, d)[0]),
         "update_batch_audit": _wh(lambda wh, s, d: OP.update_batches(wh, s, d)[1]),
         "update_batch_customers": _wh(lambda wh, s, d: OP.update_customers_job(wh, s)),
+        # keyed loads of two extracts into stored tables
+        **{f"keyed_load_{t}": _keyed_load(t) for t in loads.LOADED},
+        "keyed_load_log": _keyed_load(LOG),
     }
 
 
+def _keyed_load(table: str) -> Query:
+    return _wh(lambda wh, s, d: loads.keyed_load(wh, s, table))
+
+
 def _csv_model(name: str) -> Query:
     return _wh(lambda wh, s, d: getattr(OP.star_from_csv(wh, s), name))
 
@@ -221,7 +229,7 @@ def oracle_sql() -> dict[str, str]:
         o[f"messy_landing_{t}"] = chain(f"SELECT * FROM {t}_raw")
     for fact in ("fct_order_items", "fct_returns"):
         o[f"csv_{fact}"] = chain(f"SELECT * FROM {fact}")
-    for name, body in planted.oracle_bodies().items():
+    for name, body in {**planted.oracle_bodies(), **loads.oracle_bodies()}.items():
         o[name] = chain(body)
     o["dq_severity"] = chain(
         f"SELECT * FROM ({O.suite_sql(C.DBT_SUITE + C.CONSTRAINT_SUITE)}) r WHERE failing_rows > 0")

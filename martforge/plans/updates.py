@@ -44,7 +44,7 @@ class ConcurrentUpdate(RuntimeError):
     """Another writer published since this batch was read."""
 
 
-def _folders(spark: SparkSession, root: str, version: str) -> dict[str, list[str]]:
+def folders_of(spark: SparkSession, root: str, version: str) -> dict[str, list[str]]:
     return json.loads(read_text(spark, f"{root}/{version}/{TABLES}"))
 
 
@@ -53,16 +53,21 @@ def read_table_of(spark: SparkSession, root: str, name: str) -> DataFrame:
     version = current_version(spark, root)
     if version is None:
         raise FileNotFoundError(f"nothing published under {root}")
-    return spark.read.parquet(*[f"{root}/{f}" for f in _folders(spark, root, version)[name]])
+    return spark.read.parquet(*[f"{root}/{f}" for f in folders_of(spark, root, version)[name]])
 
 
 def _publish(spark: SparkSession, root: str, base: str | None, replaced: dict[str, DataFrame],
              added: dict[str, DataFrame], layout: dict[str, list[str]] | None = None) -> str:
     version = new_version()
-    folders = _folders(spark, root, base) if base else {}
+    folders = folders_of(spark, root, base) if base else {}
     for name, df in {**replaced, **added}.items():
         write_table(df, f"{root}/{version}/{name}", "errorifexists", (layout or {}).get(name))
         folders[name] = [*(folders.get(name, []) if name in added else []), f"{version}/{name}"]
+    return publish_folders(spark, root, base, version, folders)
+
+
+def publish_folders(spark: SparkSession, root: str, base: str | None, version: str, folders: dict[str, list[str]]) -> str:
+    """Names a version by the folders of each table, unless the pointer has left ``base``."""
     write_text(spark, f"{root}/{version}/{TABLES}", json.dumps(folders))
     if current_version(spark, root) != base:
         raise ConcurrentUpdate(f"{root} has moved on from {base}")
@@ -114,7 +119,7 @@ def _refuse(offenders: DataFrame, key: str, message: str) -> None:
 def _audit_rows(spark: SparkSession, root: str, base: str, before: DataFrame, updates: DataFrame, key: str,
                 audited: str, batch_id: str, applied_at: dt.datetime) -> DataFrame:
     last = 0
-    if AUDIT in _folders(spark, root, base):
+    if AUDIT in folders_of(spark, root, base):
         last = read_table_of(spark, root, AUDIT).agg(F.max("audit_id")).first()[0] or 0
     changes = audit_status_changes(before, updates, key, audited)
     ranked = with_global_rank(changes, [key], "audit_id")
