@@ -121,6 +121,32 @@ def test_near_duplicates_equal_brute_force(spark):
         assert (r.n_shingles, r.component_id) == (len(sets[r.doc_id]), name[r.doc_id])
 
 
+def test_members_of_open_buckets_meet_across_blocks(spark, monkeypatch):
+    """Copies about the threshold, dealt over many blocks of a bucket and of a region."""
+    monkeypatch.setattr(near_dedup, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(near_dedup, "BLOCK", 600)
+    rng, met = np.random.default_rng(4), []
+    region_links = near_dedup._region_links
+
+    def watched(members):
+        met.append(members.groupBy("region").count().agg({"count": "max"}).first()[0])
+        return region_links(members)
+
+    monkeypatch.setattr(near_dedup, "_region_links", watched)
+    rows = []
+    for g in range(2):
+        base = [f"g{g}w{i}" for i in range(150)]
+        for i in range(70):
+            words = list(base)
+            for j in rng.choice(150, 4, replace=False):
+                words[j] = f"x{g}_{i}_{j}" if rng.random() < 0.5 else f"y{j}"
+            rows.append((g * 1000 + i, " ".join(words)))
+    _, name = brute_components(rows)
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.component_id for r in got} == name
+    assert len(set(name.values())) > 4 and met[0] > 20
+
+
 def test_near_duplicates_edge_cases(spark):
     got = near_dedup.near_duplicates(frame(spark)).collect()
     assert len(got) == len(ROWS)
