@@ -190,3 +190,27 @@ def test_a_writer_that_comes_late_fails(spark, monkeypatch):
         U._publish(spark, root, base, {"t": df}, {})
     assert [r.v for r in U.read_table_of(spark, root, "t").collect()] == ["b"]
     assert os.path.basename(base) == base
+
+
+def test_no_keys_of_the_quarantine_are_broadcast(spark, monkeypatch):
+    from martforge.operators import quarantine as module
+    plans, cut = [], module.cut_lineage
+
+    def watched(df, name="lineage"):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df, name)
+
+    monkeypatch.setattr(module, "cut_lineage", watched)
+    nodes = [(i, i - 1 if i else None, i % 5) for i in range(6)] + [(1, 0, 3), (6, 99, 0), (7, 6, 1), (8, 7, 2), (8, 5, 2)]
+    tables = {"node": spark.createDataFrame(nodes, "id long, parent long, n int"),
+              "leaf": spark.createDataFrame([(i, i) for i in range(10)], "id long, node long")}
+    result = quarantine(tables, [Check("node", "parent", "relationships", to_model="node", to_column="id"),
+                                 Check("leaf", "id", "unique"), Check("leaf", "id", "non_negative"),
+                                 Check("leaf", "node", "relationships", to_model="node", to_column="id")])
+    rejected = sorted((r.table_name, r["round"]) for r in result.rejects.collect())
+    # node 8 has a second row below 5, so its key and its leaf stay
+    assert rejected == [("leaf", 1), ("leaf", 2), ("leaf", 3), ("node", 1), ("node", 2), ("node", 3)]
+    assert sorted(r.id for r in result.kept["leaf"].collect()) == [0, 1, 2, 3, 4, 5, 8]
+    assert result.rounds == 3
+    plans += [df._jdf.queryExecution().executedPlan().toString() for df in result.kept.values()]
+    assert len(plans) > 6 and not any("BroadcastHashJoin" in p for p in plans)
