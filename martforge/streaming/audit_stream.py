@@ -7,9 +7,10 @@ is kept in the state store, and a row is emitted when an order's status is
 distinct (NULL-safe) from its last known one.  The first sighting of an
 order is an insert and is not logged, as with the source's update trigger.
 
-State is keyed by order, so it is spread over all tasks and its size grows
-with the number of orders, not with the history; on a cluster use the
-RocksDB state store provider for it.  Rows older than the state's snapshot
+State is keyed by blocks of 1,024 consecutive order keys, so it is spread over
+all tasks, a block never holds more orders than that, and its size grows with
+the number of orders, not with the history; Python is called once a block, not once an
+order.  On a cluster use the RocksDB state store provider for it.  Rows older than the state's snapshot
 (a re-delivered extract) are ignored, so a replay adds nothing.
 """
 
@@ -19,6 +20,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -35,36 +37,39 @@ AUDIT_SCHEMA = T.StructType([
     T.StructField("snapshot_seq", T.LongType(), False),
 ])
 
+BLOCK_BITS = 10  # a group and its state hold 1,024 consecutive order keys
+
 STATE_SCHEMA = T.StructType([
-    T.StructField("last_status", T.StringType(), True),
-    T.StructField("last_seq", T.LongType(), False),
+    T.StructField("order_keys", T.ArrayType(T.LongType()), False),
+    T.StructField("last_status", T.ArrayType(T.StringType()), False),
+    T.StructField("last_seq", T.ArrayType(T.LongType()), False),
 ])
 
 
-def _audit_group(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+def _audit_block(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     rows = pd.concat(list(batches), ignore_index=True).sort_values("snapshot_seq", kind="stable")
+    known = {}
     if state.exists:
-        last_status, last_seq = state.get
-        seen = True
-    else:
-        last_status, last_seq, seen = None, -1, False
+        order_keys, last_status, last_seq = state.get
+        known = dict(zip(order_keys, zip(last_status, last_seq)))
     out = []
-    for status, seq in zip(rows["order_status"], rows["snapshot_seq"]):
-        seq = int(seq)
-        if seq <= last_seq:
+    for order, status, seq in zip(rows["order_key"].tolist(), rows["order_status"].tolist(), rows["snapshot_seq"].tolist()):
+        last = known.get(order)
+        if seq <= (last[1] if last else -1):
             continue
-        status = None if pd.isna(status) else status
-        if seen and status != last_status:
-            out.append((key[0], last_status, status, seq))
-        last_status, last_seq, seen = status, seq, True
-    state.update((last_status, last_seq))
-    yield pd.DataFrame(out, columns=[f.name for f in AUDIT_SCHEMA.fields])
+        status = status if isinstance(status, str) else None
+        if last and status != last[0]:
+            out.append((order, last[0], status, seq))
+        known[order] = status, seq
+    state.update((list(known), [s for s, _ in known.values()], [n for _, n in known.values()]))
+    if out:
+        yield pd.DataFrame(out, columns=[f.name for f in AUDIT_SCHEMA.fields])
 
 
 def audit_stream(snapshots: DataFrame) -> DataFrame:
     """Streaming frame of status changes from a streaming frame of snapshots."""
-    return snapshots.groupBy("order_key").applyInPandasWithState(
-        _audit_group, AUDIT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+    return snapshots.withColumn("block", F.shiftright("order_key", BLOCK_BITS)).groupBy("block").applyInPandasWithState(
+        _audit_block, AUDIT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
 
 
 def run_audit_once(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint: str) -> None:

@@ -63,3 +63,18 @@ def test_audit_stream_ignores_redelivered_snapshot(spark):
     got = sorted(tuple(r) for r in spark.read.parquet(sink).select(
         "order_key", "old_order_status", "new_order_status").collect())
     assert got == [(1, "placed", "shipped")]
+
+
+def test_audit_keeps_one_state_for_a_block_of_orders(spark):
+    base = tempfile.mkdtemp(prefix="mf-stream-")
+    src, sink, ckpt = (os.path.join(base, x) for x in ("src", "sink", "ckpt"))
+    first = spark.range(-5, 3000).selectExpr("id AS order_key", "if(id % 2 = 0, 'placed', NULL) AS order_status", "0L AS snapshot_seq")
+    second = first.selectExpr("order_key", "if(order_key % 3 = 0, 'shipped', order_status) AS order_status", "1L AS snapshot_seq")
+    for part in (first, second, second.union(first)):  # the last one is old news
+        part.write.parquet(src, mode="append")
+        run_audit_once(spark, src, sink, ckpt)
+    got = spark.read.parquet(sink)
+    want = audit_status_changes(first, second, "order_key", "order_status")
+    assert got.count() == want.count() == 1001
+    assert got.select(*want.columns).exceptAll(want).isEmpty()
+    assert spark.read.format("statestore").load(ckpt).count() == 4  # 5 below zero, then 1024, 1024 and 952
