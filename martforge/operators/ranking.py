@@ -25,16 +25,20 @@ same bucket sizes as SQL ``NTILE``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.session import cut_lineage
 
 _POS_BITS = 33
 _POS_MASK = (1 << _POS_BITS) - 1
-BYTES_PER_RANGE = 256 << 20  # input bytes that one range partition stands for
+# input bytes that one range partition stands for: half a million stored line
+# items and more, which a task sorts in memory
+BYTES_PER_RANGE = 8 << 20
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+_OWN_INITIAL: dict[str, str] = {}  # the value set here, by session
 
 
 def _as_columns(order: Sequence) -> list[Column]:
@@ -42,7 +46,7 @@ def _as_columns(order: Sequence) -> list[Column]:
 
 
 def range_partitions(df: DataFrame) -> int:
-    """Range partitions for a full sort of ``df``: one per 256 MB of the tables
+    """Range partitions for a full sort of ``df``: one per 8 MB of the tables
     under it, and no fewer than the session's shuffle partitions."""
     spark = df.sparkSession
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
@@ -52,15 +56,28 @@ def range_partitions(df: DataFrame) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-read // BYTES_PER_RANGE))
 
 
+def size_shuffles(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
+    """Lets joins and groupings start with as many partitions as the full sort of the
+    greatest frame, so that a task's share doesn't grow with the tables; adaptive
+    execution merges those that turn out small.  A session's own value stays."""
+    now = spark.conf.get(INITIAL_PARTITIONS, None)
+    session = f"{spark.sparkContext.applicationId}/{id(spark)}"
+    if now is None or now == _OWN_INITIAL.get(session):
+        _OWN_INITIAL[session] = str(max(range_partitions(df) for df in frames))
+        spark.conf.set(INITIAL_PARTITIONS, _OWN_INITIAL[session])
+
+
 def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
                      total_col: str | None = None,
-                     num_partitions: int | None = None) -> DataFrame:
+                     num_partitions: int | None = None,
+                     keep: Sequence[str] | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based position of the row in ``order``.
 
     ``order`` must be a total order (add a unique tie-break key) so that the
     numbers are repeatable; it accepts column names or sort expressions such
     as ``F.col("x").desc_nulls_first()``.  With ``total_col`` the number of
-    rows is added too (needed for n-tiles).
+    rows is added too (needed for n-tiles).  With ``keep`` only these columns
+    are written and returned; the others just order the rows.
     """
     cols = _as_columns(order)
     ranged = df.repartitionByRange(int(num_partitions or range_partitions(df)), *cols)
@@ -69,6 +86,8 @@ def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
         .sortWithinPartitions(*cols)
         .withColumn("_mf_tag", F.monotonically_increasing_id())
     )
+    if keep is not None:
+        tagged = tagged.select(*keep, "_mf_tag")
     tagged = cut_lineage(tagged)
 
     part = F.shiftright(F.col("_mf_tag"), _POS_BITS)

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from martforge.constants import DEFAULT_AS_OF
 from martforge.functions.clean import SUM_MONEY
-from martforge.operators.ranking import with_surrogate_key
+from martforge.operators.ranking import size_shuffles, with_surrogate_key
 from martforge.plans import staging
 from martforge.sources.calendar import calendar_spine
 from martforge.sources.landing import landing_frames
@@ -218,6 +218,7 @@ def warehouse_for(spark: SparkSession, sf_dir: str, **kw) -> Warehouse:
         if wh is None:
             wh = Warehouse.from_driver_tables(spark, sf_dir, **kw)
             _CACHE[key] = wh
+        size_shuffles(spark, wh.landing.values())
         return wh
 
 

@@ -197,6 +197,11 @@ LINEITEM_ORDER = [
     "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag",
     "l_linestatus",
 ]
+# what the landing frames take from a numbered line
+LINEITEM_KEPT = [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount",
+    "l_returnflag",
+]
 
 
 def numbered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,10 +210,11 @@ def numbered_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     (l_orderkey, l_linenumber) repeats in the driver tables, whole rows do
     not, so the line id is the rank of the whole row.  The rank is computed
     by the parallel global ranking operator (range partitions + offsets),
-    which also splits an order holding a third of all lines.
+    which also splits an order holding a third of all lines.  Columns that
+    only order the lines are not kept.
     """
     li = read_table(spark, sf_dir, "lineitem", LINEITEM_ORDER)
-    return with_global_rank(li, LINEITEM_ORDER, "n")
+    return with_global_rank(li, LINEITEM_ORDER, "n", keep=LINEITEM_KEPT)
 
 
 def _unit_cents(q: Column) -> Column:
@@ -280,6 +286,7 @@ LANDING_COLUMNS = {
 # Blanks around a field belong to it.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+CSV_COMPRESSION = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 
 
 def landing_schema(table: str) -> T.StructType:
@@ -288,12 +295,14 @@ def landing_schema(table: str) -> T.StructType:
 
 
 def write_landing_csv(frames: dict[str, DataFrame], base_path: str) -> dict[str, str]:
-    """Write each landing frame as a header CSV folder (full refresh)."""
+    """Write each landing frame as a header CSV folder (full refresh), gzipped:
+    the text of ids is long and much alike.  A file is as large as a task of
+    the frame's scan makes it, and one task reads it back."""
     paths = {}
     for name, df in frames.items():
         path = f"{base_path}/{name}.csv"
         (df.select(*LANDING_COLUMNS[name]).write.mode("overwrite")
-         .options(**CSV_OPTIONS).option("emptyValue", '""').csv(path))
+         .options(**CSV_OPTIONS).options(**CSV_COMPRESSION).option("emptyValue", '""').csv(path))
         paths[name] = path
     return paths
 

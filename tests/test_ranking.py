@@ -105,3 +105,41 @@ def test_range_partitions_follow_the_input_bytes(spark, monkeypatch, tmp_path):
     assert R.range_partitions(df) > 20 and R.range_partitions(df.join(df, "id")) > R.range_partitions(df)
     # rows without a known size don't count
     assert R.range_partitions(spark.createDataFrame([(1,)], "id long")) == least
+
+
+def test_columns_that_only_order_the_rows_are_not_written(spark, monkeypatch):
+    import martforge.operators.ranking as R
+    written = []
+    monkeypatch.setattr(R, "cut_lineage", lambda df: written.append(df.columns) or df)
+    df = spark.createDataFrame([(1, None, "c"), (1, 5, "a"), (1, 2, "b"), (None, 9, "d"), (1, 2, "e")], "k long, tie long, v string")
+    got = R.with_global_rank(df, ["k", "tie", "v"], "rk", keep=["v"])
+    assert written == [["v", "_mf_tag"]]
+    assert {tuple(r) for r in got.collect()} == {("d", 1), ("c", 2), ("b", 3), ("e", 4), ("a", 5)}
+
+
+def test_shuffles_start_with_partitions_for_the_greatest_table(spark, monkeypatch, tmp_path):
+    import martforge.operators.ranking as R
+    path = str(tmp_path / "t")
+    spark.range(20000).write.parquet(path)
+    small, large = spark.createDataFrame([(1,)], "id long"), spark.read.parquet(path)
+    least = spark.conf.get("spark.sql.shuffle.partitions")
+    was = spark.conf.get(R.INITIAL_PARTITIONS, None)
+    try:
+        spark.conf.unset(R.INITIAL_PARTITIONS)
+        R.size_shuffles(spark, [small])
+        assert spark.conf.get(R.INITIAL_PARTITIONS) == least
+        monkeypatch.setattr(R, "BYTES_PER_RANGE", 1000)
+        R.size_shuffles(spark, [small, large])
+        assert int(spark.conf.get(R.INITIAL_PARTITIONS)) == R.range_partitions(large) > 20
+        spark.conf.set(R.INITIAL_PARTITIONS, "5")  # the session's own value
+        R.size_shuffles(spark, [small, large])
+        assert spark.conf.get(R.INITIAL_PARTITIONS) == "5"
+    finally:
+        spark.conf.unset(R.INITIAL_PARTITIONS)
+        if was is not None:
+            spark.conf.set(R.INITIAL_PARTITIONS, was)
+
+
+def test_range_partition_of_stored_rows_fits_a_task():
+    import martforge.operators.ranking as R
+    assert R.BYTES_PER_RANGE <= 16 << 20  # 256 MB of stored line items spilled when sorted
