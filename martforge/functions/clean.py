@@ -69,10 +69,11 @@ def parse_bool_text(c) -> Column:
 
 
 def line_total(quantity, unit_price, discount_pct) -> Column:
-    """``round(q * p * (1 - d / 100), 2)`` in exact decimals (HALF_UP)."""
+    """``round(q * p * (1 - d / 100), 2)`` in exact decimals (HALF_UP).  Hundredths
+    are multiplied by 0.01, which is as exact as a division and costs less."""
     q = _c(quantity).cast("decimal(10,0)")
     gross = q * _c(unit_price)
-    factor = F.lit(1).cast("decimal(1,0)") - _c(discount_pct) / F.lit(100).cast("decimal(3,0)")
+    factor = (F.lit(100).cast("decimal(3,0)") - _c(discount_pct)) * F.lit("0.01").cast("decimal(2,2)")
     return F.round(gross * factor, 2).cast(LINE_MONEY)
 
 

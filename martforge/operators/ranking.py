@@ -25,7 +25,7 @@ same bucket sizes as SQL ``NTILE``.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,6 +39,10 @@ _POS_MASK = (1 << _POS_BITS) - 1
 BYTES_PER_RANGE = 8 << 20
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 _OWN_INITIAL: dict[str, str] = {}  # the value set here, by session
+# file bytes that one scan task reads: a scan of stored line items that feeds a shuffle
+# holds ten times its bytes in memory before it must spill (Spark's own value is 128 MB)
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+SPARK_SCAN_BYTES, BYTES_PER_SCAN = "134217728b", "32m"
 
 
 def _as_columns(order: Sequence) -> list[Column]:
@@ -59,25 +63,30 @@ def range_partitions(df: DataFrame) -> int:
 def size_shuffles(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
     """Lets joins and groupings start with as many partitions as the full sort of the
     greatest frame, so that a task's share doesn't grow with the tables; adaptive
-    execution merges those that turn out small.  A session's own value stays."""
+    execution merges those that turn out small.  Scans are cut finer for the same
+    reason.  A session's own values stay."""
     now = spark.conf.get(INITIAL_PARTITIONS, None)
     session = f"{spark.sparkContext.applicationId}/{id(spark)}"
     if now is None or now == _OWN_INITIAL.get(session):
         _OWN_INITIAL[session] = str(max(range_partitions(df) for df in frames))
         spark.conf.set(INITIAL_PARTITIONS, _OWN_INITIAL[session])
+    if spark.conf.get(SCAN_BYTES) == SPARK_SCAN_BYTES:
+        spark.conf.set(SCAN_BYTES, BYTES_PER_SCAN)
 
 
 def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
                      total_col: str | None = None,
                      num_partitions: int | None = None,
-                     keep: Sequence[str] | None = None) -> DataFrame:
+                     keep: Sequence[str] | None = None,
+                     derived: Mapping[str, Column] | None = None) -> DataFrame:
     """Add ``rank_col`` = 1-based position of the row in ``order``.
 
     ``order`` must be a total order (add a unique tie-break key) so that the
     numbers are repeatable; it accepts column names or sort expressions such
     as ``F.col("x").desc_nulls_first()``.  With ``total_col`` the number of
     rows is added too (needed for n-tiles).  With ``keep`` only these columns
-    are written and returned; the others just order the rows.
+    are written and returned; the others just order the rows.  ``derived``
+    columns follow from a row's others and are added behind the shuffle.
     """
     cols = _as_columns(order)
     ranged = df.repartitionByRange(int(num_partitions or range_partitions(df)), *cols)
@@ -88,6 +97,8 @@ def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,
     )
     if keep is not None:
         tagged = tagged.select(*keep, "_mf_tag")
+    if derived:
+        tagged = tagged.withColumns(dict(derived))
     tagged = cut_lineage(tagged)
 
     part = F.shiftright(F.col("_mf_tag"), _POS_BITS)
@@ -139,8 +150,10 @@ def with_global_ntile(df: DataFrame, order: Sequence, buckets: int, out_col: str
 
 
 def with_surrogate_key(df: DataFrame, natural_key: Sequence, key_col: str,
-                       num_partitions: int | None = None) -> DataFrame:
+                       num_partitions: int | None = None,
+                       derived: Mapping[str, Column] | None = None) -> DataFrame:
     """Dense surrogate key ``row_number() OVER (ORDER BY natural_key)``,
-    placed as the first column (binary string order, as the source)."""
-    ranked = with_global_rank(df, natural_key, key_col, None, num_partitions)
-    return ranked.select(key_col, *[c for c in df.columns])
+    placed as the first column (binary string order, as the source);
+    ``derived`` columns come last."""
+    ranked = with_global_rank(df, natural_key, key_col, None, num_partitions, derived=derived)
+    return ranked.select(key_col, *[c for c in df.columns], *(derived or {}))

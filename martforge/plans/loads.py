@@ -23,12 +23,13 @@ empty stored tables are allowed.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martforge.functions.clean import line_total
 from martforge.functions.dates import date_key
 from martforge.operators.dedup import distinct_on
 from martforge.operators.ranking import with_surrogate_key
@@ -41,32 +42,40 @@ from martforge.session import scratch_path
 
 @dataclass(frozen=True)
 class Load:
-    """Rows for one table: ``rows`` gets the tables as they stand, by name."""
+    """Rows for one table: ``rows`` gets the tables as they stand, by name.  With a
+    serial, columns that follow from a row's others may be ``derived`` once it is numbered."""
 
     table: str
     key: tuple[str, ...]
     rows: Callable[[dict[str, DataFrame]], DataFrame]
     serial: str | None = None
+    derived: Mapping[str, Column] | None = None
 
 
 def fresh_rows(load: Load, incoming: DataFrame, stored: DataFrame | None) -> DataFrame:
-    """Rows to insert, one for each key that is not stored."""
+    """Rows to insert, one for each key that is not stored, and one for each key with
+    a null, which ``load_batch`` refuses.  The batch's least and greatest key are
+    looked up only if there are stored keys to bound."""
     lead = load.key[0]
-    without = F.coalesce(F.count_if(F.concat_ws("", *[F.when(F.col(k).isNull(), "x") for k in load.key]) != ""), F.lit(0))
-    lo, hi, broken = incoming.agg(F.min(lead), F.max(lead), without).first()
-    if broken:
-        raise RejectedBatch(f"{broken} rows for {load.table} have a null in their key")
     rest = [F.col(c).asc_nulls_last() for c in incoming.columns if c not in load.key]
     first = distinct_on(incoming, load.key, rest or list(load.key))
-    if stored is None or lo is None:
+    if stored is None:
+        return first
+    lo, hi = incoming.agg(F.min(lead), F.max(lead)).first()
+    if lo is None:
         return first
     known = stored.filter(F.col(lead).between(F.lit(lo), F.lit(hi))).select(*load.key)
     return first.join(known, list(load.key), "left_anti").select(*incoming.columns)
 
 
+def _without_key(load: Load) -> Column:
+    return F.coalesce(F.count_if(F.concat_ws("", *[F.when(F.col(k).isNull(), "x") for k in load.key]) != ""), F.lit(0))
+
+
 def _with_serial(fresh: DataFrame, load: Load, stored: DataFrame | None) -> DataFrame:
     last = (stored.agg(F.max(load.serial)).first()[0] or 0) if stored is not None else 0
-    return with_surrogate_key(fresh, list(load.key), load.serial).withColumn(load.serial, F.col(load.serial) + F.lit(last))
+    ranked = with_surrogate_key(fresh, list(load.key), load.serial, derived=load.derived)
+    return ranked.withColumn(load.serial, F.col(load.serial) + F.lit(last))
 
 
 def load_batch(spark: SparkSession, root: str, batch_id: str, loads: list[Load], loaded_at: dt.datetime) -> str:
@@ -79,13 +88,18 @@ def load_batch(spark: SparkSession, root: str, batch_id: str, loads: list[Load],
     now = {t: spark.read.parquet(*[f"{root}/{f}" for f in f_]) for t, f_ in folders.items()}
     for load in loads:
         stored = now.get(load.table)
-        fresh = fresh_rows(load, load.rows(now), stored)
+        incoming = load.rows(now)
+        fresh = fresh_rows(load, incoming, stored)
         if load.serial:
             fresh = _with_serial(fresh, load, stored)
         folder = f"{version}/{load.table}"
         # rows with a serial come in key order from their numbering
         write_table(fresh, f"{root}/{folder}", "errorifexists", None if load.serial else list(load.key))
-        added = spark.read.schema(fresh.schema).parquet(f"{root}/{folder}").count()
+        added, broken = spark.read.schema(fresh.schema).parquet(f"{root}/{folder}").agg(
+            F.count(F.lit(1)), _without_key(load)).first()
+        if broken:  # no version names the folder
+            broken = incoming.agg(_without_key(load)).first()[0]
+            raise RejectedBatch(f"{broken} rows for {load.table} have a null in their key")
         if added or stored is None:
             folders[load.table] = [*folders.get(load.table, []), folder]
             now[load.table] = spark.read.schema(fresh.schema).parquet(*[f"{root}/{f}" for f in folders[load.table]])
@@ -115,7 +129,7 @@ def star_loads(wh: Warehouse, before: dt.date | None = None) -> list[Load]:
     def lines(now):
         return (wh.stg_order_items.join(now["fct_orders"].select("order_id", "order_key"), "order_id")
                 .join(now["dim_product"].select("product_id", "product_key"), "product_id")
-                .select("order_item_id", "order_key", "product_key", "quantity", "unit_price", "discount_pct", "line_total"))
+                .select("order_item_id", "order_key", "product_key", "quantity", "unit_price", "discount_pct"))
 
     def returns(now):
         return (dated(wh.stg_returns, "return_date")
@@ -130,7 +144,8 @@ def star_loads(wh: Warehouse, before: dt.date | None = None) -> list[Load]:
         Load("dim_customer", ("customer_id",), lambda now: dated(wh.stg_customers, "signup_date"), "customer_key"),
         Load("dim_product", ("product_id",), lambda now: cut(products, F.col("is_active")), "product_key"),
         Load("fct_orders", ("order_id",), orders, "order_key"),
-        Load("fct_order_items", ("order_item_id",), lines, "order_item_key"),
+        Load("fct_order_items", ("order_item_id",), lines, "order_item_key",
+             {"line_total": line_total("quantity", "unit_price", "discount_pct")}),
         Load("fct_returns", ("return_id",), returns, "return_key"),
     ]
 

@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from martforge.operators.quality import raise_on_errors
 from martforge.operators.ranking import range_partitions
+from martforge.session import STORED_CODEC
 
 POINTER = "_CURRENT"
 
@@ -37,13 +38,13 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite",
     if sort_by:
         n = partitions or range_partitions(df)
         df = df.repartitionByRange(n, *sort_by).sortWithinPartitions(*sort_by)
-    df.write.mode(mode).parquet(path)
+    df.write.mode(mode).option("compression", STORED_CODEC).parquet(path)
 
 
 def append_table(df: DataFrame, path: str) -> None:
     """Plain append: loading the same batch twice doubles it (the source's
     fact loads behave so).  Use ``insert_ignore`` for idempotent loads."""
-    df.write.mode("append").parquet(path)
+    df.write.mode("append").option("compression", STORED_CODEC).parquet(path)
 
 
 def _fs(spark: SparkSession, path: str):

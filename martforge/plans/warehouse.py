@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martforge.constants import DEFAULT_AS_OF
-from martforge.functions.clean import SUM_MONEY
+from martforge.functions.clean import SUM_MONEY, line_total
 from martforge.operators.ranking import size_shuffles, with_surrogate_key
 from martforge.plans import staging
 from martforge.sources.calendar import calendar_spine
@@ -184,10 +184,10 @@ class Warehouse:
         joined = (
             self.stg_order_items.join(orders, "order_id", "inner")
             .join(prods, "product_id", "inner")
-            .select("order_item_id", "order_key", "product_key", "quantity", "unit_price",
-                    "discount_pct", "line_total")
+            .select("order_item_id", "order_key", "product_key", "quantity", "unit_price", "discount_pct")
         )
-        return with_surrogate_key(joined, ["order_item_id"], "order_item_key")
+        return with_surrogate_key(joined, ["order_item_id"], "order_item_key", derived={
+            "line_total": line_total("quantity", "unit_price", "discount_pct")})
 
     @cached_property
     def fct_returns(self) -> DataFrame:
