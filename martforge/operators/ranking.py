@@ -43,6 +43,11 @@ _OWN_INITIAL: dict[str, str] = {}  # the value set here, by session
 # holds ten times its bytes in memory before it must spill (Spark's own value is 128 MB)
 SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 SPARK_SCAN_BYTES, BYTES_PER_SCAN = "134217728b", "32m"
+# shuffled bytes a task reads (Spark's own value is 64 MB), and those that a join may hold as a
+# hash table instead of sorting both sides; partitions beyond them, as of a hot key, are sorted
+TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+HASHED_BYTES = "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"
+SPARK_TASK_BYTES, SPARK_HASHED_BYTES, BYTES_PER_JOIN = "67108864b", "0b", "32m"
 
 
 def _as_columns(order: Sequence) -> list[Column]:
@@ -64,7 +69,8 @@ def size_shuffles(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
     """Lets joins and groupings start with as many partitions as the full sort of the
     greatest frame, so that a task's share doesn't grow with the tables; adaptive
     execution merges those that turn out small.  Scans are cut finer for the same
-    reason.  A session's own values stay."""
+    reason.  Joins of such shares hash the smaller side: ids begin alike, so
+    sorting them compares whole texts.  A session's own values stay."""
     now = spark.conf.get(INITIAL_PARTITIONS, None)
     session = f"{spark.sparkContext.applicationId}/{id(spark)}"
     if now is None or now == _OWN_INITIAL.get(session):
@@ -72,6 +78,9 @@ def size_shuffles(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
         spark.conf.set(INITIAL_PARTITIONS, _OWN_INITIAL[session])
     if spark.conf.get(SCAN_BYTES) == SPARK_SCAN_BYTES:
         spark.conf.set(SCAN_BYTES, BYTES_PER_SCAN)
+    if (spark.conf.get(TASK_BYTES), spark.conf.get(HASHED_BYTES)) == (SPARK_TASK_BYTES, SPARK_HASHED_BYTES):
+        spark.conf.set(TASK_BYTES, BYTES_PER_JOIN)
+        spark.conf.set(HASHED_BYTES, BYTES_PER_JOIN)
 
 
 def with_global_rank(df: DataFrame, order: Sequence, rank_col: str,

@@ -50,6 +50,37 @@ def test_scans_are_cut_finer(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def test_joins_of_small_shares_hash_a_side_and_hot_keys_are_sorted(spark):
+    keys = (ranking.SCAN_BYTES, ranking.INITIAL_PARTITIONS, ranking.TASK_BYTES, ranking.HASHED_BYTES,
+            "spark.sql.autoBroadcastJoinThreshold")
+    before = {k: spark.conf.get(k, None) for k in keys}
+
+    def joined(hot: bool):
+        a = spark.range(3000).selectExpr(f"{'id % 1 + 1' if hot else 'id'} AS k", "sha2(cast(id AS string), 256) AS a").repartition(3)
+        b = spark.range(3000).selectExpr("id % 50 AS k" if hot else "id AS k", "sha2(cast(-id AS string), 256) AS b").repartition(3)
+        out = a.join(b, "k")
+        rows = out.groupBy().agg(F.count(F.lit(1)), F.count_distinct("k")).first()
+        out.collect()
+        return tuple(rows), out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+    try:
+        for k in keys:
+            spark.conf.unset(k)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        size_shuffles(spark, [spark.range(3)])
+        rows, plan = joined(False)
+        assert rows == (3000, 3000) and "ShuffledHashJoin" in plan and "Sort [" not in plan
+        spark.conf.set(ranking.TASK_BYTES, "4k")
+        spark.conf.set(ranking.HASHED_BYTES, "4k")
+        size_shuffles(spark, [spark.range(3)])
+        assert spark.conf.get(ranking.HASHED_BYTES) == "4k"  # a session's own value stays
+        rows, plan = joined(True)
+        assert rows == (3000 * 60, 1) and "SortMergeJoin" in plan
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_first_batch_is_not_read_beforehand(spark, tmp_path):
     rows = spark.createDataFrame([("a", 3), ("b", 2), ("a", 1)], "id string, x int")
     load = loads.Load("t", ("id",), lambda now: rows, "k", {"y": F.col("x") + 1})
