@@ -1,4 +1,6 @@
 """Byte-level BPE, the token store and packing against the libraries and exact round trips."""
+import json
+import random
 import zlib
 
 import numpy as np
@@ -191,3 +193,27 @@ def test_packing_covers_every_id_once(spark):
             at += p.length
         assert at == 256 or at & (at - 1) == 0
     assert packing.pack(frame(spark).limit(0), WORDS, end_id=1).count() == 0
+
+
+def test_latin_words_are_cut_into_pieces_that_only_the_model_sees(monkeypatch):
+    with open(P.path("word_bpe_49k.json"), "rb") as f:
+        data = f.read()
+    rng = random.Random(3)
+    latin = [chr(c) for c in range(0xc0, 0x180) if c not in (0xd7, 0xf7, 0x130)]
+    plain = ["".join(rng.choices(latin + list("abcXYZ'sStTlL09.!-_~"), k=rng.randint(1, 9))) for _ in range(3000)]
+    plain += ["DON'T", "x'lly", "''s", "don't..", "<|ENDOFTEXT|>", "Straße", *latin, *(f"ab{c}ab" for c in latin)]
+    other = ["a<|endoftext|>b", "İx", "ét", "ạ́", "Σας", "слово", "漢字x", "x²", "a\x07b", "a b", "ªº", "×3"]
+    without_lower = json.loads(data)
+    without_lower["normalizer"]["normalizers"].pop()
+    for file, ruled in ((data, True), (json.dumps(without_lower).encode(), False)):
+        encoder = word_tokens.WordEncoder(file)
+        seen = []
+        monkeypatch.setattr(encoder, "_learn", lambda new, learn=encoder._learn: seen.extend(new) or learn(new))
+        want = [np.asarray(encoder.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes() for w in plain + other]
+        assert encoder.encode(plain + other) == want
+        encoder.known, encoder.older = {}, encoder.known
+        assert encoder.encode(plain + other) == want  # from the generation before
+        if ruled:
+            assert not {w.encode() for w in plain} & set(seen) and "слово".encode() in seen
+        else:
+            assert {w.encode() for w in plain} & set(seen)  # other rules: the whole tokenizer
