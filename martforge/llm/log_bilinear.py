@@ -16,13 +16,15 @@ Every training document is learned from in each of ``EPOCHS`` rounds: tasks
 tell true tokens from noise on their part of the documents, each on a copy of
 the parameters; the copies' moves are added up by Spark, a row of parameters
 weighed by what each task learned about it, and the driver holds parameters
-only.  Class noise follows the counts, word noise is even within the class.
+only.  Class noise follows the counts, word noise is even within the class; tokens
+of a step share it, so that telling true from noise is a few matrix products.
 
 Counts meet texts block by block: a task turns its documents into blocks of
-local word numbers with the block's own word list, the lists are joined with
-the counts (a word once per block, whatever its frequency), and each block gets
-its counts and output numbers back.  No word list is broadcast; the parameters,
-about 35 numbers an output, are, since a block needs nearly every class.
+local word numbers with the block's own word list.  The outputs' words are
+broadcast, as the parameters are, about 35 numbers an output, since a block needs
+nearly every class; all other words of a block (a word once per block, whatever
+its frequency) are joined with the counts, and sums by text come back.  Only these
+words are shuffled: the blocks stay where they were written.
 
 A null text is the empty text: only the end is scored.  Repeated rows score
 alike; other columns are ignored; an empty table gives an empty result, and
@@ -33,6 +35,7 @@ without training tokens every word is unknown and the model is uniform.
 from __future__ import annotations
 
 import copy
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,11 +54,15 @@ CONTEXT = 3  # tokens that a prediction looks back on
 WIDTH = 16  # vector length; a row of parameters has a bias behind it
 EPOCHS = 3  # rounds over the training documents
 NOISE = 8  # noise tokens for a true one
+SHARED = 16  # noise classes or words that tokens share, each counting NOISE / SHARED
+ALIKE, TOGETHER = 80, 8  # tokens that share noise classes; tokens of a class in one matrix product
 STEP = 2000  # tokens of one gradient step
+RUN = 8  # neighbouring tokens that stay together when tokens are shuffled
 GROUP = 500_000  # tokens that are shuffled together
 CHUNK = 4096  # parameter rows that are added up together
 BLOCK_CHARS = 3_000_000  # text in a block before it is closed
 BLOCK_DOCS = 4000
+EXPS = 1 << 18  # exponentials taken together, which stay in the processor's cache
 END, REST = 0, 1  # the first outputs; as context, the number of outputs stands for the start
 
 
@@ -63,8 +70,22 @@ def tokens(text: str) -> list[bytes]:
     return text.encode("utf-8").lower().split()
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
+def _logistic(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(x)), in the place of ``x``."""
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _log_sums(x: np.ndarray) -> np.ndarray:
+    """Log of the sum of each row's exponentials; ``x`` is used up."""
+    top = 0.0
+    if max(x.max(), -x.min()) > 60:
+        top = x.max(1, keepdims=True)
+        x -= top
+        top = top[:, 0].astype(float)
+    np.exp(x, out=x)
+    return top + np.log(x @ np.ones(x.shape[1], "f"), dtype=float)
 
 
 def _within(seq: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -72,13 +93,32 @@ def _within(seq: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.arange(len(seq)) - np.repeat(starts, np.diff(np.r_[starts, len(seq)]))
 
 
-def _summed(where: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _order(*keys: np.ndarray) -> np.ndarray:
+    """Order by the keys, whole numbers from 0 to 2**32, the last key first; 16 bits at a time, which numpy sorts by radix."""
+    order = None
+    for key in keys:
+        for shift in (0, 16) if len(key) and int(key.max()) >> 16 else (0,):
+            part = (key >> shift).astype(np.uint16)
+            order = np.argsort(part, kind="stable") if order is None else order.take(np.argsort(part.take(order), kind="stable"))
+    return order
+
+
+def _summed(where: np.ndarray, rows: np.ndarray, few: int = 8) -> tuple[np.ndarray, np.ndarray]:
     """Distinct values of ``where``, which is sorted, and the sum of each one's rows."""
     first = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
     times = np.diff(np.r_[first, len(where)])
-    out, more = rows[first], times > 1
-    if more.any():
-        out[more] = np.add.reduceat(rows[np.repeat(more, times)], np.r_[0, np.cumsum(times[more])[:-1]], axis=0)
+    out, more = rows.take(first, 0), np.flatnonzero(times > 1)
+    # second rows, third rows and so on; values with many rows by themselves
+    some, at = more[times[more] <= few], 1
+    while len(some):
+        out[some] += rows.take(first[some] + at, 0)
+        at += 1
+        some = some[times[some] > at]
+    many = more[times[more] > few]
+    if len(many):
+        n = times[many]
+        ends = np.cumsum(n)
+        out[many] = np.add.reduceat(rows.take(np.arange(ends[-1]) + np.repeat(first[many] - ends + n, n), 0), np.r_[0, ends[:-1]], axis=0)
     return where[first], out
 
 
@@ -97,6 +137,10 @@ class Model:
         self.sizes = np.diff(self.bounds)
         self.class_of = np.repeat(np.arange(len(first)), self.sizes)
         self.class_share = np.add.reduceat(share, first)
+        self.cumulative = np.cumsum(self.class_share)
+        # log of how often a class or word is noise for a token
+        self.class_shift = np.log(NOISE * self.class_share).astype("f")
+        self.word_shift = np.log(NOISE / self.sizes).astype("f")
         rng = np.random.default_rng(seed)
         self.at_outputs, self.at_classes = n + 1, 2 * n + 1
         self.at_places = self.at_classes + len(first)
@@ -130,72 +174,144 @@ class Model:
         classes = self.rows[self.at_classes:self.at_places].T.copy()
         outputs = self.rows[self.at_outputs:self.at_classes]
 
-        def chosen(scores: np.ndarray, which: np.ndarray) -> np.ndarray:
+        def chosen(hidden: np.ndarray, vectors: np.ndarray, which: np.ndarray) -> np.ndarray:
+            scores = hidden @ vectors
             target = scores[np.arange(len(scores)), which].astype(float)
-            top = scores.max(1, keepdims=True)
-            scores -= top
-            np.exp(scores, out=scores)
-            return target - top[:, 0] - np.log(scores.sum(1, dtype=float))
+            return target - _log_sums(scores)
 
         out = np.empty(len(seq))
         for a in range(0, len(seq), 1 << 16):
             at = np.arange(a, min(a + (1 << 16), len(seq)))
-            hidden = self.hidden(self.rows[self.contexts(seq, within, at)])
             word = seq[at]
             of = self.class_of[word]
-            each = np.concatenate([chosen(hidden[i:i + 4096] @ classes, of[i:i + 4096]) for i in range(0, len(at), 4096)])
-            order = np.argsort(of, kind="stable")
-            ends = np.searchsorted(of[order], np.arange(len(self.sizes) + 1))
+            order = _order(of)
+            at, word, of = at[order], word[order], of[order]
+            hidden = self.hidden(self.rows.take(self.contexts(seq, within, at), 0))
+            n = max(64, EXPS // classes.shape[1])
+            each = np.concatenate([chosen(hidden[i:i + n], classes, of[i:i + n]) for i in range(0, len(at), n)])
+            ends = np.searchsorted(of, np.arange(len(self.sizes) + 1))
             for c in np.flatnonzero((self.sizes > 1) & (np.diff(ends) > 0)).tolist():
                 lo, hi = self.bounds[c], self.bounds[c + 1]
-                vectors = outputs[lo:hi].T
-                for i in range(ends[c], ends[c + 1], 4096):
-                    some = order[i:min(i + 4096, ends[c + 1])]
-                    each[some] += chosen(hidden[some] @ vectors, word[some] - lo)
+                vectors, n = outputs[lo:hi].T, max(64, EXPS // (hi - lo))
+                for i in range(ends[c], ends[c + 1], n):
+                    some = slice(i, min(i + n, ends[c + 1]))
+                    each[some] += chosen(hidden[some], vectors, word[some] - lo)
             out[at] = each
         return out
 
     def learn(self, seq: np.ndarray, starts: np.ndarray, epoch: int, rng: np.random.Generator) -> None:
-        """One pass over texts laid end to end, in steps of shuffled tokens."""
-        rate = 0.1 / (1 + epoch)
-        within = _within(seq, starts)
-        log_noise, cumulative = np.log(self.class_share).astype("f"), np.cumsum(self.class_share)
-        log_even = -np.log(self.sizes).astype("f")
-        log_k = np.float32(np.log(NOISE))
-        rows, places = self.rows, self.rows[self.at_places:]
-        for at in np.array_split(rng.permutation(len(seq)), max(1, len(seq) // STEP)):
-            c, y = self.contexts(seq, within, at), seq[at]
-            vectors = rows[c]
-            hidden = self.hidden(vectors)
-            # the class: one set of noise for the step, so that scores are one matrix product
-            k = self.class_of[y]
-            z = np.minimum(np.searchsorted(cumulative, rng.random(NOISE * 25)), len(cumulative) - 1)
-            true, false = rows[self.at_classes + k], rows[self.at_classes + z]
-            g_true = _sigmoid((hidden * true).sum(1) - log_noise[k] - log_k) - 1
-            g_false = _sigmoid(hidden @ false.T - log_noise[z] - log_k) / 25
-            g_hidden = g_true[:, None] * true + g_false @ false
-            where = [self.at_classes + k, self.at_classes + z]
-            grads = [g_true[:, None] * hidden, g_false.T @ hidden]
-            # the word among those of its class
-            many = np.flatnonzero(self.sizes[k] > 1)
-            if len(many):
-                h, k, y = hidden[many], k[many], y[many]
-                z = self.bounds[k][:, None] + (rng.random((len(many), NOISE)) * self.sizes[k][:, None]).astype(np.int64)
-                true, false = rows[self.at_outputs + y], rows[self.at_outputs + z]
-                g_true = _sigmoid((h * true).sum(1) - log_even[k] - log_k) - 1
-                g_false = _sigmoid(np.matmul(false, h[:, :, None])[:, :, 0] - log_even[k][:, None] - log_k)
-                g_hidden[many] += g_true[:, None] * true + np.matmul(g_false[:, None], false)[:, 0]
-                where += [self.at_outputs + y, self.at_outputs + z.ravel()]
-                grads += [g_true[:, None] * h, (g_false[:, :, None] * h[:, None]).reshape(-1, WIDTH + 1)]
-            g_hidden[:, WIDTH] = 0
-            where += [*c, self.at_places + np.arange(CONTEXT)]
-            grads += [*(g_hidden * places[:, None]), (g_hidden * vectors).sum(1)]
-            where = np.concatenate(where)
-            order = np.argsort(where)
-            touched, g = _summed(where[order], np.concatenate(grads)[order])
-            g /= np.float32(len(at) ** 0.5)
-            self.seen[touched] += (g * g).mean(1)
-            rows[touched] -= (rate / np.sqrt(self.seen[touched]))[:, None].astype("f") * g
+        """One pass over texts laid end to end, in steps of shuffled runs of tokens.
+
+        The tokens of a step are ordered by output, hence by class.  ``ALIKE`` of
+        them share noise classes; those of a class share noise words, spread evenly
+        over the class from a random start, and are told from them ``TOGETHER`` at a time."""
+        if not len(seq):
+            return
+        rate, n_steps = 0.1 / (1 + epoch), max(1, len(seq) // STEP)
+        # texts behind CONTEXT starts each, cut into runs, and runs into steps
+        at = np.arange(len(seq)) + CONTEXT * np.repeat(np.arange(1, len(starts) + 1), np.diff(np.r_[starts, len(seq)]))
+        at += rng.integers(RUN)
+        runs = rng.permutation(int(at[-1]) // RUN + 1)
+        laid = np.full(CONTEXT + len(runs) * RUN, self.n, np.int32)
+        laid[CONTEXT + at] = seq
+        around = np.lib.stride_tricks.sliding_window_view(laid, CONTEXT + RUN - 1)[::RUN]
+        cut = np.r_[0, np.cumsum([len(x) for x in np.array_split(runs, n_steps)])]
+        rank = np.empty(len(runs), np.int64)
+        rank[runs] = np.arange(len(runs))
+        rank = rank[at // RUN]
+        step = np.searchsorted(cut, rank, side="right") - 1
+        order = _order(seq, step)
+        step = step[order]
+        spots, outputs, classes = (rank[order] - cut[step]) * RUN + at[order] % RUN, seq[order], self.class_of[seq[order]]
+        # the tokens of a class in a step, in rows of TOGETHER
+        first = np.flatnonzero(np.r_[True, (classes[1:] != classes[:-1]) | (step[1:] != step[:-1])])
+        length = np.diff(np.r_[first, len(seq)])
+        first_row = np.r_[0, np.cumsum(-(-length // TOGETHER))]
+        places = np.repeat(first_row[:-1] * TOGETHER - first, length) + np.arange(len(seq))
+        of_row = np.repeat(np.arange(len(first)), np.diff(first_row))
+        class_of = classes[first]
+        spread = (np.arange(SHARED) + rng.random((len(first), 1))) * (self.sizes[class_of] / SHARED)[:, None]
+        noise = self.bounds[class_of][:, None] + np.minimum(spread.astype(np.int64), self.sizes[class_of][:, None] - 1)
+        of_step = np.searchsorted(step, np.arange(n_steps + 1))
+        firsts = np.searchsorted(first, of_step)
+        with np.errstate(over="ignore"):
+            for s in range(n_steps):
+                a, b, i, j = of_step[s], of_step[s + 1], firsts[s], firsts[s + 1]
+                if a < b:
+                    row, next_row = first_row[i], first_row[j]
+                    self._step(around[runs[cut[s]:cut[s + 1]]], spots[a:b], outputs[a:b], classes[a:b], class_of[i:j], noise[i:j],
+                               places[a:b] - row * TOGETHER, of_row[row:next_row] - i, rate, rng)
+
+    def _step(self, around: np.ndarray, spots: np.ndarray, y: np.ndarray, k: np.ndarray, class_of: np.ndarray, noise: np.ndarray,
+              places: np.ndarray, of_row: np.ndarray, rate: float, rng: np.random.Generator) -> None:
+        """One gradient step: the tokens in and before each run; the spots among the runs'
+        tokens, outputs and classes of the tokens learned; of each class among them, itself
+        and its noise words; the tokens' places in rows, and the class of each row."""
+        n, m, wide = self.n, len(y), WIDTH + 1
+        rows, per_place = self.rows, self.rows[self.at_places:]
+        of_outputs, of_classes = rows[self.at_outputs:self.at_classes], rows[self.at_classes:self.at_places]
+        share = np.float32(NOISE / SHARED)
+        vectors = rows.take(around, 0)
+        before = [slice(CONTEXT - 1 - j, CONTEXT - 1 - j + RUN) for j in range(CONTEXT)]
+        grid = vectors[:, before[0]] * per_place[0]
+        for j in range(1, CONTEXT):
+            grid += vectors[:, before[j]] * per_place[j]
+        full = np.zeros((-(-m // ALIKE) * ALIKE, wide), "f")
+        hidden = full[:m]
+        hidden[:] = grid.reshape(-1, wide).take(spots, 0)
+        hidden[:, WIDTH] = 1
+        # noise classes, which follow the counts
+        alike = full.reshape(-1, ALIKE, wide)
+        z = np.minimum(np.searchsorted(self.cumulative, rng.random((len(alike), SHARED))), len(self.cumulative) - 1)
+        false = of_classes.take(z, 0)
+        minus = np.negative(false)
+        minus[:, :, WIDTH] += self.class_shift[z]
+        g = _logistic(alike @ minus.transpose(0, 2, 1))
+        g *= share
+        g_hidden = (g @ false).reshape(-1, wide)[:m]
+        g_z = (g.transpose(0, 2, 1) @ alike).reshape(-1, wide)
+        # noise words, even within the class, and behind them the true class
+        false = np.concatenate([of_outputs.take(noise, 0), of_classes.take(class_of, 0)[:, None]], 1)
+        minus = np.negative(false)
+        minus[:, :SHARED, WIDTH] += self.word_shift[class_of][:, None]
+        minus[:, SHARED, WIDTH] += self.class_shift[class_of]
+        padded = np.zeros((len(of_row) * TOGETHER, wide), "f")
+        padded[places] = hidden
+        padded = padded.reshape(-1, TOGETHER, wide)
+        g = _logistic(padded @ minus.take(of_row, 0).transpose(0, 2, 1))
+        g[:, :, :SHARED] *= share
+        g[:, :, SHARED] -= 1
+        g_hidden += (g @ false.take(of_row, 0)).reshape(-1, wide).take(places, 0)
+        g_false = _summed(of_row, (g.transpose(0, 2, 1) @ padded).reshape(len(g), -1))[1].reshape(false.shape)
+        # the true word
+        true = of_outputs.take(y, 0)
+        g = (_logistic(self.word_shift[k] - np.einsum("ij,ij->i", hidden, true)) - 1)[:, None]
+        true *= g
+        g_hidden += true
+        g_hidden[:, WIDTH] = 0
+        hidden *= g
+        where = np.concatenate([y, noise.ravel(), n + class_of, n + z.ravel()])
+        order = _order(where)
+        touched, g_rows = _summed(where.take(order), np.concatenate(
+            [hidden, g_false[:, :SHARED].reshape(-1, wide), g_false[:, SHARED], g_z]).take(order, 0))
+        # the tokens before
+        grid[:] = 0
+        grid.reshape(-1, wide)[spots] = g_hidden
+        g_vectors, g_places = np.zeros_like(vectors), np.empty((CONTEXT, wide), "f")
+        for j in range(CONTEXT):
+            g_vectors[:, before[j]] += grid * per_place[j]
+            g_places[j] = (grid * vectors[:, before[j]]).reshape(-1, wide).sum(0)
+        around = around.ravel()
+        order = _order(around)
+        used, g_used = _summed(around.take(order), g_vectors.reshape(-1, wide).take(order, 0))
+        # rows move by their own summed squares
+        touched = np.concatenate([used, self.at_outputs + touched, self.at_places + np.arange(CONTEXT)])
+        g = np.concatenate([g_used, g_rows, g_places])
+        g /= np.float32(m ** 0.5)
+        seen = self.seen.take(touched) + np.einsum("ij,ij->i", g, g) / wide
+        self.seen[touched] = seen
+        g *= (rate / np.sqrt(seen)).astype("f")[:, None]
+        rows[touched] = rows.take(touched, 0) - g
 
 
 def train(texts: list[np.ndarray], epochs: int = EPOCHS, seed: int = 5) -> Model:
@@ -207,23 +323,36 @@ def train(texts: list[np.ndarray], epochs: int = EPOCHS, seed: int = 5) -> Model
     return model
 
 
-def grouped(batch: pa.RecordBatch, column: str) -> Iterator[tuple[slice, np.ndarray, np.ndarray]]:
-    """The batch's texts, some at a time: which, their numbers laid end to end, and starts."""
-    texts = [np.frombuffer(x, "<i4") for x in batch.column(column).to_pylist()]
-    a = size = 0
-    for i, t in enumerate(texts):
-        size += len(t)
-        if size >= GROUP or i == len(texts) - 1:
-            part = texts[a:i + 1]
-            yield slice(a, i + 1), np.concatenate(part), np.r_[0, np.cumsum([len(x) for x in part])[:-1]].astype(np.int64)
-            a, size = i + 1, 0
+def texts_of_block(batch: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block: which texts are trained on, their lengths, and their numbers laid end to end."""
+    return (np.array(batch.column("trains")[i].as_py(), bool), np.array(batch.column("lengths")[i].as_py(), np.int64),
+            np.frombuffer(batch.column("numbers")[i].as_buffer(), "<i4"))
+
+
+def training_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Numbers of training texts laid end to end, and starts, some blocks at a time."""
+    texts: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def together() -> tuple[np.ndarray, np.ndarray]:
+        lengths = np.concatenate([n for n, _ in texts])
+        return np.concatenate([x for _, x in texts]), np.cumsum(lengths) - lengths
+
+    for batch in batches:
+        for i in range(batch.num_rows):
+            trains, lengths, numbers = texts_of_block(batch, i)
+            texts.append((lengths[trains], numbers[np.repeat(trains, lengths)]))
+            if sum(len(x) for _, x in texts) >= GROUP:
+                yield together()
+                texts.clear()
+    if any(len(x) for _, x in texts):
+        yield together()
 
 
 def train_on(numbered: DataFrame, counts: np.ndarray) -> Model:
-    """The model of every training document of ``numbered`` (trains, numbers)."""
+    """The model of every training document of the blocks ``numbered`` (trains, lengths, numbers)."""
     context = numbered.sparkSession.sparkContext
     model = Model(counts)
-    texts = numbered.filter("trains").select("numbers").coalesce(max(1, context.defaultParallelism))
+    texts = numbered.select("trains", "lengths", "numbers").coalesce(max(1, context.defaultParallelism))
     for epoch in range(EPOCHS if counts.any() else 0):
         shared = context.broadcast(model)
 
@@ -232,9 +361,8 @@ def train_on(numbered: DataFrame, counts: np.ndarray) -> Model:
             task = TaskContext.get().partitionId()
             start, rng = shared.value, np.random.default_rng([5, epoch, task])
             own = start.copy()
-            for batch in batches:
-                for _, seq, starts in grouped(batch, "numbers"):
-                    own.learn(seq, starts, epoch, rng)
+            for seq, starts in training_groups(batches):
+                own.learn(seq, starts, epoch, rng)
             weight = (own.seen - start.seen).astype("<f4")
             for a in range(0, len(weight), CHUNK):
                 at = np.flatnonzero(weight[a:a + CHUNK]).astype("<i4")
@@ -278,9 +406,15 @@ def blocks(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         block = TaskContext.get().partitionId() << 32
-        number: dict[bytes, int] = {}
         ids, trains, numbers, chars = [], [], [], 0
 
+        def numbering() -> defaultdict[bytes, int]:
+            out: defaultdict[bytes, int] = defaultdict()
+            out.default_factory = out.__len__
+            return out
+
+        number = numbering()
+
         def close():
             nonlocal number, ids, trains, numbers, chars, block
             counts = np.zeros(len(number), np.int64)
@@ -294,17 +428,16 @@ def blocks(texts: DataFrame) -> DataFrame:
                 pa.array([[w.decode("utf-8") for w in number]], pa.list_(pa.string())),
                 pa.array([counts.tolist()], pa.list_(pa.int64()))],
                 ["block", "ids", "trains", "lengths", "numbers", "words", "counts"])
-            number, ids, trains, numbers, chars = {}, [], [], [], 0
+            number, ids, trains, numbers, chars = numbering(), [], [], [], 0
             block += 1
             return row
 
         for batch in batches:
             for doc, text, train in zip(batch.column(0).to_pylist(), common.texts_of(batch), batch.column(2).to_pylist()):
                 words = tokens(text)
-                put = number.setdefault
                 ids.append(doc)
                 trains.append(train)
-                numbers.append(np.fromiter((put(w, len(number)) for w in words), np.int32, len(words)))
+                numbers.append(np.fromiter(map(number.__getitem__, words), np.int32, len(words)))
                 chars += len(text)
                 if chars >= BLOCK_CHARS or len(ids) >= BLOCK_DOCS:
                     yield close()
@@ -314,72 +447,117 @@ def blocks(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, BLOCK)
 
 
+NUMBERED = ("block long, ids array<long>, trains array<boolean>, lengths array<int>, numbers binary, "
+            "rest array<string>, rest_lengths array<int>, rest_numbers binary")
+
+
+def with_outputs(blocked: DataFrame, outputs: pa.Array) -> DataFrame:
+    """Blocks with output numbers and an end behind each text; the words that are no
+    outputs go with them, as the block's ``rest``, by local numbers of their own."""
+    shared = blocked.sparkSession.sparkContext.broadcast(outputs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = batch.column("words").slice(i, 1).flatten()
+                found = pa.compute.index_in(words, value_set=shared.value)
+                known = found.is_valid().to_numpy(zero_copy_only=False)
+                as_output = np.where(known, found.fill_null(0).to_numpy() + 2, REST).astype("<i4")
+                lengths = np.array(batch.column("lengths")[i].as_py(), np.int64)
+                local = np.frombuffer(batch.column("numbers")[i].as_buffer(), "<i4")
+                numbers = np.full(len(local) + len(lengths), END, "<i4")
+                is_word = np.ones(len(numbers), bool)
+                is_word[np.cumsum(lengths + 1) - 1] = False
+                numbers[is_word] = as_output[local]
+                is_rest = ~known[local]
+                before = np.r_[0, np.cumsum(is_rest)]
+                ends = np.cumsum(lengths)
+                yield pa.RecordBatch.from_arrays([
+                    *(batch.column(n).slice(i, 1) for n in ("block", "ids", "trains")),
+                    pa.array([lengths + 1], pa.list_(pa.int32())), pa.array([numbers.tobytes()], pa.binary()),
+                    pa.ListArray.from_arrays(pa.array([0, len(words) - int(known.sum())], pa.int32()), words.filter(pa.array(~known))),
+                    pa.array([before[ends] - before[ends - lengths]], pa.list_(pa.int32())),
+                    pa.array([(np.cumsum(~known) - 1)[local[is_rest]].astype("<i4").tobytes()], pa.binary())],
+                    ["block", "ids", "trains", "lengths", "numbers", "rest", "rest_lengths", "rest_numbers"])
+
+    return blocked.select("block", "ids", "trains", "lengths", "numbers", "words").mapInArrow(run, NUMBERED)
+
+
 def score(docs: DataFrame, fit_on: Column) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score and score (log10)."""
     spark = docs.sparkSession
+    common.bound_batches(spark)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                         F.coalesce(fit_on, F.lit(False)).alias("trains"))
     blocked = cut_lineage(blocks(texts), "lm-blocks")
     counted = cut_lineage(
         blocked.select(F.explode(F.arrays_zip("words", "counts")).alias("x"))
-        .select(F.col("x.words").alias("word"), F.col("x.counts").alias("c"))
-        .groupBy("word").agg(F.sum("c").alias("c")).filter("c > 0"), "lm-counts")
+        .select(F.col("x.words").alias("word"), F.col("x.counts").alias("c")).filter("c > 0")
+        .groupBy("word").agg(F.sum("c").alias("c")), "lm-counts")
     n_words, v_words = counted.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     n_docs = blocked.select(F.coalesce(F.sum(F.expr("size(filter(trains, t -> t))")), F.lit(0))).first()[0]
     n_top = max(OUTPUTS - 2, counted.filter(F.col("c") >= MIN_COUNT).count())
     least = MIN_COUNT if n_top > OUTPUTS - 2 else 1
     ranked = cut_lineage(with_global_rank(counted.filter(F.col("c") >= least), [F.desc("c"), F.asc("word")], "place")
                          .filter(F.col("place") <= n_top), "lm-outputs")
-    known = counted.join(ranked.select("word", (F.col("place") + 1).cast("int").alias("output")), "word", "left")
-    top_counts = np.sort(ranked.select("c").toPandas()["c"].to_numpy(np.int64))[::-1]  # one number an output
+    top = ranked.select("place", "word", "c").toArrow().sort_by("place").combine_chunks()  # a word and a number an output
+    top_counts = top.column("c").to_numpy().astype(np.int64)
+    outputs = pa.concat_arrays([pa.array([], pa.string()), *top.column("word").cast(pa.string()).chunks])
     total, distinct = n_words + n_docs, v_words + (1 if n_docs else 0)
     rest_total, rest_distinct = n_words - int(top_counts.sum()), v_words - len(top_counts)
-
-    asked = blocked.select(F.col("block").alias("of_block"), F.posexplode("words").alias("pos", "word"))
-    answers = asked.join(known, "word").select("of_block", "pos", "c", F.coalesce("output", F.lit(REST)).alias("output"))
-
-    def number(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = {n: left.column(n)[0].as_py() for n in ("ids", "trains", "lengths")}
-        local = np.frombuffer(left.column("numbers")[0].as_py(), "<i4")
-        n_local = left.column("n_words")[0].as_py()
-        c, as_output = np.zeros(n_local + 1), np.full(n_local + 1, REST, "<i4")
-        pos = right.column("pos").to_numpy()
-        c[pos], as_output[pos] = right.column("c").to_numpy(), right.column("output").to_numpy()
-        c[-1], as_output[-1] = n_docs, END
-        base = np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))
-        share = np.where(as_output == REST, np.log10((c + 0.5) / (rest_total + 0.5 * (rest_distinct + 1))), 0.0)
-        lengths = np.array(row["lengths"], np.int64) + 1
-        starts = np.r_[0, np.cumsum(lengths)[:-1]]
-        seq = np.full(int(lengths.sum()), n_local, np.int64)
-        is_word = np.ones(len(seq), bool)
-        is_word[starts + lengths - 1] = False
-        seq[is_word] = local
-        out = as_output[seq]
-        return pa.table({
-            "doc_id": pa.array(row["ids"], pa.int64()), "trains": pa.array(row["trains"], pa.bool_()),
-            "numbers": pa.array([out[a:a + n].tobytes() for a, n in zip(starts, lengths)], pa.binary()),
-            "n_tokens": lengths, "n_known": np.add.reduceat((c[seq] > 0).astype(np.int64), starts),
-            "base_score": np.add.reduceat(base[seq], starts), "share": np.add.reduceat(share[seq], starts)})
-
-    placed = blocked.select("block", "ids", "trains", "lengths", "numbers", F.size("words").alias("n_words"))
-    numbered = cut_lineage(placed.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
-        number, "doc_id long, trains boolean, numbers binary, n_tokens long, n_known long, base_score double, "
-                "share double"), "lm-numbers")
     counts = np.zeros(max(OUTPUTS, len(top_counts) + 2), np.int64)
     counts[2:len(top_counts) + 2] = top_counts
     counts[END], counts[REST] = n_docs, rest_total
-    shared = spark.sparkContext.broadcast(train_on(numbered, counts))
-
-    def run(batch: pa.RecordBatch) -> dict:
-        scores = np.empty(batch.num_rows)
-        for which, seq, starts in grouped(batch, "numbers"):
-            scores[which] = np.add.reduceat(shared.value.log_probabilities(seq, starts), starts)
-        out = {n: batch.column(n) for n in ("doc_id", "n_tokens", "n_known", "base_score")}
-        return out | {"held_out": pa.compute.invert(batch.column("trains")),
-                      "train_tokens": np.full(batch.num_rows, total, np.int64),
-                      "score": scores / np.log(10) + batch.column("share").to_numpy()}
-
-    return common.map_batches(
-        numbered, run, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                       "base_score double, score double")
+    numbered = cut_lineage(with_outputs(blocked, outputs), "lm-numbers")
+    shared = spark.sparkContext.broadcast((train_on(numbered, counts), counts))
+
+    # the words that are no outputs, a word once per block, meet their counts
+    asked = numbered.select(F.col("block").alias("of_block"), F.posexplode("rest").alias("pos", "word"))
+    answers = asked.join(counted, "word").select("of_block", "pos", "c")
+
+    def sums(left: pa.Table, right: pa.Table) -> pa.Table:
+        lengths = np.array(left.column("rest_lengths")[0].as_py(), np.int64)
+        local = np.frombuffer(left.column("rest_numbers")[0].as_py(), "<i4")
+        c = np.zeros(left.column("n_rest")[0].as_py())
+        c[right.column("pos").to_numpy()] = right.column("c").to_numpy()
+        ends = np.cumsum(lengths)
+
+        def by_text(x: np.ndarray) -> np.ndarray:
+            return np.bincount(np.repeat(np.arange(len(lengths)), lengths), x[local], len(lengths)).astype(float)
+
+        return pa.table({
+            "of_block": np.full(len(ends), left.column("block")[0].as_py(), np.int64), "of_text": np.arange(len(ends), dtype=np.int32),
+            "rest_known": by_text(c > 0).astype(np.int64),
+            "rest_base": by_text(np.log10((c + 0.5) / (total + 0.5 * (distinct + 1)))),
+            "share": by_text(np.log10((c + 0.5) / (rest_total + 0.5 * (rest_distinct + 1))))})
+
+    placed = numbered.select("block", "rest_lengths", "rest_numbers", F.size("rest").alias("n_rest"))
+    rest = placed.groupBy("block").cogroup(answers.groupBy("of_block")).applyInArrow(
+        sums, "of_block long, of_text int, rest_known long, rest_base double, share double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model, counts = shared.value
+        base = np.log10((counts + 0.5) / (total + 0.5 * (distinct + 1)))
+        base[REST] = 0  # these words have counts of their own
+        known = counts > 0
+        known[REST] = False
+        for batch in batches:
+            for i in range(batch.num_rows):
+                trains, lengths, numbers = texts_of_block(batch, i)
+                starts = np.cumsum(lengths) - lengths
+                scores = np.add.reduceat(model.log_probabilities(numbers, starts), starts)
+                n = len(lengths)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(n, batch.column("block")[i].as_py(), np.int64)), pa.array(np.arange(n, dtype=np.int32)),
+                    batch.column("ids").slice(i, 1).flatten(), pa.array(~trains), pa.array(lengths),
+                    pa.array(np.add.reduceat(known[numbers].astype(np.int64), starts)),
+                    pa.array(np.add.reduceat(base[numbers], starts)), pa.array(scores / np.log(10))],
+                    ["block", "at", "doc_id", "held_out", "n_tokens", "known", "base", "score"])
+
+    scored = numbered.select("block", "ids", "trains", "lengths", "numbers").mapInArrow(
+        run, "block long, at int, doc_id long, held_out boolean, n_tokens long, known long, base double, score double")
+    return scored.join(rest, (F.col("block") == F.col("of_block")) & (F.col("at") == F.col("of_text"))).select(
+        "doc_id", "held_out", "n_tokens", (F.col("known") + F.col("rest_known")).alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.col("rest_base")).alias("base_score"),
+        (F.col("score") + F.col("share")).alias("score"))

@@ -281,6 +281,70 @@ def test_language_model_outputs_grow_with_the_counts(spark):
     assert sum(r.score for r in got) > sum(r.base_score for r in got)
 
 
+def test_language_model_shuffles_only_words_that_are_no_outputs(spark, monkeypatch):
+    # 500 words met often, and words met once, in several blocks: every count by hand
+    rng = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 500, 300)) + f" Once{i} once{i % 7}") for i in range(60)] + [(99, None)]
+    monkeypatch.setattr(log_bilinear, "BLOCK_DOCS", 9)
+    plans, cut = {}, log_bilinear.cut_lineage
+
+    def seen(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return cut(df, name)
+
+    monkeypatch.setattr(log_bilinear, "cut_lineage", seen)
+    got = {r.doc_id: r for r in log_bilinear.score(frame(spark, rows), F.col("doc_id") % 3 != 0).collect()}
+    assert "Exchange" not in plans["lm-numbers"]
+    split = {i: (t or "").encode().lower().split() for i, t in rows}
+    c = Counter(w for i, ws in split.items() if i % 3 for w in ws)
+    n_docs = sum(i % 3 != 0 for i in split)
+    outputs = sorted(c, key=lambda w: (-c[w], w))[:max(log_bilinear.OUTPUTS - 2, sum(n >= log_bilinear.MIN_COUNT for n in c.values()))]
+    assert len(outputs) > log_bilinear.OUTPUTS and len(c) > len(outputs) + 20
+    total, distinct = sum(c.values()) + n_docs, len(c) + 1
+    for i, words in split.items():
+        base = sum(math.log10((n + 0.5) / (total + 0.5 * (distinct + 1))) for n in [c[w] for w in words] + [n_docs])
+        assert (got[i].n_tokens, got[i].n_known) == (len(words) + 1, sum(c[w] > 0 for w in words) + 1)
+        assert math.isclose(got[i].base_score, base, rel_tol=1e-9) and got[i].held_out == (i % 3 == 0)
+
+
+def test_language_model_shares_noise_among_the_tokens_of_a_step():
+    rng, drawn = np.random.default_rng(4), []
+
+    class Counted:
+        def random(self, size=None):
+            drawn.append(np.prod(size or 1))
+            return rng.random(size)
+
+        def __getattr__(self, name):
+            return getattr(rng, name)
+
+    texts = [rng.zipf(1.3, 50) % 900 for _ in range(400)]
+    model = log_bilinear.Model(np.bincount(np.concatenate(texts), minlength=900))
+    before = model.log_probabilities(np.concatenate(texts), np.arange(400) * 50).sum()
+    for epoch in range(2):
+        model.learn(np.concatenate(texts), np.arange(400) * 50, epoch, Counted())
+    assert sum(drawn) < 2 * 20_000 * log_bilinear.NOISE / 4  # 8 for each token and 200 for each step before
+    assert model.log_probabilities(np.concatenate(texts), np.arange(400) * 50).sum() > before
+
+
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.integers(0, 1 << 18), max_size=60), st.integers(0, 40))
+def test_sums_of_rows_by_key(keys, again):
+    where = np.array(keys + keys[:1] * again + [7], np.int64)
+    rows = np.random.default_rng(1).random((len(where), 3)).astype("f")
+    order = log_bilinear._order(where)
+    assert (where[order] == np.sort(where)).all()
+    distinct, sums = log_bilinear._summed(where[order], rows[order])
+    assert distinct.tolist() == sorted(set(where.tolist()))
+    for k, s in zip(distinct, sums):
+        assert np.allclose(s, rows[where == k].sum(0), rtol=1e-5)
+
+
+def test_log_sums_of_large_scores():
+    x = np.array([[100.0, 99.0, -300.0], [1.0, 2.0, 3.0]], "f")
+    assert np.allclose(log_bilinear._log_sums(x.copy()), np.log(np.exp(x.astype(float)).sum(1)), rtol=1e-6)
+
+
 def test_every_query_is_listed(spark):
     assert [n.split("_")[0] for n in queries()] == [f"op{i}" for i in range(1, 14)]
 
