@@ -207,10 +207,10 @@ def layout_point_lookup(wh: Warehouse, spark: SparkSession, customer_key: int =
 def landing_csv_paths(wh: Warehouse, spark: SparkSession) -> dict[str, str]:
     """``load_raw_full_refresh``: write the six landing extracts as header CSV
     (overwrite), once per warehouse."""
-    from martforge.sources.landing import write_landing_csv
+    from martforge.sources.landing import ROWS_PER_FILE, write_landing_csv
     paths = getattr(wh, "_csv_paths", None)
     if paths is None:
-        paths = write_landing_csv(wh.landing, _run_dir(spark, "landing_csv"))
+        paths = write_landing_csv(wh.landing, _run_dir(spark, "landing_csv"), ROWS_PER_FILE)
         wh._csv_paths = paths
     return paths
 

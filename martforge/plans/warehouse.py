@@ -27,6 +27,7 @@ from martforge.constants import DEFAULT_AS_OF
 from martforge.functions.clean import SUM_MONEY, line_total
 from martforge.operators.ranking import size_shuffles, with_surrogate_key
 from martforge.plans import staging
+from martforge.session import stored_between
 from martforge.sources.calendar import calendar_spine
 from martforge.sources.landing import landing_frames
 
@@ -178,16 +179,22 @@ class Warehouse:
         """Lines with their order and product keys.  The source starts from
         the enriched lines; with the staging keys unique (see
         ``int_order_totals``) the staged lines give the same rows with two
-        fewer line-sized shuffles."""
+        fewer line-sized shuffles.  The lines are stored between the joins and
+        the ranking, so that one line-sized shuffle lies on the disks at a time
+        and the sampling of ranges repeats no join."""
         orders = self.fct_orders.select("order_id", "order_key")
         prods = self.dim_product.select("product_id", "product_key")
-        joined = (
+        placed, delete_placed = stored_between(
             self.stg_order_items.join(orders, "order_id", "inner")
-            .join(prods, "product_id", "inner")
-            .select("order_item_id", "order_key", "product_key", "quantity", "unit_price", "discount_pct")
-        )
-        return with_surrogate_key(joined, ["order_item_id"], "order_item_key", derived={
+            .select("order_item_id", "order_key", "product_id", "quantity", "unit_price", "discount_pct"), "lines-of-orders")
+        joined, delete_joined = stored_between(
+            placed.join(prods, "product_id", "inner")
+            .select("order_item_id", "order_key", "product_key", "quantity", "unit_price", "discount_pct"), "lines-of-products")
+        delete_placed()
+        ranked = with_surrogate_key(joined, ["order_item_id"], "order_item_key", derived={
             "line_total": line_total("quantity", "unit_price", "discount_pct")})
+        delete_joined()
+        return ranked
 
     @cached_property
     def fct_returns(self) -> DataFrame:

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,10 +92,43 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/martforge-{app}/{name}"
 
 
+# shuffle files of a write go when it ends (Spark keeps them until the driver collects its garbage)
+DROP_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_DROPPING: dict[str, list] = {}  # by session: writes under way, and the session's own value
+_DROPPING_LOCK = threading.Lock()
+
+
+@contextmanager
+def dropping_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes begun within drop their shuffle files at their end.  A write plans its
+    frame anew, so nothing else reads these files; other actions keep theirs."""
+    session = f"{spark.sparkContext.applicationId}/{id(spark)}"
+    with _DROPPING_LOCK:
+        state = _DROPPING.setdefault(session, [0, None])
+        if not state[0]:
+            state[1] = spark.conf.get(DROP_SHUFFLES, "false")
+            spark.conf.set(DROP_SHUFFLES, "true")
+        state[0] += 1
+    try:
+        yield
+    finally:
+        with _DROPPING_LOCK:
+            state[0] -= 1
+            if not state[0]:
+                spark.conf.set(DROP_SHUFFLES, state[1])
+
+
 # codec of stored tables: a third smaller than Parquet's default here, and as splittable
 STORED_CODEC = "zstd"
 
 
+def _write_scratch(df: DataFrame, name: str) -> str:
+    path = scratch_path(df.sparkSession, f"{name}/{uuid.uuid4().hex}")
+    with dropping_shuffles(df.sparkSession):
+        df.write.mode("errorifexists").option("compression", STORED_CODEC).parquet(path)
+    return path
+
+
 def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
     """Write the frame as a Parquet table in the shared checkpoint folder and
     continue from a scan of it.
@@ -103,6 +139,16 @@ def cut_lineage(df: DataFrame, name: str = "lineage") -> DataFrame:
     columnar scan with column pruning and filter pushdown.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, f"{name}/{uuid.uuid4().hex}")
-    df.write.mode("errorifexists").option("compression", STORED_CODEC).parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(_write_scratch(df, name))
+
+
+def stored_between(df: DataFrame, name: str) -> tuple[DataFrame, Callable[[], None]]:
+    """As ``cut_lineage``, for a table between two steps: the scan, and what deletes
+    the table once nothing reads it any more."""
+    spark, path = df.sparkSession, _write_scratch(df, name)
+
+    def delete() -> None:
+        at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+    return spark.read.parquet(path), delete

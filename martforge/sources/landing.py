@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 from martforge.constants import PAYMENT_METHODS, RETURN_REASONS
 from martforge.functions.clean import line_total
 from martforge.operators.ranking import with_global_rank
+from martforge.session import STORED_CODEC, dropping_shuffles
 from martforge.sources.driver import read_table
 
 # --- mess rules (fixed values) ---------------------------------------------
@@ -286,6 +287,8 @@ LANDING_COLUMNS = {
 # Blanks around a field belong to it.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "multiLine": "true",
                "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+# the ids of landing rows are long and much alike; a gzip file is read by one task, so its rows are bounded
+ROWS_PER_FILE = 500_000
 
 
 def landing_schema(table: str) -> T.StructType:
@@ -293,13 +296,16 @@ def landing_schema(table: str) -> T.StructType:
     return T.StructType([T.StructField(c, T.StringType(), True) for c in LANDING_COLUMNS[table]])
 
 
-def write_landing_csv(frames: dict[str, DataFrame], base_path: str) -> dict[str, str]:
-    """Write each landing frame as a header CSV folder (full refresh)."""
+def write_landing_csv(frames: dict[str, DataFrame], base_path: str, rows_per_file: int | None = None) -> dict[str, str]:
+    """Write each landing frame as a header CSV folder (full refresh); with
+    ``rows_per_file`` gzipped, in files of so many rows at most."""
+    zipped = {"compression": "gzip", "zlib.compress.level": "FOUR", "maxRecordsPerFile": rows_per_file}
     paths = {}
     for name, df in frames.items():
         path = f"{base_path}/{name}.csv"
-        (df.select(*LANDING_COLUMNS[name]).write.mode("overwrite")
-         .options(**CSV_OPTIONS).option("emptyValue", '""').csv(path))
+        with dropping_shuffles(df.sparkSession):
+            (df.select(*LANDING_COLUMNS[name]).write.mode("overwrite")
+             .options(**CSV_OPTIONS, **(zipped if rows_per_file else {})).option("emptyValue", '""').csv(path))
         paths[name] = path
     return paths
 
@@ -334,7 +340,7 @@ def csv_to_landing(spark: SparkSession, paths: dict[str, str], root: str) -> dic
     """The landing tables as Parquet under ``root``, each from its CSV (full refresh)."""
     out = {}
     for table, path in paths.items():
-        scan_raw_csv(spark, path, table).write.mode("overwrite").parquet(f"{root}/{table}")
+        scan_raw_csv(spark, path, table).write.mode("overwrite").option("compression", STORED_CODEC).parquet(f"{root}/{table}")
         out[table] = spark.read.schema(landing_schema(table)).parquet(f"{root}/{table}")
     return out
 

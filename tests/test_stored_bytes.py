@@ -1,14 +1,19 @@
 """What the star's jobs shuffle and store: codec, derived columns, no pass over a first batch."""
 import datetime as dt
 import glob
+import os
+import time
 
 from pyspark.sql import functions as F
 
 from martforge.functions.clean import line_total
 from martforge.operators import ranking
 from martforge.operators.ranking import size_shuffles, with_surrogate_key
-from martforge.plans import loads, publish
-from martforge.session import cut_lineage
+from martforge.plans import loads, publish, warehouse
+from martforge.plans import operations as OP
+from martforge.plans.warehouse import Warehouse
+from martforge.session import DROP_SHUFFLES, cut_lineage, dropping_shuffles, stored_between
+from martforge.sources.landing import ROWS_PER_FILE, landing_schema, scan_raw_csv, write_landing_csv
 
 
 def test_stored_tables_are_zstd(spark, tmp_path):
@@ -92,3 +97,57 @@ def test_first_batch_is_not_read_beforehand(spark, tmp_path):
     assert not jobs
     loads.load_batch(spark, str(tmp_path), "one", [load], dt.datetime(2002, 1, 1))
     assert sorted(map(tuple, loads.read_table_of(spark, str(tmp_path), "t").collect())) == [(1, "a", 1, 2), (2, "b", 2, 3)]
+
+
+def shuffle_files(spark) -> set:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = (files.apply(i).getName() for i in range(files.size()))
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+def test_shuffle_files_go_when_a_stored_write_ends(spark):
+    df = spark.range(1000).selectExpr("id", "sha2(cast(id AS string), 256) AS x").repartitionByRange(4, "x")
+    before = shuffle_files(spark)
+    stored = cut_lineage(df.groupBy("x").agg(F.max("id").alias("id")))
+    until = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < until:  # they are deleted behind the write
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert stored.count() == df.count() == df.distinct().count() == 1000
+    now = spark.conf.get(DROP_SHUFFLES)
+    with dropping_shuffles(spark), dropping_shuffles(spark):
+        assert spark.conf.get(DROP_SHUFFLES) == "true"
+    assert spark.conf.get(DROP_SHUFFLES) == now
+
+
+def test_landing_files_of_the_load_are_small(spark, tmp_path):
+    rows = [(f"CAT-{i}", f'a "quoted"\nname {i}' if i == 70 else f"n {i}", None if i % 9 else "CAT-1") for i in range(250)]
+    df = spark.createDataFrame(rows, landing_schema("categories")).coalesce(1)
+    path = write_landing_csv({"categories": df}, str(tmp_path), 100)["categories"]
+    files = glob.glob(f"{path}/*.csv*")
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
+    assert sorted(map(tuple, scan_raw_csv(spark, path, "categories").collect())) == sorted(rows)
+    got = OP.landing_csv_paths(Warehouse(spark, {"categories": df}), spark)["categories"]
+    files = [f for f in os.listdir(got.removeprefix("file:")) if f.startswith("part-")]
+    assert files and all(f.endswith(".csv.gz") for f in files) and ROWS_PER_FILE <= 500_000
+
+
+def test_lines_between_joins_and_ranking_are_deleted(spark, monkeypatch):
+    landing = {t: spark.createDataFrame(rows, landing_schema(t)) for t, rows in {
+        "categories": [("K1", "Root", "")], "customers": [("C1", "Ann", "a@x", "2024-01-10", "c", "S1", "US", "g")],
+        "products": [("P1", "p1", "K1", "b", "$10.00", "true")], "orders": [("O1", "C1", "2024-01-05", "placed", "paypal", "1.00")] * 2,
+        "order_items": [("I2", "O1", "P1", "2", "10.00", "0"), ("I1", "O1", "P1", "1", "10.00", "50"), ("I3", "O1", "P9", "1", "1.00", "0"),
+                        ("I4", None, "P1", "1", "1.00", "0")], "returns": []}.items()}
+    kept = []
+
+    def between(df, name):
+        out, delete = stored_between(df, name)
+        kept.append(os.path.dirname(out.inputFiles()[0].removeprefix("file://")))
+        assert os.path.isdir(kept[-1])
+        return out, delete
+
+    monkeypatch.setattr(warehouse, "stored_between", between)
+    got = Warehouse(spark, landing, spine=(dt.date(2024, 1, 1), dt.date(2024, 12, 31))).fct_order_items
+    assert sorted((r.order_item_key, r.order_item_id, str(r.line_total)) for r in got.collect()) == [
+        (1, "I1", "5.00"), (2, "I1", "5.00"), (3, "I2", "20.00"), (4, "I2", "20.00")]  # the order comes twice
+    assert len(kept) == 2 and not any(map(os.path.exists, kept))
