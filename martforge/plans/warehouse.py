@@ -181,9 +181,10 @@ class Warehouse:
         ``int_order_totals``) the staged lines give the same rows with two
         fewer line-sized shuffles.  The lines are stored between the joins and
         the ranking, so that one line-sized shuffle lies on the disks at a time
-        and the sampling of ranges repeats no join."""
+        and the sampling of ranges repeats no join; the product keys are stored
+        too, so that a join of small tables is planned by both true sizes."""
         orders = self.fct_orders.select("order_id", "order_key")
-        prods = self.dim_product.select("product_id", "product_key")
+        prods, delete_prods = stored_between(self.dim_product.select("product_id", "product_key"), "keys-of-products")
         placed, delete_placed = stored_between(
             self.stg_order_items.join(orders, "order_id", "inner")
             .select("order_item_id", "order_key", "product_id", "quantity", "unit_price", "discount_pct"), "lines-of-orders")
@@ -191,6 +192,7 @@ class Warehouse:
             placed.join(prods, "product_id", "inner")
             .select("order_item_id", "order_key", "product_key", "quantity", "unit_price", "discount_pct"), "lines-of-products")
         delete_placed()
+        delete_prods()
         ranked = with_surrogate_key(joined, ["order_item_id"], "order_item_key", derived={
             "line_total": line_total("quantity", "unit_price", "discount_pct")})
         delete_joined()
